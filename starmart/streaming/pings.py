@@ -162,40 +162,47 @@ def keep_latest(path: str, schema: T.StructType, keys: list[str], version: list[
     return handle
 
 
-SPELL_SCHEMA = "vehicle_id bigint, stopped_at timestamp, until timestamp, delay_minutes double, slow_pings bigint"
-_SPELL_STATE = "stopped_at double, last_ts double, slow_pings bigint"
+_SPELL_ROWS = "vehicle_id bigint, stopped_at bigint, until bigint, slow_pings bigint"
+_SPELL_STATE = "stopped_at bigint, slow_pings bigint"
 
 
 def stationary_spells(pings: DataFrame, slow_below: float = 1.0) -> DataFrame:
     """Delay state per vehicle: a spell is emitted when the vehicle moves again.
 
-    State per vehicle is three numbers.  A micro-batch's pings of a vehicle are
-    sorted by event time; the watermark in front bounds how far order may differ
-    between batches.
+    State per vehicle is two numbers: when it stopped (NULL while moving) and its
+    slow pings since.  A micro-batch's pings of a vehicle are taken in event time;
+    their number is bounded by what a trigger admits.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        started, last, slow = state.get if state.exists else (None, None, 0)
+        started, slow = state.get if state.exists else (None, 0)
         spells = []
-        chunks = [f for f in frames if len(f)]
-        if chunks:
-            rows = pd.concat(chunks).sort_values(["ts", "position_id"])
-            for ts, speed in zip(rows["ts"], rows["speed"].astype(float)):
-                at = pd.Timestamp(ts).timestamp()
-                if speed < slow_below:
-                    started, slow = (at, 1) if started is None else (started, slow + 1)
-                elif started is not None:
-                    spells.append((key[0], started, at, (at - started) / 60, slow))
-                    started, slow = None, 0
-                last = at
-            state.update((started, last, slow))
-        out = pd.DataFrame(spells, columns=["vehicle_id", "stopped_at", "until", "delay_minutes", "slow_pings"])
-        for c in ("stopped_at", "until"):
-            out[c] = pd.to_datetime(out[c].astype(float).round(6), unit="s")
-        yield out
-
-    return pings.groupBy("vehicle_id").applyInPandasWithState(
-        step, SPELL_SCHEMA, _SPELL_STATE, "append", GroupStateTimeout.NoTimeout
+        rows = pd.concat(list(frames)).sort_values(["at", "position_id"])
+        for at, is_slow in zip(rows["at"].tolist(), rows["is_slow"].tolist()):
+            if is_slow:
+                started, slow = (at, 1) if started is None else (started, slow + 1)
+            elif started is not None:
+                spells.append((key[0], started, at, slow))
+                started, slow = None, 0
+        state.update((started, slow))
+        yield pd.DataFrame(spells, columns=["vehicle_id", "stopped_at", "until", "slow_pings"])
+
+    rows = pings.select(
+        "vehicle_id",
+        "position_id",
+        F.unix_micros("ts").alias("at"),
+        (F.col("speed") < F.lit(slow_below)).alias("is_slow"),
+    )
+    spells = rows.groupBy("vehicle_id").applyInPandasWithState(
+        step, _SPELL_ROWS, _SPELL_STATE, "append", GroupStateTimeout.NoTimeout
+    )
+    minutes = (F.col("until") - F.col("stopped_at")) / F.lit(1e6) / 60
+    return spells.select(
+        "vehicle_id",
+        F.timestamp_micros("stopped_at").alias("stopped_at"),
+        F.timestamp_micros("until").alias("until"),
+        minutes.alias("delay_minutes"),
+        "slow_pings",
     )
 
 
