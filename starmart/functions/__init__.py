@@ -14,6 +14,7 @@ from starmart.functions.keys import (  # noqa: F401
     date_key,
     datetime_keys,
     duration_minutes,
+    key_of,
     minute_key,
     month_key,
     seconds_between,

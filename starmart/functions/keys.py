@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ def datetime_keys(c: Column | str) -> Column:
     return F.struct(date_key(c).alias("date_key"), time_key(c).alias("time_key"))
 
 
+def key_of(day: dt.date) -> int:
+    """``date_key`` of a known day, for predicates on a fact's key column."""
+    return day.year * 10000 + day.month * 100 + day.day
+
+
 def date_from_key(c: Column | str) -> Column:
     c = _col(c)
     return F.make_date(

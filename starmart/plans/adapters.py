@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.functions import date_key, duration_minutes, minute_key, time_key
+from starmart.functions import date_key
 from starmart.operators import calendar
 from starmart.operators.scd1 import station_rows, user_rows, vehicle_rows
 
@@ -25,8 +25,24 @@ PING_CALENDAR = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 TARIFFS = [(dt.date(1995, 1, 1), "1.00"), (dt.date(1998, 7, 1), "1.10"), (dt.date(2000, 1, 1), "1.25")]
 
 
+# Declared schemas: no file is opened to find out what it holds.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def money(c: str) -> Column:
@@ -156,97 +172,95 @@ def dim_station(spark: SparkSession, sf: str) -> DataFrame:
     return station_rows(stations(spark, sf)).withColumn("station_key", F.col("station_id"))
 
 
-def _trip_id() -> Column:
-    return F.concat_ws(
-        "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
-    )
-
-
-def _second_of_day() -> Column:
-    spread = F.col("l_partkey") * 37 + F.col("l_suppkey") * 101 + F.col("l_linenumber") * 3607
-    return (spread % 86400).cast("int")
+_TRIP_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, date_format(l_shipdate, 'yyyyMMdd'))"
+_SECOND_OF_DAY = "CAST((l_partkey * 37 + l_suppkey * 101 + l_linenumber * 3607) % 86400 AS INT)"
+_RIDE_SECONDS = "CAST(600 + l_quantity * 60 + l_linenumber * 7 AS INT)"
+_ORDER_STATUS = {"completed": "F", "cancelled": "P", "in_progress": "O"}
 
 
 def _after(ts: Column, seconds: Column) -> Column:
     return F.timestamp_add("SECOND", seconds.cast("int"), ts)
 
 
-def _lines_with_orders(spark: SparkSession, sf: str, since: dt.date | None = None) -> DataFrame:
+def _lines_with_orders(
+    spark: SparkSession, sf: str, since: dt.date | None = None, status: str | None = None
+) -> DataFrame:
+    """Lines joined to their order.  What depends on the order alone (day, date key)
+    is computed once per order, before the join."""
     orders = table(spark, sf, "orders")
     if since is not None:
         orders = orders.where(F.col("o_orderdate") >= F.lit(since).cast("timestamp_ntz"))
-    return table(spark, sf, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-
-
-def trips(spark: SparkSession, sf: str, since: dt.date | None = None) -> DataFrame:
-    """Trips as the source system records them; ``since`` prunes at the orders scan."""
-    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "P", "cancelled")
-    start = _after(F.col("o_orderdate"), _second_of_day())
-    rows = _lines_with_orders(spark, sf, since).select(
-        _trip_id().alias("trip_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("l_partkey").alias("route_id"),
-        F.col("l_suppkey").alias("vehicle_id"),
-        (F.col("o_custkey") % 25).alias("start_station_id"),
-        (F.col("l_suppkey") % 25).alias("end_station_id"),
-        start.alias("start_time"),
-        (600 + F.col("l_quantity") * 60 + F.col("l_linenumber") * 7).alias("_seconds"),
-        F.col("l_quantity").cast("decimal(6,2)").alias("distance_km"),
-        money("l_extendedprice").alias("fare"),
-        status.otherwise("in_progress").alias("status"),
+    if status is not None:
+        orders = orders.where(F.col("o_orderstatus") == _ORDER_STATUS[status])
+    orders = orders.selectExpr(
+        "o_orderkey AS l_orderkey", "o_custkey", "o_orderpriority", "o_orderdate", "CAST(o_orderdate AS DATE) AS day",
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'P' THEN 'cancelled' ELSE 'in_progress' END AS status",
+    ).withColumn("date_key", date_key("day"))
+    lines = table(spark, sf, "lineitem").selectExpr(
+        "*", f"{_SECOND_OF_DAY} AS second_of_day", f"{_RIDE_SECONDS} AS ride_seconds"
+    )
+    return lines.join(orders, "l_orderkey")
+
+
+def trips(
+    spark: SparkSession, sf: str, since: dt.date | None = None, status: str | None = None
+) -> DataFrame:
+    """Trips as the source system records them; ``since`` and ``status`` prune at the orders scan."""
+    rows = _lines_with_orders(spark, sf, since, status)
+    return rows.selectExpr(
+        f"{_TRIP_ID} AS trip_id",
+        "o_custkey AS user_id",
+        "l_partkey AS route_id",
+        "l_suppkey AS vehicle_id",
+        "o_custkey % 25 AS start_station_id",
+        "l_suppkey % 25 AS end_station_id",
+        "timestampadd(SECOND, second_of_day, o_orderdate) AS start_time",
+        "CASE WHEN status <> 'in_progress' THEN timestampadd(SECOND, second_of_day + ride_seconds, o_orderdate) END AS end_time",
+        "CAST(l_quantity AS DECIMAL(6,2)) AS distance_km",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS fare",
+        "status",
     )
-    end = F.when(F.col("status") != "in_progress", _after(F.col("start_time"), F.col("_seconds")))
-    return rows.withColumn("end_time", end).drop("_seconds")
 
 
-def fact_trips(spark: SparkSession, sf: str, since: dt.date | None = None) -> DataFrame:
+def fact_trips(
+    spark: SparkSession, sf: str, since: dt.date | None = None, status: str | None = None
+) -> DataFrame:
     """Loaded trip fact: surrogate keys by arithmetic, route key as of the trip's day."""
-    day = F.col("start_time").cast("date")
-    rid = F.col("route_id")
-    version = (
-        F.lit(1)
-        + ((rid % 10 == 0) & (day >= F.lit(TARIFFS[1][0]))).cast("int")
-        + ((rid % 50 == 0) & (day >= F.lit(TARIFFS[2][0]))).cast("int")
-    )
-    return trips(spark, sf, since).select(
-        F.col("user_id").alias("user_key"),
-        route_key(rid, version).alias("route_key"),
-        F.col("vehicle_id").alias("vehicle_key"),
-        date_key("start_time").alias("start_date_key"),
-        time_key("start_time").alias("start_time_key"),
-        minute_key("start_time").alias("start_minute_key"),
-        F.col("start_station_id").alias("start_station_key"),
-        F.col("end_station_id").alias("end_station_key"),
-        "distance_km",
-        duration_minutes("start_time", "end_time").alias("duration_minutes"),
-        F.col("fare").alias("actual_fare"),
-        "trip_id",
-        F.col("status").alias("trip_status"),
-        F.col("start_time").alias("start_timestamp"),
-        F.col("end_time").alias("end_timestamp"),
+    changed = [
+        f"CASE WHEN l_partkey % {every} = 0 AND day >= DATE'{day}' THEN 1 ELSE 0 END"
+        for every, (day, _) in zip((10, 50), TARIFFS[1:])
+    ]
+    return _lines_with_orders(spark, sf, since, status).selectExpr(
+        "o_custkey AS user_key",
+        f"l_partkey * 10 + 1 + {' + '.join(changed)} AS route_key",
+        "l_suppkey AS vehicle_key",
+        "date_key AS start_date_key",
+        "CAST(second_of_day div 3600 * 10000 + second_of_day div 60 % 60 * 100 + second_of_day % 60 AS INT) AS start_time_key",
+        "CAST(second_of_day div 3600 * 10000 + second_of_day div 60 % 60 * 100 AS INT) AS start_minute_key",
+        "o_custkey % 25 AS start_station_key",
+        "l_suppkey % 25 AS end_station_key",
+        "CAST(l_quantity AS DECIMAL(6,2)) AS distance_km",
+        "CASE WHEN status <> 'in_progress' THEN CAST(round(ride_seconds / 60) AS INT) END AS duration_minutes",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS actual_fare",
+        f"{_TRIP_ID} AS trip_id",
+        "status AS trip_status",
+        "timestampadd(SECOND, second_of_day, o_orderdate) AS start_timestamp",
+        "CASE WHEN status <> 'in_progress' THEN timestampadd(SECOND, second_of_day + ride_seconds, o_orderdate) END AS end_timestamp",
     )
 
 
 def transactions(spark: SparkSession, sf: str) -> DataFrame:
     """Payments (N), refunds (R) and top-ups (A), one per line; top-ups carry no trip."""
-    flag = F.col("l_returnflag")
-    kind = F.when(flag == "N", "payment").when(flag == "R", "refund").otherwise("topup")
-    status = F.when(F.col("l_linestatus") == "F", "success").when(F.col("l_linenumber") % 2 == 0, "failed")
-    method = (
-        F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "card")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "cash")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "subscription")
-        .otherwise("balance")
-    )
-    return _lines_with_orders(spark, sf).select(
-        F.concat(F.lit("T"), _trip_id()).alias("transaction_id"),
-        F.col("o_custkey").alias("user_id"),
-        F.when(flag != "A", _trip_id()).alias("trip_id"),
-        money("l_extendedprice").alias("amount"),
-        method.alias("payment_method"),
-        kind.alias("transaction_type"),
-        status.otherwise("pending").alias("status"),
-        _after(F.col("l_shipdate"), _second_of_day()).alias("transaction_date"),
+    return _lines_with_orders(spark, sf).selectExpr(
+        f"concat('T', {_TRIP_ID}) AS transaction_id",
+        "o_custkey AS user_id",
+        f"CASE WHEN l_returnflag <> 'A' THEN {_TRIP_ID} END AS trip_id",
+        "CAST(l_extendedprice AS DECIMAL(10,2)) AS amount",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'card' WHEN '2-HIGH' THEN 'card' WHEN '3-MEDIUM' THEN 'cash' "
+        "WHEN '4-NOT SPECIFIED' THEN 'subscription' ELSE 'balance' END AS payment_method",
+        "CASE l_returnflag WHEN 'N' THEN 'payment' WHEN 'R' THEN 'refund' ELSE 'topup' END AS transaction_type",
+        "CASE WHEN l_linestatus = 'F' THEN 'success' WHEN l_linenumber % 2 = 0 THEN 'failed' ELSE 'pending' END AS status",
+        "timestampadd(SECOND, second_of_day, l_shipdate) AS transaction_date",
     )
 
 

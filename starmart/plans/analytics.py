@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.functions import percentage, ratio
+from starmart.functions import date_from_key, key_of, percentage, ratio
 from starmart.operators.ordered import ntile, number_rows
 
 # Report labels.
@@ -53,6 +53,12 @@ def by_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     return fact.join(F.broadcast(dim_date), F.col("start_date_key") == F.col("date_key"))
 
 
+def since(fact: DataFrame, day: dt.date) -> DataFrame:
+    """Recent part of a fact, by its own key: unlike a filter on the joined calendar
+    this reaches the scan and its partitions."""
+    return fact.where(F.col("start_date_key") >= key_of(day))
+
+
 def by_minute(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
     return fact.join(F.broadcast(dim_time), F.col("start_minute_key") == F.col("time_key"))
 
@@ -282,9 +288,9 @@ def system_kpis(fact: DataFrame) -> DataFrame:
 
 
 def kpi_last_n_days(fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, as_of: dt.date, days: int = 7) -> DataFrame:
-    recent = dim_date.where(F.col("date") >= F.lit(as_of - dt.timedelta(days=days)))
+    recent = since(fact.where(completed()), as_of - dt.timedelta(days=days))
     return (
-        by_date(fact.where(completed()), recent.select("date_key"))
+        by_date(recent, dim_date.select("date_key"))
         .join(dim_route.select("route_key", "transport_type"), "route_key")
         .groupBy("transport_type")
         .agg(
@@ -302,14 +308,14 @@ def cohort_retention(fact: DataFrame, dim_user: DataFrame) -> DataFrame:
     """Active users per registration month and activity month, as a share of the cohort's first month."""
     active = (
         fact.where(completed())
-        .select("user_key", F.trunc(F.col("start_timestamp").cast("date"), "month").alias("activity_month"))
+        .select("user_key", F.floor(F.col("start_date_key") / 100).cast("int").alias("month_key"))
         .distinct()
     )
     cohorts = dim_user.select("user_key", F.trunc("registration_date", "month").alias("cohort_month"))
     # (user, month) is unique here, so counting rows counts distinct users.
     activity = (
         active.join(cohorts, "user_key")
-        .groupBy("cohort_month", "activity_month")
+        .groupBy("cohort_month", date_from_key(F.col("month_key") * 100 + 1).alias("activity_month"))
         .agg(F.count(F.lit(1)).alias("active_users"))
     )
     # Grouped rows per cohort are bounded by the months on record.
@@ -327,8 +333,9 @@ def fare_change_demand(fact: DataFrame, dim_route: DataFrame) -> DataFrame:
     """
     per_day = (
         fact.where(completed())
-        .groupBy("route_key", F.col("start_timestamp").cast("date").alias("day"))
+        .groupBy("route_key", "start_date_key")
         .agg(F.count(F.lit(1)).alias("trips"))
+        .withColumn("day", date_from_key("start_date_key"))
     )
     ids = dim_route.select("route_key", F.col("route_id").alias("trip_route"))
     periods = dim_route.select("route_id", "route_number", "base_fare", "effective_date", "expiration_date")
@@ -359,7 +366,7 @@ def rfm_scores(fact: DataFrame, dim_user: DataFrame, as_of: dt.date, k: int = 10
         fact.where(completed())
         .groupBy("user_key")
         .agg(
-            F.datediff(F.lit(as_of), F.max(F.col("start_timestamp").cast("date"))).alias("recency_days"),
+            F.datediff(F.lit(as_of), date_from_key(F.max("start_date_key"))).alias("recency_days"),
             F.count(F.lit(1)).alias("frequency"),
             F.sum("actual_fare").alias("monetary"),
         )

@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.functions import activity_segment, month_key, percentage, ratio
+from starmart.functions import activity_segment, date_from_key, key_of, month_key, percentage, ratio
 from starmart.operators.merge import summing_merge
 from starmart.operators.ordered import MAX_GROUP_ROWS, rank_within
-from starmart.plans.analytics import by_date, by_minute, completed
+from starmart.plans.analytics import by_date, by_minute, completed, since
 from starmart.sources.writers import replace_partitions, write_sorted
 
 RECENT_DAYS = 30
@@ -24,8 +24,8 @@ def _avg_minutes() -> Column:
     return ratio(F.sum("duration_minutes"), F.count("duration_minutes"))
 
 
-def _recent(dim_date: DataFrame, as_of: dt.date, days: int = RECENT_DAYS) -> DataFrame:
-    return dim_date.where(F.col("date") >= F.lit(as_of - dt.timedelta(days=days)))
+def _recent(fact: DataFrame, as_of: dt.date, days: int = RECENT_DAYS) -> DataFrame:
+    return since(fact, as_of - dt.timedelta(days=days))
 
 
 def popular_routes(fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, as_of: dt.date) -> DataFrame:
@@ -36,9 +36,8 @@ def popular_routes(fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, a
     """
     ids = dim_route.select("route_key", "route_id")
     names = dim_route.where("is_current").select(*ROUTE_COLUMNS)
-    days = _recent(dim_date, as_of).select("date_key")
     return (
-        by_date(fact.where(completed()), days)
+        by_date(_recent(fact.where(completed()), as_of), dim_date.select("date_key"))
         .join(ids, "route_key")
         .groupBy("route_id")
         .agg(
@@ -105,9 +104,9 @@ def user_daily_stats(fact: DataFrame) -> DataFrame:
 def route_hourly(
     fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    days = _recent(dim_date, as_of).select("date_key", "date")
+    recent = _recent(fact.where(completed()), as_of)
     return (
-        by_minute(by_date(fact.where(completed()), days), dim_time.select("time_key", "hour"))
+        by_minute(by_date(recent, dim_date.select("date_key", "date")), dim_time.select("time_key", "hour"))
         .join(dim_route.select("route_key", *ROUTE_COLUMNS), "route_key")
         .groupBy(*ROUTE_COLUMNS, "date", "hour")
         .agg(
@@ -130,7 +129,7 @@ def station_popularity(
     with arrivals alone.  ``unique_users`` is the larger of both sides' distinct
     users; ``unique_users_exact`` counts users of either side once.
     """
-    trips = by_date(fact.where(completed()), _recent(dim_date, as_of).select("date_key", "date"))
+    trips = by_date(_recent(fact.where(completed()), as_of), dim_date.select("date_key", "date"))
     # Both roles of a trip in one pass, then one row per (station, day, user).
     ends = trips.select(
         "date",
@@ -164,11 +163,12 @@ def station_popularity(
 def passenger_flow_by_hour(
     fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    days = _recent(dim_date, as_of).select("date_key", "date", "day_of_week", "is_weekend")
+    recent = _recent(fact.where(completed()), as_of)
+    days = dim_date.select("date_key", "date", "day_of_week", "is_weekend")
     minutes = dim_time.select("time_key", "hour", "is_rush_hour")
     kind = F.col("transport_type")
     return (
-        by_minute(by_date(fact.where(completed()), days), minutes)
+        by_minute(by_date(recent, days), minutes)
         .join(dim_route.select("route_key", "transport_type"), "route_key")
         .groupBy("date", "hour", "day_of_week", "is_weekend", "is_rush_hour")
         .agg(
@@ -202,9 +202,7 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
     Trips are reduced to (user, route) once; the favourite is the maximum of
     those rows (ties: smallest route id), so no window holds a user's routes.
     """
-    since = F.lit(as_of - dt.timedelta(days=RECENT_DAYS))
-    day = F.col("start_timestamp").cast("date")
-    recent = day >= since
+    recent = F.col("start_date_key") >= key_of(as_of - dt.timedelta(days=RECENT_DAYS))
     zero = F.lit(0).cast("decimal(10,2)")
     per_version = (
         fact.where(completed())
@@ -214,7 +212,7 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
             F.sum("actual_fare").alias("spent"),
             F.count_if(recent).alias("trips_30"),
             F.sum(F.when(recent, F.col("actual_fare")).otherwise(zero)).alias("spent_30"),
-            F.max(day).alias("last_day"),
+            F.max("start_date_key").alias("last_day"),
         )
     )
     per_route = (
@@ -228,7 +226,7 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
         F.sum("spent_30").alias("total_spent_last_30d"),
         F.sum("trips").alias("trips_total"),
         F.sum("spent").alias("total_spent_total"),
-        F.max("last_day").alias("last_trip_date"),
+        date_from_key(F.max("last_day")).alias("last_trip_date"),
         F.max(favourite).alias("fav"),
     )
     out = dim_user.select("user_key", "user_id", "username", "registration_date").join(per_user, "user_key", "left")
@@ -255,9 +253,8 @@ def route_performance(
 ) -> DataFrame:
     """Daily route KPIs over trips of all statuses, with a popularity rank per day."""
     status = F.col("trip_status")
-    days = _recent(dim_date, as_of).select("date_key", "date")
     metrics = (
-        by_date(fact, days)
+        by_date(_recent(fact, as_of), dim_date.select("date_key", "date"))
         .join(dim_route.select("route_key", *ROUTE_COLUMNS), "route_key")
         .groupBy(*ROUTE_COLUMNS, "date")
         .agg(

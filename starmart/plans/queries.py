@@ -374,7 +374,7 @@ def transfer_station_flag(spark, sf):
 @query
 def scd1_user_segment(spark, sf):
     users = src.dim_user(spark, sf)
-    segments = marts.user_segmentation(src.fact_trips(spark, sf), users, src.dim_route(spark, sf), AS_OF)
+    segments = marts.user_segmentation(_completed(spark, sf), users, src.dim_route(spark, sf), AS_OF)
     return scd1.apply_segments(users, segments.where(F.col("trips_total") > 0)).select("user_key", "username", "user_segment")
 
 
@@ -704,29 +704,34 @@ def bucket_functions(spark, sf):
 # --- analytic queries -----------------------------------------------------
 
 
+def _completed(spark, sf, since=None):
+    """The fact as read by queries over completed trips: the status prunes at the scan."""
+    return src.fact_trips(spark, sf, since, status="completed")
+
+
 @query
 def top_routes(spark, sf):
-    return analytics.top_routes(src.fact_trips(spark, sf), src.dim_route(spark, sf))
+    return analytics.top_routes(_completed(spark, sf), src.dim_route(spark, sf))
 
 
 @query
 def transport_type_share(spark, sf):
-    return analytics.transport_type_share(src.fact_trips(spark, sf), src.dim_route(spark, sf))
+    return analytics.transport_type_share(_completed(spark, sf), src.dim_route(spark, sf))
 
 
 @query
 def trips_by_hour(spark, sf):
-    return analytics.trips_by_hour(src.fact_trips(spark, sf), src.dim_time(spark))
+    return analytics.trips_by_hour(_completed(spark, sf), src.dim_time(spark))
 
 
 @query
 def weekday_weekend(spark, sf):
-    return analytics.weekday_weekend(src.fact_trips(spark, sf), src.dim_date(spark))
+    return analytics.weekday_weekend(_completed(spark, sf), src.dim_date(spark))
 
 
 @query
 def rush_hour_compare(spark, sf):
-    return analytics.rush_hour_compare(src.fact_trips(spark, sf), src.dim_time(spark))
+    return analytics.rush_hour_compare(_completed(spark, sf), src.dim_time(spark))
 
 
 @query
@@ -736,7 +741,7 @@ def user_segments(spark, sf):
 
 @query
 def top_users(spark, sf):
-    return analytics.top_users(src.fact_trips(spark, sf), src.dim_user(spark, sf))
+    return analytics.top_users(_completed(spark, sf), src.dim_user(spark, sf))
 
 
 @query
@@ -746,12 +751,12 @@ def payment_methods(spark, sf):
 
 @query
 def top_stations(spark, sf):
-    return analytics.top_stations(src.fact_trips(spark, sf), src.dim_station(spark, sf))
+    return analytics.top_stations(_completed(spark, sf), src.dim_station(spark, sf))
 
 
 @query
 def top_station_pairs(spark, sf):
-    return analytics.top_station_pairs(src.fact_trips(spark, sf), src.dim_station(spark, sf))
+    return analytics.top_station_pairs(_completed(spark, sf), src.dim_station(spark, sf))
 
 
 @query
@@ -761,17 +766,17 @@ def vehicle_type_stats(spark, sf):
 
 @query
 def busiest_vehicles(spark, sf):
-    return analytics.busiest_vehicles(src.fact_trips(spark, sf), src.dim_vehicle(spark, sf), src.dim_route(spark, sf))
+    return analytics.busiest_vehicles(_completed(spark, sf), src.dim_vehicle(spark, sf), src.dim_route(spark, sf))
 
 
 @query
 def daily_trips(spark, sf):
-    return analytics.daily_trips(src.fact_trips(spark, sf), src.dim_date(spark))
+    return analytics.daily_trips(_completed(spark, sf), src.dim_date(spark))
 
 
 @query
 def weekly_trips(spark, sf):
-    return analytics.weekly_trips(src.fact_trips(spark, sf), src.dim_date(spark))
+    return analytics.weekly_trips(_completed(spark, sf), src.dim_date(spark))
 
 
 @query
@@ -782,22 +787,22 @@ def system_kpis(spark, sf):
 @query
 def kpi_last_n_days(spark, sf):
     since = AS_OF - dt.timedelta(days=7)
-    return analytics.kpi_last_n_days(src.fact_trips(spark, sf, since), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
+    return analytics.kpi_last_n_days(_completed(spark, sf, since), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
 
 
 @query
 def cohort_retention(spark, sf):
-    return analytics.cohort_retention(src.fact_trips(spark, sf), src.dim_user(spark, sf))
+    return analytics.cohort_retention(_completed(spark, sf), src.dim_user(spark, sf))
 
 
 @query
 def fare_change_demand(spark, sf):
-    return analytics.fare_change_demand(src.fact_trips(spark, sf), src.dim_route(spark, sf))
+    return analytics.fare_change_demand(_completed(spark, sf), src.dim_route(spark, sf))
 
 
 @query
 def rfm_scores(spark, sf):
-    return analytics.rfm_scores(src.fact_trips(spark, sf), src.dim_user(spark, sf), AS_OF)
+    return analytics.rfm_scores(_completed(spark, sf), src.dim_user(spark, sf), AS_OF)
 
 
 # --- views ----------------------------------------------------------------
@@ -806,7 +811,7 @@ def rfm_scores(spark, sf):
 @query
 def completed_trips_view(spark, sf):
     return views.completed_trips(
-        src.fact_trips(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), src.dim_vehicle(spark, sf),
+        _completed(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), src.dim_vehicle(spark, sf),
         src.dim_station(spark, sf), src.dim_date(spark), src.dim_time(spark),
     )
 
@@ -861,7 +866,7 @@ def user_statistics(spark, sf):
 
 @query
 def popular_routes_30d(spark, sf):
-    return marts.popular_routes(src.fact_trips(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
+    return marts.popular_routes(_completed(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
 
 
 @query
@@ -881,11 +886,11 @@ def route_hour_vehicle_stats(spark, sf):
 
 @query
 def user_daily_stats(spark, sf):
-    return marts.user_daily_stats(src.fact_trips(spark, sf))
+    return marts.user_daily_stats(_completed(spark, sf))
 
 
 def _recent_mart_inputs(spark, sf):
-    return src.fact_trips(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark), AS_OF
+    return _completed(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark), AS_OF
 
 
 @query
@@ -895,7 +900,7 @@ def mart_route_hourly(spark, sf):
 
 @query
 def station_popularity(spark, sf):
-    fact = src.fact_trips(spark, sf, RECENT)
+    fact = _completed(spark, sf, RECENT)
     return marts.station_popularity(fact, src.dim_station(spark, sf), src.dim_date(spark), AS_OF)
 
 
@@ -906,7 +911,7 @@ def passenger_flow_by_hour(spark, sf):
 
 @query
 def user_segmentation(spark, sf):
-    return marts.user_segmentation(src.fact_trips(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), AS_OF)
+    return marts.user_segmentation(_completed(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), AS_OF)
 
 
 @query
@@ -927,13 +932,13 @@ def mart_top_revenue(spark, sf):
 @query
 def mart_hourly_averages(spark, sf):
     since = AS_OF - dt.timedelta(days=7)
-    inputs = (src.fact_trips(spark, sf, since), *_recent_mart_inputs(spark, sf)[1:])
+    inputs = (_completed(spark, sf, since), *_recent_mart_inputs(spark, sf)[1:])
     return marts.mart_hourly_averages(marts.passenger_flow_by_hour(*inputs), AS_OF)
 
 
 @query
 def mart_segment_profile(spark, sf):
-    mart = marts.user_segmentation(src.fact_trips(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), AS_OF)
+    mart = marts.user_segmentation(_completed(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), AS_OF)
     return marts.mart_segment_profile(mart)
 
 
@@ -1039,8 +1044,7 @@ def interval_overlaps(spark, sf):
 
 
 def _event_stream(spark, sf):
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    return src.as_pings(readers.stream_files(spark, sf, schema, pathGlobFilter="events.parquet"))
+    return src.as_pings(readers.stream_files(spark, sf, src.SCHEMAS["events"], pathGlobFilter="events.parquet"))
 
 
 def _stream_result(spark, df, label):

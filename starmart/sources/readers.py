@@ -67,7 +67,7 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def stream_files(
-    spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet", **options
+    spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "parquet", **options
 ) -> DataFrame:
     return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
 

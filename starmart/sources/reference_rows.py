@@ -39,23 +39,34 @@ STATION_TYPE_NAMES = {
 UNKNOWN_NAME = "Неизвестно"
 
 
+def _inline_table(spark: SparkSession, rows: list[tuple], columns: str) -> DataFrame:
+    """A literal table: its size is known to the planner and no job builds it."""
+
+    def text(value) -> str:
+        if value is None:
+            return "NULL"
+        return "'" + value + "'" if isinstance(value, str) else str(value)
+
+    values = ", ".join("(" + ", ".join(map(text, row)) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def payment_methods(spark: SparkSession) -> DataFrame:
-    rows = [(i, *row) for i, row in enumerate(PAYMENT_METHODS, 1)]
-    return spark.createDataFrame(
-        rows,
-        "payment_method_key int, payment_method_code string, payment_method_name string, "
-        "payment_category string, requires_balance boolean",
+    return _inline_table(
+        spark,
+        [(i, *row) for i, row in enumerate(PAYMENT_METHODS, 1)],
+        "payment_method_key, payment_method_code, payment_method_name, payment_category, requires_balance",
     )
 
 
 def occupancy_levels(spark: SparkSession) -> DataFrame:
-    rows = [(i, *row) for i, row in enumerate(OCCUPANCY_LEVELS, 1)]
-    return spark.createDataFrame(
-        rows,
-        "occupancy_key int, occupancy_code string, occupancy_name string, occupancy_percentage_min int, "
-        "occupancy_percentage_max int, occupancy_level int, color_code string, description string",
+    return _inline_table(
+        spark,
+        [(i, *row) for i, row in enumerate(OCCUPANCY_LEVELS, 1)],
+        "occupancy_key, occupancy_code, occupancy_name, occupancy_percentage_min, occupancy_percentage_max, "
+        "occupancy_level, color_code, description",
     )
 
 
 def holidays(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(HOLIDAYS, "month int, day int, holiday_name string")
+    return _inline_table(spark, HOLIDAYS, "month, day, holiday_name")
