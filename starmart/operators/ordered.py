@@ -82,32 +82,42 @@ def rank_within(
     return ranked.withColumn(name, (F.col("_rn") - F.col("_first") + 1).cast("int")).drop("_rn", "_first")
 
 
-def running_sum(
+def running_sums(
     df: DataFrame,
     keys: list[str],
     order: list[Column],
-    value: Column,
-    name: str,
+    values: dict[str, Column],
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Sum of ``value`` from the first row of the key up to this one."""
+    """Per new column the sum of its value from the first row of the key up to this one."""
     if largest_group(df, keys) <= max_group_rows:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(name, F.sum(value).over(window))
-    blocks = _blocks(df.withColumn("_value", value), [*map(F.col, keys), *order])
+        return df.withColumns({name: F.sum(value).over(window) for name, value in values.items()})
+    addends = {f"_add_{name}": value for name, value in values.items()}
+    blocks = _blocks(df.withColumns(addends), [*map(F.col, keys), *order])
     inside = Window.partitionBy(_BLOCK, *keys).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         blocks.groupBy(_BLOCK, *keys)
-        .agg(F.sum("_value").alias("_sum"))
-        .select(_BLOCK, *keys, F.sum("_sum").over(earlier).alias("_carry"))
+        .agg(*[F.sum(c).alias(c) for c in addends])
+        .select(
+            _BLOCK,
+            *keys,
+            F.lag(_BLOCK).over(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_before"),
+            *[F.sum(c).over(earlier).alias(f"_carry{c}") for c in addends],
+        )
         # Only a key that began in an earlier block has a carry: at most one per block.
-        .where(F.col("_carry").isNotNull())
+        .where(F.col("_before").isNotNull())
+        .drop("_before")
     )
-    summed = blocks.withColumn("_inside", F.sum("_value").over(inside))
+    summed = blocks.withColumns({f"_inside{c}": F.sum(c).over(inside) for c in addends})
     out = summed.join(F.broadcast(carry), [_BLOCK, *keys], "left")
-    total = F.coalesce(F.col("_inside") + F.col("_carry"), F.col("_inside"), F.col("_carry"))
-    return out.withColumn(name, total).drop(_BLOCK, _POSITION, "_value", "_inside", "_carry")
+
+    def total(c: str) -> Column:
+        inner, before = F.col(f"_inside{c}"), F.col(f"_carry{c}")
+        return F.coalesce(inner + before, inner, before)
+
+    return out.select(*df.columns, *[total(f"_add_{name}").alias(name) for name in values])
 
 
 def previous_row(
@@ -135,5 +145,4 @@ def previous_row(
     )
     # A block's first row of a key has no row before it inside; only that row takes the carry.
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    out = out.withColumns({new: prev[new] for new in columns})
-    return out.drop(_BLOCK, _POSITION, "_row", "_prev", "_carry")
+    return out.select(*df.columns, *[prev[new].alias(new) for new in columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import duration_minutes, haversine_km, percentage, seconds_between
-from starmart.operators.ordered import MAX_GROUP_ROWS, previous_row, running_sum
+from starmart.operators.ordered import MAX_GROUP_ROWS, previous_row, running_sums
 
 # Occupancy rush hours, inclusive.
 OCCUPANCY_RUSH = [(7, 9), (17, 19)]
@@ -27,7 +27,7 @@ def account_balance(transactions: DataFrame) -> DataFrame:
 
 def running_balance(transactions: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     order = [F.col("transaction_date"), F.col("transaction_id")]
-    return running_sum(transactions, ["user_id"], order, ledger_amount(), "running_balance", max_group_rows)
+    return running_sums(transactions, ["user_id"], order, {"running_balance": ledger_amount()}, max_group_rows)
 
 
 def ping_kinematics(pings: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
@@ -60,7 +60,7 @@ def stationary_spells(
     marked = previous_row(slow, ["vehicle_id"], order, {"prev_slow": "slow"}, max_group_rows)
     opens = (F.col("slow") & ~F.coalesce(F.col("prev_slow"), F.lit(False))).cast("int")
     # The moving ping that ends a spell carries the number of the spell before it.
-    numbered = running_sum(marked, ["vehicle_id"], order, opens, "spell", max_group_rows).where(F.col("spell") > 0)
+    numbered = running_sums(marked, ["vehicle_id"], order, {"spell": opens}, max_group_rows).where(F.col("spell") > 0)
     ends = ~F.col("slow") & F.col("prev_slow")
     spells = numbered.where(F.col("slow") | ends).groupBy("vehicle_id", "spell").agg(
         F.min(F.when(F.col("slow"), F.col("ts"))).alias("stopped_at"),
@@ -87,10 +87,12 @@ def occupancy_by_period(pings: DataFrame) -> DataFrame:
 
 def number_stops(stops: DataFrame, order: list[Column], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Sequence number, travel minutes and kilometres from the first stop."""
-    one = F.lit(1).cast("long")
-    numbered = running_sum(stops, ["route_id"], order, one, "seq", max_group_rows)
-    timed = running_sum(numbered, ["route_id"], [F.col("seq")], F.col("travel_minutes"), "minutes_from_start", max_group_rows)
-    return running_sum(timed, ["route_id"], [F.col("seq")], F.col("distance_km"), "km_from_start", max_group_rows)
+    along = {
+        "seq": F.lit(1).cast("long"),
+        "minutes_from_start": F.col("travel_minutes"),
+        "km_from_start": F.col("distance_km"),
+    }
+    return running_sums(stops, ["route_id"], order, along, max_group_rows)
 
 
 def downstream(stops: DataFrame) -> DataFrame:

@@ -70,7 +70,7 @@ def route_hourly_stats(fact: DataFrame, dim_time: DataFrame, first_date_key: int
 
 def refresh_route_hourly(stats: DataFrame, path: str) -> None:
     """Upsert on the grain: whole recomputed days replace the stored ones."""
-    replace_partitions(stats.withColumn("month_key", month_key("date_key")), path, ["month_key", "date_key"])
+    replace_partitions(stats.withColumn("month_key", month_key("date_key")), path, ["month_key", "date_key"], ["route_key", "hour"])
 
 
 def route_hour_vehicle_stats(pings: DataFrame, occupancy: DataFrame) -> DataFrame:

@@ -450,8 +450,7 @@ def fact_idempotent_reload(spark, sf):
         delivered = facts_.unionByName(facts_.where("start_date_key % 100 = 1"))
         once = merge.latest_per_key(delivered, ["trip_id"], [F.col("start_timestamp")])
         monthly = once.withColumn("month_key", fn.month_key("start_date_key"))
-        # Rows of a month gather in few files, and a large month still uses several tasks.
-        writers.replace_partitions(monthly.repartitionByRange("month_key", "trip_id"), path, ["month_key"])
+        writers.replace_partitions(monthly, path, ["month_key"], ["trip_id"])
     return readers.read_parquet(spark, path).groupBy("month_key").agg(
         F.count(F.lit(1)).alias("trips"), F.sum("actual_fare").alias("fares")
     )

@@ -22,8 +22,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Overwrite only the partitions present in ``df``; replaying it is harmless."""
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str], spread_by: list[str] | None = None) -> None:
+    """Overwrite only the partitions present in ``df``; replaying it is harmless.
+
+    ``spread_by`` range-splits the rows on (partition columns, spread columns)
+    first: a task then writes few partitions instead of a file into each, and a
+    partition holding most rows is still shared by several tasks.
+    """
+    if spread_by:
+        df = df.repartitionByRange(*partition_by, *spread_by)
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

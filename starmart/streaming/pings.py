@@ -220,12 +220,17 @@ def refresh_touched_days(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), fact_path, ["start_date_key", "batch_id"])
-        facts = read_or_empty(spark, fact_path, T.StructType([*fact_schema.fields, T.StructField("batch_id", T.IntegerType())]))
-        touched = batch.select("start_date_key").distinct()
-        stats = build(facts.join(touched, "start_date_key", "left_semi"))
-        replace_partitions(stats, mart_path, ["date"])
+        # The batch is read three times below; a lost copy is read from the source again.
+        batch = batch.persist()
+        try:
+            rows = batch.withColumn("batch_id", F.lit(batch_id))
+            replace_partitions(rows, fact_path, ["start_date_key", "batch_id"], ["trip_id"])
+            stored = T.StructType([*fact_schema.fields, T.StructField("batch_id", T.IntegerType())])
+            facts = read_or_empty(batch.sparkSession, fact_path, stored)
+            touched = batch.select("start_date_key").distinct()
+            stats = build(facts.join(touched, "start_date_key", "left_semi"))
+            replace_partitions(stats, mart_path, ["date"], ["route_id", "hour"])
+        finally:
+            batch.unpersist()
 
     return handle
-
