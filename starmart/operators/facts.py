@@ -12,8 +12,8 @@ from starmart.operators.scd2 import as_of_join
 from starmart.operators.surrogate import lookup
 
 
-def resolve_fares(trips: DataFrame, payments: DataFrame, routes: DataFrame) -> DataFrame:
-    """``actual_fare``: what was successfully paid for the trip, else the route's base fare.
+def resolve_fares(trips: DataFrame, payments: DataFrame) -> DataFrame:
+    """``actual_fare``: what was successfully paid for the trip, else its ``base_fare``.
 
     Payments are summed per trip before the join, so several payments cannot
     multiply the trip.
@@ -24,11 +24,8 @@ def resolve_fares(trips: DataFrame, payments: DataFrame, routes: DataFrame) -> D
         .groupBy("trip_id")
         .agg(F.sum("amount").alias("_paid"))
     )
-    priced = trips.join(paid, "trip_id", "left").join(
-        routes.select("route_key", F.col("base_fare").alias("_base_fare")), "route_key", "left"
-    )
-    fare = F.coalesce(F.col("_paid"), F.col("_base_fare")).cast("decimal(10,2)")
-    return priced.withColumn("actual_fare", fare).drop("_paid", "_base_fare")
+    fare = F.coalesce(F.col("_paid"), F.col("base_fare")).cast("decimal(10,2)")
+    return trips.join(paid, "trip_id", "left").withColumn("actual_fare", fare).drop("_paid", "base_fare")
 
 
 def trip_facts(
@@ -45,18 +42,17 @@ def trip_facts(
 ) -> DataFrame:
     """Trip fact rows.  Unresolved keys stay NULL: split them off with ``split_unresolved``."""
     fact = lookup(trips, dim_user, "user_id", "user_id", "user_key")
-    if route_key_mode == "as_of":
-        fact = as_of_join(
-            fact.withColumn("_day", F.col("start_time").cast("date")), dim_route, "route_id", "_day", ["route_key"]
-        )
-    elif route_key_mode == "current":
-        fact = lookup(fact, dim_route.where("is_current"), "route_id", "route_id", "route_key")
-    else:
+    if route_key_mode == "current":
+        dim_route = dim_route.where("is_current").withColumn("effective_date", F.expr("DATE'0001-01-01'"))
+    elif route_key_mode != "as_of":
         raise ValueError(f"unknown route_key_mode {route_key_mode}")
+    # One lookup brings the version's key and its tariff.
+    dated = fact.withColumn("_day", F.col("start_time").cast("date"))
+    fact = as_of_join(dated, dim_route, "route_id", "_day", ["route_key", "base_fare"])
     fact = lookup(fact, dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_key")
     fact = lookup(fact, dim_station, "start_station_id", "station_id", "station_key", "start_station_key")
     fact = lookup(fact, dim_station, "end_station_id", "station_id", "station_key", "end_station_key")
-    fact = resolve_fares(fact, payments, dim_route)
+    fact = resolve_fares(fact, payments)
     return fact.select(
         "user_key",
         "route_key",

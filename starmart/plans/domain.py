@@ -101,8 +101,9 @@ def downstream(stops: DataFrame) -> DataFrame:
     Every later stop is reachable, so counts and prefix differences give the
     answer without listing pairs of stops.
     """
+    # Totals come from the addends, so this side does not repeat the prefix sums.
     ends = stops.groupBy("route_id").agg(
-        F.max("seq").alias("_last"), F.max("minutes_from_start").alias("_minutes"), F.max("km_from_start").alias("_km")
+        F.count(F.lit(1)).alias("_last"), F.sum("travel_minutes").alias("_minutes"), F.sum("distance_km").alias("_km")
     )
     return stops.join(ends, "route_id").select(
         *stops.columns,

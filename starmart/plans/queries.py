@@ -400,8 +400,8 @@ def trip_fact_load(spark, sf):
 
 @query
 def trip_fare_resolution(spark, sf):
-    fact = src.trips(spark, sf).withColumn("route_key", src.route_key(F.col("route_id"), F.lit(1)))
-    priced = facts.resolve_fares(fact, src.transactions(spark, sf), src.dim_route(spark, sf))
+    fares = src.routes(spark, sf).select("route_id", "base_fare")
+    priced = facts.resolve_fares(src.trips(spark, sf).join(fares, "route_id", "left"), src.transactions(spark, sf))
     return priced.groupBy("route_id").agg(F.count(F.lit(1)).alias("trips"), F.sum("actual_fare").alias("revenue"))
 
 

@@ -138,10 +138,11 @@ def active_trips(
 
 def user_statistics(users: DataFrame, trips: DataFrame, transactions: DataFrame) -> DataFrame:
     """Trips and spending per active user.  Each child is reduced to one row per
-    user before the join, so trips cannot multiply payments."""
+    user before the join, so trips cannot multiply payments; and as trip_id is the
+    key of trips, plain counts then equal distinct ones."""
     ridden = trips.groupBy("user_id").agg(
-        F.count_distinct("trip_id").alias("total_trips"),
-        F.count_distinct(F.when(F.col("status") == "completed", F.col("trip_id"))).alias("completed_trips"),
+        F.count("trip_id").alias("total_trips"),
+        F.count_if(F.col("status") == "completed").alias("completed_trips"),
         F.max("start_time").alias("last_trip_date"),
     )
     paid = (F.col("transaction_type") == "payment") & (F.col("status") == "success")

@@ -31,14 +31,13 @@ def test_insert_if_absent_takes_one_row_per_key(spark):
 
 
 def test_fares_come_from_payments_without_fan_out(spark):
-    trips = spark.createDataFrame([("t1", 1), ("t2", 1), ("t3", 1)], "trip_id string, route_key int")
+    trips = spark.createDataFrame([(t, Decimal("50.00")) for t in ("t1", "t2", "t3")], "trip_id string, base_fare decimal(10,2)")
     pay = spark.createDataFrame(
         [("t1", "payment", "success", Decimal("10.00")), ("t1", "payment", "success", Decimal("5.00")),
          ("t2", "payment", "failed", Decimal("99.00")), (None, "topup", "success", Decimal("7.00"))],
         "trip_id string, transaction_type string, status string, amount decimal(10,2)",
     )
-    routes = spark.createDataFrame([(1, Decimal("50.00"))], "route_key int, base_fare decimal(10,2)")
-    out = facts.resolve_fares(trips, pay, routes).orderBy("trip_id").collect()
+    out = facts.resolve_fares(trips, pay).orderBy("trip_id").collect()
     assert [(r["trip_id"], r["actual_fare"]) for r in out] == [("t1", Decimal("15.00")), ("t2", Decimal("50.00")), ("t3", Decimal("50.00"))]
 
 
@@ -66,6 +65,10 @@ def test_trip_facts_edges(spark):
     assert [r["duration_minutes"] for r in out] == [2, None, -1]
     assert (out[0]["start_time_key"], out[0]["start_minute_key"], out[1]["end_date_key"]) == (80059, 80000, None)
     assert {r["actual_fare"] for r in out} == {Decimal("45.00")}
+    early = trips.withColumn("start_time", F.lit(T(2025, 2, 1)).cast("timestamp_ntz"))
+    for mode, key in (("as_of", 21), ("current", 22)):
+        old = facts.trip_facts(early, pay, user, route, vehicle, station, route_key_mode=mode, load_time=T(2025, 3, 2))
+        assert {r["route_key"] for r in old.collect()} == {key}
 
 
 def test_transaction_without_trip_keeps_null_key(spark):
