@@ -6,6 +6,7 @@ from starmart.functions.buckets import (  # noqa: F401
     day_period,
     is_rush_hour,
     maintenance_status,
+    occupancy_code,
     rush_hour_type,
 )
 from starmart.functions.geo import haversine_km  # noqa: F401

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from starmart.sources.reference_rows import OCCUPANCY_LEVELS
+
 # Boundaries and labels of the warehouse contract.
 AGE_GROUPS = [(18, 25, "18-25"), (26, 35, "26-35"), (36, 50, "36-50")]
 AGE_OLDEST = "51+"
@@ -56,3 +58,10 @@ def maintenance_status(last_maintenance: Column, as_of: dt.date) -> Column:
 def activity_segment(recent_trips: Column) -> Column:
     cases = [(recent_trips >= floor, F.lit(label)) for floor, label in ACTIVITY_SEGMENTS]
     return _first_match(cases, F.lit(ACTIVITY_ELSE))
+
+
+def occupancy_code(percent: Column) -> Column:
+    """Occupancy level of a percentage; where ranges overlap the one that starts later wins."""
+    ranges = sorted(((low, high, code) for code, _, low, high, *_ in OCCUPANCY_LEVELS if low is not None), reverse=True)
+    cases = [(percent.between(low, high), F.lit(code)) for low, high, code in ranges]
+    return _first_match(cases, F.lit(None).cast("string"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions import seconds_between
@@ -24,7 +24,7 @@ LOAD_COLUMNS = (
 )
 
 
-def start_record(spark, load_id: int, source: str, table: str, load_type: str, at: dt.datetime) -> DataFrame:
+def start_record(spark: SparkSession, load_id: int, source: str, table: str, load_type: str, at: dt.datetime) -> DataFrame:
     """The control log is append-only: a start record now, an end record later."""
     row = (load_id, source, table, load_type, at, None, None, None, None, "running", None, None)
     return spark.createDataFrame([row], LOAD_COLUMNS)
@@ -86,20 +86,45 @@ def next_watermark(extracted: DataFrame, column: str, watermark: dt.datetime) ->
     return extracted.agg(F.max(column).alias("w")).first()["w"] or watermark
 
 
-def retention_split(df: DataFrame, load_date: str, as_of: dt.date, days: int) -> tuple[DataFrame, Column]:
-    """(rows to keep, predicate of the rows to delete)."""
-    cutoff = as_of - dt.timedelta(days=days)
-    expired = F.col(load_date) < F.lit(cutoff).cast(df.schema[load_date].dataType)
-    return df.where(~expired), expired
+def days_before(as_of: dt.date, days: int) -> dt.date:
+    return as_of - dt.timedelta(days=days)
 
 
-def retention_report(df: DataFrame, table_name: str, load_date: str, as_of: dt.date, days: int) -> DataFrame:
-    """Counts taken before anything is removed."""
-    _, expired = retention_split(df, load_date, as_of, days)
-    return df.agg(
-        F.lit(table_name).alias("table_name"),
-        F.count_if(expired).alias("rows_deleted"),
-        F.count_if(~expired).alias("rows_kept"),
+def years_before(as_of: dt.date, years: int) -> dt.date:
+    # 29 February has no counterpart in most years; the day before does.
+    day = 28 if (as_of.month, as_of.day) == (2, 29) else as_of.day
+    return as_of.replace(year=as_of.year - years, day=day)
+
+
+def expired(df: DataFrame, load_date: str, cutoff: dt.date) -> Column:
+    """Rows dated before the cutoff; a plain comparison with the column's own type."""
+    return F.col(load_date) < F.lit(cutoff).cast(df.schema[load_date].dataType)
+
+
+def retention_reports(tables: list[tuple[str, DataFrame, str, dt.date]]) -> DataFrame:
+    """Rows to delete and to keep per (table, frame, date column, cutoff), counted before anything is removed."""
+    return _union(
+        [
+            df.agg(
+                F.lit(name).alias("table_name"),
+                F.count_if(expired(df, c, cutoff)).alias("rows_deleted"),
+                F.count_if(~expired(df, c, cutoff)).alias("rows_kept"),
+            )
+            for name, df, c, cutoff in tables
+        ]
+    )
+
+
+def drop_expired_partitions(spark: SparkSession, table: str, column: str, cutoff: dt.date) -> DataFrame:
+    """Retention of a catalog table partitioned by ``column`` (a load day): whole
+    partitions are dropped, no file is rewritten.  Returns the rows deleted per day.
+    """
+    old = spark.table(table).where(F.col(column) < F.lit(cutoff)).groupBy(column).count()
+    days = old.collect()  # one row per expired day
+    for day in days:
+        spark.sql(f"ALTER TABLE {table} DROP PARTITION ({column} = DATE'{day[column]}')")
+    return spark.createDataFrame(
+        [(table, d[column], d["count"]) for d in days], f"table_name string, {column} date, rows_deleted bigint"
     )
 
 

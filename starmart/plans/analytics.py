@@ -372,7 +372,7 @@ def rfm_scores(fact: DataFrame, dim_user: DataFrame, as_of: dt.date, k: int = 10
         )
     )
     rfm = (
-        dim_user.select("user_key", "username")
+        dim_user.select("user_key")
         .join(per_user, "user_key", "left")
         .withColumn("frequency", F.coalesce("frequency", F.lit(0)))
     )
@@ -389,9 +389,10 @@ def rfm_scores(fact: DataFrame, dim_user: DataFrame, as_of: dt.date, k: int = 10
     segment = (
         F.when((r >= 4) & (f >= 4) & (m >= 4), "VIP").when(f >= 4, "Loyal").when(r <= 2, "At Risk").otherwise("Regular")
     )
+    best = rfm.withColumn("rfm_segment", segment).orderBy(F.col("monetary").desc_nulls_first(), "user_key").limit(k)
+    # Names are fetched for the k users only.
     return (
-        rfm.withColumn("rfm_segment", segment)
+        best.join(dim_user.select("user_key", "username"), "user_key")
         .orderBy(F.col("monetary").desc_nulls_first(), "user_key")
-        .limit(k)
         .select("username", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_segment")
     )

@@ -419,6 +419,7 @@ QUERIES = {
         _retention("stg_trips", "s_trips", "start_time", "DATE '2001-07-25'"),
         _retention("stg_users", "s_users", "registration_date", "DATE '2001-07-25'"),
         _retention("stg_vehicle_positions", "events", "ts", "DATE '2024-01-28'"),
+        _retention("fact_vehicle_positions", "events", "ts", "DATE '2023-11-02'"),
         _retention("fact_trips", "s_trips", "start_time", "DATE '1998-08-01'"),
         _retention("fact_transactions", "s_txns", "transaction_date", "DATE '1994-08-01'"),
     ),

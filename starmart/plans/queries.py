@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart import functions as fn
-from starmart.operators import calendar, control, facts, merge, ordered, quality, scd1, scd2, surrogate
+from starmart.operators import calendar, control, facts, merge, quality, scd1, scd2, surrogate
 from starmart.plans import adapters as src
 from starmart.plans import analytics, domain, marts, views
 from starmart.session import ensure_utc, new_path
@@ -444,10 +444,10 @@ def transaction_fact_load(spark, sf):
 @query
 def fact_idempotent_reload(spark, sf):
     """A day's facts delivered twice, with repeats, are stored once."""
-    facts_ = src.fact_trips(spark, sf).select("trip_id", "start_date_key", "trip_status", "actual_fare", "start_timestamp")
+    rows = src.fact_trips(spark, sf).select("trip_id", "start_date_key", "trip_status", "actual_fare", "start_timestamp")
     path = new_path(spark, "reload")
     for _ in range(2):
-        delivered = facts_.unionByName(facts_.where("start_date_key % 100 = 1"))
+        delivered = rows.unionByName(rows.where("start_date_key % 100 = 1"))
         once = merge.latest_per_key(delivered, ["trip_id"], [F.col("start_timestamp")])
         monthly = once.withColumn("month_key", fn.month_key("start_date_key"))
         writers.replace_partitions(monthly, path, ["month_key"], ["trip_id"])
@@ -502,22 +502,18 @@ def _staging(spark, sf):
 @query
 def retention_cleanup(spark, sf):
     """Rows staging cleanup and fact retention would delete."""
-    stage, days = _staging(spark, sf), {"stg_trips": control.STAGING_RETENTION_DAYS, "stg_users": control.STAGING_RETENTION_DAYS}
-    parts = [control.retention_report(*((stage[n][0], n, stage[n][1], AS_OF, d))) for n, d in days.items()]
-    parts.append(
-        control.retention_report(
-            stage["stg_vehicle_positions"][0], "stg_vehicle_positions", "ts", PING_AS_OF.date(), control.STREAM_RETENTION_DAYS
-        )
+    trips, payments, events = src.trips(spark, sf), src.transactions(spark, sf), src.pings(spark, sf)
+    week, ping_day = control.STAGING_RETENTION_DAYS, PING_AS_OF.date()
+    return control.retention_reports(
+        [
+            ("stg_trips", trips, "start_time", control.days_before(AS_OF, week)),
+            ("stg_users", src.users(spark, sf), "registration_date", control.days_before(AS_OF, week)),
+            ("stg_vehicle_positions", events, "ts", control.days_before(ping_day, control.STREAM_RETENTION_DAYS)),
+            ("fact_vehicle_positions", events, "ts", control.days_before(ping_day, control.POSITION_RETENTION_DAYS)),
+            ("fact_trips", trips, "start_time", control.years_before(AS_OF, control.TRIP_RETENTION_YEARS)),
+            ("fact_transactions", payments, "transaction_date", control.years_before(AS_OF, control.TRANSACTION_RETENTION_YEARS)),
+        ]
     )
-    years = {"fact_trips": ("stg_trips", control.TRIP_RETENTION_YEARS), "fact_transactions": ("stg_transactions", control.TRANSACTION_RETENTION_YEARS)}
-    for name, (source, keep) in years.items():
-        df, c = stage[source]
-        span = (AS_OF - AS_OF.replace(year=AS_OF.year - keep)).days
-        parts.append(control.retention_report(df, name, c, AS_OF, span))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
 
 
 @query
@@ -686,17 +682,7 @@ def bucket_functions(spark, sf):
         F.lit("maintenance").alias("kind"), fn.maintenance_status(F.col("last_maintenance_date"), AS_OF).alias("bucket")
     ).count()
     period = src.pings(spark, sf).groupBy(F.lit("day_period").alias("kind"), fn.day_period(F.hour("ts")).alias("bucket")).count()
-    # Percentage -> level; where ranges overlap the one that starts later wins.
-    levels = reference_rows.occupancy_levels(spark)
-    by_range = F.col("bearing").between(F.col("occupancy_percentage_min"), F.col("occupancy_percentage_max"))
-    percents = src.pings(spark, sf).groupBy("bearing").agg(F.count(F.lit(1)).alias("count"))
-    load = (
-        percents.join(F.broadcast(levels), by_range, "left")
-        .groupBy("bearing", "count")
-        .agg(F.max_by("occupancy_code", "occupancy_percentage_min").alias("bucket"))
-        .groupBy(F.lit("occupancy").alias("kind"), "bucket")
-        .agg(F.sum("count").alias("count"))
-    )
+    load = src.pings(spark, sf).groupBy(F.lit("occupancy").alias("kind"), fn.occupancy_code(F.col("bearing")).alias("bucket")).count()
     return ages.unionByName(care).unionByName(period).unionByName(load).withColumnRenamed("count", "members")
 
 
@@ -1153,7 +1139,7 @@ def mart_incremental(spark, sf):
     dims = (src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark))
     mart = new_path(spark, "mart")
     handle = streaming.refresh_touched_days(
-        new_path(spark, "facts"), mart, fact.schema, lambda facts_: marts.route_hourly(facts_, *dims, AS_OF)
+        new_path(spark, "facts"), mart, fact.schema, lambda part: marts.route_hourly(part, *dims, AS_OF)
     )
     streaming.run_batches(stream, handle, new_path(spark, "mart-checkpoint"))
     return spark.read.parquet(mart)

@@ -114,10 +114,20 @@ def test_incremental_round(spark):
     assert control.next_watermark(newer.where("id > 9"), "at", T(2025, 1, 2)) == T(2025, 1, 2)
 
 
-def test_retention_counts_before_deleting(spark):
-    df = spark.createDataFrame([(dt.date(2025, 1, d),) for d in (1, 5, 8, 9)], "load_date date")
-    row = control.retention_report(df, "t", "load_date", dt.date(2025, 1, 15), 7).first()
-    assert (row["rows_deleted"], row["rows_kept"]) == (2, 2)
+def test_retention_counts_before_deleting(spark, tmp_path):
+    df = spark.createDataFrame([(dt.date(2025, 1, d), d) for d in (1, 5, 5, 8, 9)], "load_day date, v int")
+    cutoff = control.days_before(dt.date(2025, 1, 15), 7)
+    row = control.retention_reports([("t", df, "load_day", cutoff)]).first()
+    assert (row["rows_deleted"], row["rows_kept"]) == (3, 2)
+    df.write.partitionBy("load_day").option("path", str(tmp_path / "t")).saveAsTable("retained")
+    gone = control.drop_expired_partitions(spark, "retained", "load_day", cutoff).collect()
+    assert sorted((r["load_day"].day, r["rows_deleted"]) for r in gone) == [(1, 1), (5, 2)]
+    assert sorted(r["v"] for r in spark.table("retained").collect()) == [8, 9]
+    spark.sql("DROP TABLE retained")
+
+
+def test_years_before_leap_day():
+    assert control.years_before(dt.date(2024, 2, 29), 3) == dt.date(2021, 2, 28)
 
 
 def test_quality_results(spark):
