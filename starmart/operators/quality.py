@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -68,6 +69,13 @@ def _results(violations: DataFrame, table_name: str) -> DataFrame:
     )
 
 
+def stamp_results(results: DataFrame, load_id: int, at: dt.datetime) -> DataFrame:
+    """Check results as stored: with the load they belong to and the time of the check."""
+    return results.withColumns(
+        {"load_id": F.lit(load_id).cast("bigint"), "check_timestamp": F.lit(at).cast("timestamp_ntz")}
+    )
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 

@@ -204,9 +204,10 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
     """
     recent = F.col("start_date_key") >= key_of(as_of - dt.timedelta(days=RECENT_DAYS))
     zero = F.lit(0).cast("decimal(10,2)")
-    per_version = (
+    per_route = (
         fact.where(completed())
-        .groupBy("user_key", "route_key")
+        .join(dim_route.select("route_key", "route_id"), "route_key", "left")
+        .groupBy("user_key", "route_id")
         .agg(
             F.count(F.lit(1)).alias("trips"),
             F.sum("actual_fare").alias("spent"),
@@ -215,11 +216,6 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
             F.max("start_date_key").alias("last_day"),
         )
     )
-    per_route = (
-        per_version.join(dim_route.select("route_key", "route_id"), "route_key", "left")
-        .groupBy("user_key", "route_id")
-        .agg(*[F.sum(c).alias(c) for c in ("trips", "spent", "trips_30", "spent_30")], F.max("last_day").alias("last_day"))
-    )
     favourite = F.when(F.col("route_id").isNotNull(), F.struct(F.col("trips").alias("n"), (-F.col("route_id")).alias("r")))
     per_user = per_route.groupBy("user_key").agg(
         F.sum("trips_30").alias("trips_last_30d"),

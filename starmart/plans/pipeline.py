@@ -47,6 +47,7 @@ def run(
     as_of: dt.date,
     load_time: dt.datetime,
     previous: str | None = None,
+    load_id: int = 0,
     calendar_range: tuple[dt.date, dt.date] | None = None,
 ) -> DataFrame:
     """Load one snapshot and return its row counts.
@@ -137,7 +138,7 @@ def run(
     checks = quality.unique_check(fact_trips, "fact_trips", ["trip_id"]).unionByName(
         quality.foreign_key_check(fact_trips, dim_route, "route_key", "route_key", "fact_trips")
     )
-    checks.write.mode("overwrite").parquet(f"{out_dir}/quality/{as_of:%Y%m%d}")
+    quality.stamp_results(checks, load_id, load_time).write.mode("overwrite").parquet(f"{out_dir}/quality/{as_of:%Y%m%d}")
     return control.table_counts(
         {
             "dim_user": dim_user,
@@ -154,17 +155,18 @@ def run(
 
 def log_load(
     spark: SparkSession, log_path: str, load_id: int, source: str, table: str, load_type: str,
-    clock: Callable[[], dt.datetime], work: Callable[[], int],
+    clock: Callable[[], dt.datetime], work: Callable[[], tuple[int, dt.datetime | None]],
 ) -> None:
     """Run ``work`` between a start and an end record of the control log.
 
-    ``work`` returns the rows it inserted.  A failure is recorded and raised again.
+    ``work`` returns the rows it inserted and the watermark it reached, if any.
+    A failure is recorded and raised again.
     """
     begun = control.start_record(spark, load_id, source, table, load_type, clock())
     begun.write.mode("append").parquet(log_path)
     try:
-        rows = work()
+        rows, watermark = work()
     except Exception as err:
         control.end_records(begun, "failed", clock(), error=str(err)).write.mode("append").parquet(log_path)
         raise
-    control.end_records(begun, "success", clock(), inserted=rows).write.mode("append").parquet(log_path)
+    control.end_records(begun, "success", clock(), inserted=rows, watermark=watermark).write.mode("append").parquet(log_path)

@@ -13,7 +13,7 @@ from starmart import functions as fn
 from starmart.operators import calendar, control, facts, merge, quality, scd1, scd2, surrogate
 from starmart.plans import adapters as src
 from starmart.plans import analytics, domain, marts, views
-from starmart.session import ensure_utc, new_path
+from starmart.session import ensure_utc, new_path, stage
 from starmart.sources import readers, reference_rows, writers
 from starmart.streaming import pings as streaming
 
@@ -976,7 +976,8 @@ def route_reachability(spark, sf):
 @query
 def route_legs(spark, sf):
     """Rides from every stop, as many stops ahead as its minutes say."""
-    stops = _numbered_stops(spark, sf)
+    # Read three times below: numbered once, then column-pruned scans of the result.
+    stops = stage(_numbered_stops(spark, sf), "stops")
     requests = stops.select(
         "route_id", F.col("seq").alias("start_seq"), (F.col("seq") + F.col("travel_minutes") - 1).alias("end_seq")
     )

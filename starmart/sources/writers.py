@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,13 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
     writer.parquet(path)
 
 
+def write_counted(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> int:
+    """Write and return the number of rows written, observed on the way: no second pass."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode, partition_by)
+    return seen.get["rows"]
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -54,7 +61,7 @@ def write_sorted(df: DataFrame, path: str, partition_by: list[str], sort_by: lis
     )
 
 
-def truncate(path: str, schema: T.StructType, spark) -> None:
+def truncate(path: str, schema: T.StructType, spark: SparkSession) -> None:
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 

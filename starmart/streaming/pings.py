@@ -6,12 +6,14 @@ a checkpointed query, so a restarted job neither loses nor repeats rows.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from starmart.functions import ratio
@@ -111,8 +113,16 @@ def vehicle_sessions(pings: DataFrame, gap: str = "30 minutes") -> DataFrame:
     )
 
 
-def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Process what is available and stop."""
+def _finish(query: StreamingQuery) -> dt.datetime | None:
+    """Wait for the end; the event-time watermark reached, for the load control."""
+    query.awaitTermination()
+    progress = query.lastProgress
+    reached = (progress or {}).get("eventTime", {}).get("watermark")
+    return dt.datetime.fromisoformat(reached).replace(tzinfo=None) if reached else None
+
+
+def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> dt.datetime | None:
+    """Process what is available, stop, and return the watermark."""
     query = (
         df.writeStream.format("parquet")
         .outputMode(mode)
@@ -121,10 +131,12 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append"
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    return _finish(query)
 
 
-def run_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+def run_batches(
+    df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append"
+) -> dt.datetime | None:
     query = (
         df.writeStream.foreachBatch(handle)
         .outputMode(mode)
@@ -132,7 +144,7 @@ def run_batches(df: DataFrame, handle: Callable[[DataFrame, int], None], checkpo
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
+    return _finish(query)
 
 
 def append_batches(path: str, partition_by: list[str]) -> Callable[[DataFrame, int], None]:

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from starmart.plans import adapters as src
 from starmart.plans import pipeline
+from starmart.sources import writers
 
 SF_DIR = "/root/testdata/sf0.001"
 
 
 SINCE = dt.date(2001, 6, 20)
+MARK = dt.datetime(2024, 12, 31)
 
 
 def trips(spark):
@@ -59,7 +61,7 @@ def test_load_log_records_failure(spark, tmp_path):
     def broken():
         raise RuntimeError("no source")
 
-    pipeline.log_load(spark, log, 1, "OLTP", "users", "full", lambda: next(ticks), lambda: 7)
+    pipeline.log_load(spark, log, 1, "OLTP", "users", "full", lambda: next(ticks), lambda: (writers.write_counted(spark.range(7), str(tmp_path / "t")), MARK))
     try:
         pipeline.log_load(spark, log, 2, "OLTP", "users", "full", lambda: next(ticks), broken)
     except RuntimeError:
@@ -67,4 +69,6 @@ def test_load_log_records_failure(spark, tmp_path):
     from starmart.operators.control import load_state
 
     state = load_state(spark.read.parquet(log)).orderBy("load_id").collect()
-    assert [(r["load_id"], r["status"], r["rows_inserted"], r["error_message"]) for r in state] == [(1, "success", 7, None), (2, "failed", 0, "no source")]
+    assert [(r["load_id"], r["status"], r["rows_inserted"], r["watermark_value"], r["error_message"]) for r in state] == [
+        (1, "success", 7, MARK, None), (2, "failed", 0, None, "no source")
+    ]

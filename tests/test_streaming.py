@@ -36,8 +36,9 @@ def batches(spark, folder, *groups):
     return readers.stream_files(spark, f"{folder}/in/*", SCHEMA, maxFilesPerTrigger="1", latestFirst="false")
 
 
-def collect(spark, df, folder):
-    streaming.run_to_table(df, f"{folder}/out", f"{folder}/cp")
+def collect(spark, df, folder, reached=None):
+    mark = streaming.run_to_table(df, f"{folder}/out", f"{folder}/cp")
+    assert reached is None or mark == reached
     return spark.read.schema(df.schema).parquet(f"{folder}/out")
 
 
@@ -48,7 +49,7 @@ def test_late_and_duplicate_pings(spark, tmp_path):
         [(3, 1, 15, 1.0), (2, 1, 20, 1.0), (4, 1, 60, 1.0)],   # 15 is within the watermark of 20 - 10
         [(5, 1, 5, 1.0), (6, 1, 61, 1.0)],                      # 5 is too late
     )
-    out = collect(spark, streaming.deduplicate(streaming.with_event_time(stream)).select("position_id"), tmp_path)
+    out = collect(spark, streaming.deduplicate(streaming.with_event_time(stream)).select("position_id"), tmp_path, dt.datetime(2025, 1, 1, 0, 51))
     assert sorted(r["position_id"] for r in out.collect()) == [1, 2, 3, 4, 6]
 
 
