@@ -1030,7 +1030,8 @@ def interval_overlaps(spark, sf):
 
 
 def _event_stream(spark, sf):
-    return src.as_pings(readers.stream_files(spark, sf, src.SCHEMAS["events"], pathGlobFilter="events.parquet"))
+    # The bracket makes the path a glob, which a stream accepts for one file and for a folder of files.
+    return src.as_pings(readers.stream_files(spark, f"{sf}/events.parque[t]", src.SCHEMAS["events"]))
 
 
 def _stream_result(spark, df, label):
@@ -1039,6 +1040,14 @@ def _stream_result(spark, df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _arriving(spark, df, key, consume):
+    """Deliver ``df`` in three slices, each consumed before the next arrives."""
+    folder = new_path(spark, "arriving")
+    for n in range(3):
+        df.where(F.pmod(F.xxhash64(key), F.lit(3)) == n).write.mode("append").parquet(folder)
+        consume(readers.stream_files(spark, folder, df.schema))
+
+
 def _json_folder(spark, sf):
     """Events as JSON lines: errors are cut short, signups lack a readable time."""
     ts = F.when(F.col("event_type") == "signup", "soon").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
@@ -1102,12 +1111,9 @@ def stream_vehicle_sessions(spark, sf):
 def stream_latest_position(spark, sf):
     """Latest position per vehicle, kept over several micro-batches."""
     pings = src.pings(spark, sf)
-    folder = new_path(spark, "ping-files")
-    pings.repartition(3, "position_id").write.parquet(folder)
-    stream = readers.stream_files(spark, folder, pings.schema, maxFilesPerTrigger="1")
-    path = new_path(spark, "latest")
+    path, checkpoint = new_path(spark, "latest"), new_path(spark, "latest-checkpoint")
     handle = streaming.keep_latest(path, pings.schema, ["vehicle_id"], ["ts", "position_id"])
-    streaming.run_batches(stream, handle, new_path(spark, "latest-checkpoint"))
+    _arriving(spark, pings, "position_id", lambda stream: streaming.run_batches(stream, handle, checkpoint))
     versions = spark.read.parquet(path)
     newest = versions.agg(F.max("version")).first()[0]
     return versions.where(F.col("version") == newest).drop("version")
@@ -1134,13 +1140,10 @@ def position_fact_load(spark, sf):
 def mart_incremental(spark, sf):
     """Route-hour mart kept over a stream of trip facts in several batches."""
     fact = src.fact_trips(spark, sf, RECENT)
-    folder = new_path(spark, "fact-files")
-    fact.repartition(3, "trip_id").write.parquet(folder)
-    stream = readers.stream_files(spark, folder, fact.schema, maxFilesPerTrigger="1")
     dims = (src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark))
-    mart = new_path(spark, "mart")
+    mart, checkpoint = new_path(spark, "mart"), new_path(spark, "mart-checkpoint")
     handle = streaming.refresh_touched_days(
         new_path(spark, "facts"), mart, fact.schema, lambda part: marts.route_hourly(part, *dims, AS_OF)
     )
-    streaming.run_batches(stream, handle, new_path(spark, "mart-checkpoint"))
+    _arriving(spark, fact, "trip_id", lambda stream: streaming.run_batches(stream, handle, checkpoint))
     return spark.read.parquet(mart)
