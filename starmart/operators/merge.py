@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], version: list[Column]) -> DataFrame:
-    """The row with the greatest version per key.
+    """The row with the greatest version per key; equal versions fall to the greatest row,
+    so a re-run picks the same.
 
     An aggregate, not a window: rows of a hot key are reduced before the shuffle.
     """
     rest = [c for c in df.columns if c not in keys]
-    best = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*version)).alias("_best"))
+    best = df.groupBy(*keys).agg(F.max(F.struct(F.struct(*version).alias("_version"), *rest)).alias("_best"))
     return best.select(*keys, *[F.col("_best")[c].alias(c) for c in rest]).select(*df.columns)
 
 

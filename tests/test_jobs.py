@@ -24,6 +24,12 @@ def test_upsert_and_idempotence(spark):
     assert twice == once.drop("at").orderBy("id").collect()
 
 
+def test_latest_per_key_breaks_ties_by_row(spark):
+    df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "z"), (2, None, "n")], "k int, v int, x string")
+    out = merge.latest_per_key(df, ["k"], [F.col("v")]).orderBy("k").collect()
+    assert [tuple(r) for r in out] == [(1, 5, "b"), (2, None, "n")]
+
+
 def test_insert_if_absent_takes_one_row_per_key(spark):
     target = spark.createDataFrame([(1, "a")], "id int, v string")
     source = spark.createDataFrame([(1, "z"), (2, "q"), (2, "p")], "id int, v string")
