@@ -47,6 +47,13 @@ def _block_offsets(blocks: DataFrame) -> DataFrame:
     )
 
 
+def _join_keys(rows: DataFrame, side: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Equi join in which a NULL key meets itself, as it does inside a window."""
+    renamed = side.withColumnsRenamed({k: f"_side_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_side_{k}")) for k in keys]
+    return rows.join(renamed, same, how).drop(*[f"_side_{k}" for k in keys])
+
+
 def number_rows(
     df: DataFrame, order: list[Column], name: str, total: str | None = None, start: int = 1
 ) -> DataFrame:
@@ -78,7 +85,7 @@ def rank_within(
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     numbered = number_rows(df, [*map(F.col, keys), *order], "_rn")
     first = numbered.groupBy(*keys).agg(F.min("_rn").alias("_first"))
-    ranked = numbered.join(first, keys)
+    ranked = _join_keys(numbered, first, keys, "inner")
     return ranked.withColumn(name, (F.col("_rn") - F.col("_first") + 1).cast("int")).drop("_rn", "_first")
 
 
@@ -111,7 +118,7 @@ def running_sums(
         .drop("_before")
     )
     summed = blocks.withColumns({f"_inside{c}": F.sum(c).over(inside) for c in addends})
-    out = summed.join(F.broadcast(carry), [_BLOCK, *keys], "left")
+    out = _join_keys(summed, F.broadcast(carry), [_BLOCK, *keys], "left")
 
     def total(c: str) -> Column:
         inner, before = F.col(f"_inside{c}"), F.col(f"_carry{c}")
@@ -140,8 +147,8 @@ def previous_row(
         .select(_BLOCK, *keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_carry"))
         .where(F.col("_carry").isNotNull())  # at most one key per block, as above
     )
-    out = blocks.withColumn("_prev", F.lag("_row").over(inside)).join(
-        F.broadcast(carry), [_BLOCK, *keys], "left"
+    out = _join_keys(
+        blocks.withColumn("_prev", F.lag("_row").over(inside)), F.broadcast(carry), [_BLOCK, *keys], "left"
     )
     # A block's first row of a key has no row before it inside; only that row takes the carry.
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))

@@ -9,8 +9,8 @@ from starmart.operators import ordered
 
 @pytest.fixture(scope="module")
 def rows(spark):
-    """5 000 rows, a third of them under key 0; every seventh value missing."""
-    key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40)
+    """5 000 rows, a third of them under key 0, some under NULL; every seventh value missing."""
+    key = F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 5 != 1, F.col("id") % 40)
     value = F.when(F.col("id") % 7 != 0, (F.col("id") * 7919 % 101).cast("decimal(10,2)"))
     return spark.range(5000, numPartitions=7).select(
         "id", key.alias("k"), ((F.col("id") * 7907) % 5003).alias("t"), value.alias("v")
