@@ -79,3 +79,15 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
 
 def id_column(df: DataFrame, name: str) -> Column:
     return df[name].cast("long")
+
+
+class Remembered(dict):
+    """A dictionary that makes a missing value from its key."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import exact_dedup, simhash_dedup
+from starmart.llm import bpe_prefix, exact_dedup, repair_ids, simhash_dedup, viterbi_counts
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_ids.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.cluster(table(spark, sf_dir, "documents"))
 
@@ -20,7 +25,15 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_prefix.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Query] = {
-    "op3_simhash_near_dedup": op3_simhash_near_dedup,
-    "op4_exact_dedup": op4_exact_dedup,
+    f.__name__: f
+    for f in (op1_repair_token_ids, op3_simhash_near_dedup, op4_exact_dedup, op9_bpe_encode_decode, op10_token_counts)
 }
