@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe_prefix, exact_dedup, repair_ids, simhash_dedup, viterbi_counts
+from starmart.llm import bpe_prefix, exact_dedup, language_id, repair_ids, simhash_dedup, viterbi_counts
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_prefix.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -35,5 +39,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_repair_token_ids, op3_simhash_near_dedup, op4_exact_dedup, op9_bpe_encode_decode, op10_token_counts)
+    for f in (op1_repair_token_ids, op3_simhash_near_dedup, op4_exact_dedup, op8_language_id, op9_bpe_encode_decode, op10_token_counts)
 }
