@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe_prefix, exact_dedup, language_id, repair_ids, simhash_dedup, viterbi_counts
+from starmart.llm import bpe_prefix, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, tag_paths, viterbi_counts
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def op1_repair_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_ids.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_html_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tag_paths.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.cluster(table(spark, sf_dir, "documents"))
 
@@ -25,6 +29,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, with the item and how similar they are."""
+    found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "first_word")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -39,5 +49,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_repair_token_ids, op3_simhash_near_dedup, op4_exact_dedup, op8_language_id, op9_bpe_encode_decode, op10_token_counts)
+    for f in (
+        op1_repair_token_ids, op2_html_tag_paths, op3_simhash_near_dedup, op4_exact_dedup, op6_benchmark_decontamination,
+        op8_language_id, op9_bpe_encode_decode, op10_token_counts,
+    )
 }
