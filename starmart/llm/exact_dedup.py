@@ -18,6 +18,7 @@ Columns of any name and type pass through ``keep_first``.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,11 +76,12 @@ def probe(keyed: DataFrame, words: int) -> DataFrame:
 
 
 def mark_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bits: int = MAX_FILTER_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bits: int = MAX_FILTER_BITS,
+    key: Callable[[Column], Column] = digest,
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     source = only(docs, doc_id=id_col, text=text_col)
-    keyed = stage(source.select("doc_id", digest(F.col("text")).alias("_digest")), "digests")
+    keyed = stage(source.select("doc_id", key(F.col("text")).alias("_digest")), "digests")
     out = None
     for rows, words in _segments(keyed, keyed.count(), max_filter_bits):
         probed = probe(rows, words)
@@ -106,12 +108,13 @@ def _settle(candidates: DataFrame) -> DataFrame:
 
 
 def keep_first(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bits: int = MAX_FILTER_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_filter_bits: int = MAX_FILTER_BITS,
+    key: Callable[[Column], Column] = digest,
 ) -> DataFrame:
     """The documents with all their columns, one for each text; only possible repeats are shuffled."""
     row = free_name(docs, "_row")
     keyed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns]).alias(row), digest(docs[text_col]).alias("_digest"),
+        F.struct(*[docs[c] for c in docs.columns]).alias(row), key(docs[text_col]).alias("_digest"),
         docs[id_col].alias("_id"),
     )
     out = None

@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import bpe_prefix, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, tag_paths, viterbi_counts
+from starmart.llm import (
+    bpe_prefix, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, substring_dedup, suffix_array_dedup,
+    tag_paths, viterbi_counts,
+)
 from starmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,12 +32,20 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that hold a benchmark item, with the item and how similar they are."""
     found = decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "similarity", "first_word")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_spans(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -50,7 +61,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_repair_token_ids, op2_html_tag_paths, op3_simhash_near_dedup, op4_exact_dedup, op6_benchmark_decontamination,
-        op8_language_id, op9_bpe_encode_decode, op10_token_counts,
+        op1_repair_token_ids, op2_html_tag_paths, op3_simhash_near_dedup, op4_exact_dedup, op5_suffix_array_dedup,
+        op6_benchmark_decontamination, op7_substring_dedup, op8_language_id, op9_bpe_encode_decode, op10_token_counts,
     )
 }
