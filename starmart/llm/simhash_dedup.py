@@ -155,8 +155,115 @@ def cluster(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, radius: int = RADIUS) -> DataFrame:
-    """The documents, of each component the row with the smallest id; rows of a null id stay."""
-    out = cluster(docs, id_col, text_col, width, radius)
-    gone = out.where(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+# --- near copies by similarity -----------------------------------------------------------
+
+COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
+COPY_RADIUS = 18  # texts 0.8 similar were never found further apart than 17 bits
+BANDS, ROWS = 8, 3  # a pair 0.8 similar shares one of 8 keys of 3 least hashes with probability 0.997
+
+
+def _shingle_hashes(text: str, width: int) -> np.ndarray:
+    words = text.encode("utf-8", "replace").lower().split()
+    digest = xxhash.xxh64_intdigest
+    runs = [b" ".join(words)] if 0 < len(words) < width else [b" ".join(words[i : i + width]) for i in range(len(words) - width + 1)]
+    return np.array([digest(r, 42) for r in runs], dtype=np.uint64)
+
+
+def _sketches(docs: DataFrame, width: int) -> DataFrame:
+    """(node, doc_id, fp, least): SimHash of the shingles, and the least of them in each of BANDS * ROWS orders."""
+    orders = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep, fps, least = [], [], []
+        for n, text in enumerate(texts(batch)):
+            hashes = _shingle_hashes(text, width)
+            if len(hashes):
+                keep.append(n)
+                counts = np.zeros(64, np.int64)
+                low = np.full(len(orders), np.iinfo(np.uint64).max, np.uint64)
+                for lo in range(0, len(hashes), HASH_BLOCK):
+                    block = hashes[lo : lo + HASH_BLOCK]
+                    counts += np.unpackbits(block.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+                    low = np.minimum(low, [(block * a).min() for a in orders])
+                fps.append(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
+                least.append(low.view(np.int64))
+        at = pa.array(keep, pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(fps, pa.int64()), pa.array(least, pa.list_(pa.int64()))],
+            names=["node", "doc_id", "fp", "least"],
+        )
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("node", "doc_id", "text").mapInArrow(each_batch(make), f"node long, doc_id {kind}, fp long, least array<long>")
+
+
+def _on_some_ring(a: Column, b: Column, segments: int, radius: int) -> Column:
+    """Whether from some start every chain of segments stays within its share of the radius."""
+    _, chains, _ = _ring(segments, 1)
+    differ, some = a.bitwiseXOR(b), F.lit(False)
+    for own in chains:
+        every = F.lit(True)
+        for length, mask in enumerate(own, 1):
+            every = every & (F.bit_count(differ.bitwiseAND(F.lit(_signed(mask)))) <= length * radius // segments)
+        some = some | every
+    return some & (F.bit_count(differ) <= radius)
+
+
+def near_copies(
+    docs: DataFrame, width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, radius: int = COPY_RADIUS
+) -> DataFrame:
+    """(a, b) links of ``docs(node, doc_id, text)`` whose word shingles are similar enough.
+
+    Copies with a few changed words are too many bits apart for a key of equal bits, so
+    documents meet over keys of least shingle hashes.  In every key each document meets
+    three of its documents (the smallest id and two drawn by hash), so a crowded key makes
+    no pairs among its own; the pigeonring test prunes those, and the exact similarity of
+    the shingle sets decides.
+    """
+    sketches = _sketches(docs, width)
+    keys = [F.xxhash64(F.lit(b), *[F.col("least")[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)]
+    rows = stage(
+        sketches.select(F.struct("node", "fp").alias("own"), F.col("doc_id").isNull().alias("nil"), "doc_id", F.explode(F.array(*keys)).alias("key")),
+        "bands",
+    )
+    leads = rows.groupBy("key").agg(
+        F.min_by("own", F.struct("nil", "doc_id", "own.node")).alias("first"), F.min("own").alias("low"), F.max("own").alias("high")
+    ).where(F.col("low") != F.col("high"))
+    leads = stage(leads, "leads")
+    met = rows.join(leads, "key").select("own", F.explode(F.array("first", "low", "high")).alias("other"))
+    pairs = stage(
+        met.where((F.col("own.node") != F.col("other.node")) & _on_some_ring(F.col("own.fp"), F.col("other.fp"), SEGMENTS, radius))
+        .select(F.least("own.node", "other.node").alias("a"), F.greatest("own.node", "other.node").alias("b")).distinct(),
+        "near-pairs",
+    )
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+    def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [np.unique(_shingle_hashes(t, width)).view(np.int64) for t in texts(batch)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    some = docs.select("node", "text").join(asked, "node", "left_semi")
+    held = stage(some.mapInArrow(each_batch(sets), "node long, shingles array<long>"), "shingle-sets")
+    of_a = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
+    of_both = of_a.join(held.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    alike = common / (F.size("sa") + F.size("sb") - common)
+    return of_both.where(alike >= similarity).select("a", "b")
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY
+) -> DataFrame:
+    """The documents, of each group of near copies the one with the smallest id (null ids last).
+
+    Wordless documents have no shingles and stay; rows equal in id and text stay or go together.
+    """
+    node = F.xxhash64(docs[id_col], docs[text_col])
+    source = docs.select(node.alias("node"), docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    groups = connected_components(near_copies(source, width, similarity))
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))
+    members = source.select("node", "doc_id").join(groups, "node")
+    stays = members.groupBy("component").agg(F.min_by("node", order).alias("node")).select("node")
+    gone = free_name(docs, "_gone")
+    dropped = stage(groups.join(stays, "node", "left_anti").select(F.col("node").alias(gone)).distinct(), "near-copies")
+    return docs.join(dropped, node == dropped[gone], "left_anti")
