@@ -462,5 +462,7 @@ def over_documents(
             out = {"digest": row["digests"], **finish(bodies, symbols, ends, earlier)}
             yield pa.RecordBatch.from_pydict(out)
 
-    joined = packs.join(anchors, "pack").join(found, "pack", "left").select("doc_ids", "digests", "sizes", "body", "parts", "found")
+    # A pack of short texts has neither.
+    joined = packs.join(anchors, "pack", "left").join(found, "pack", "left")
+    joined = joined.select("doc_ids", "digests", "sizes", "body", "parts", "found")
     return marks, stage(joined.mapInArrow(run, f"digest string, {schema}"), "firsts")
