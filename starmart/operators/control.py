@@ -97,8 +97,8 @@ def years_before(as_of: dt.date, years: int) -> dt.date:
 
 
 def expired(df: DataFrame, load_date: str, cutoff: dt.date) -> Column:
-    """Rows dated before the cutoff; a plain comparison with the column's own type."""
-    return F.col(load_date) < F.lit(cutoff).cast(df.schema[load_date].dataType)
+    """Rows dated before the cutoff, a plain comparison with the column's own type; rows without a date are kept."""
+    return F.coalesce(F.col(load_date) < F.lit(cutoff).cast(df.schema[load_date].dataType), F.lit(False))
 
 
 def retention_reports(tables: list[tuple[str, DataFrame, str, dt.date]]) -> DataFrame:

@@ -81,10 +81,10 @@ def transaction_facts(
 ) -> DataFrame:
     """Transaction fact rows; ``trip_key`` is NULL for top-ups."""
     fact = lookup(transactions, dim_user, "user_id", "user_id", "user_key")
-    # Rows without a trip match nothing.  A join key of their own keeps the NULLs
-    # from meeting in one task.
-    key = F.coalesce(F.col("trip_id"), F.concat(F.lit("no trip "), "transaction_id"))
-    fact = lookup(fact.withColumn("_trip", key), fact_trips, "_trip", "trip_id", "trip_key")
+    # Rows without a trip match nothing: they go round the join, so their NULLs don't meet in one task.
+    paid = lookup(fact.where(F.col("trip_id").isNotNull()), fact_trips, "trip_id", "trip_id", "trip_key")
+    no_trip = F.lit(None).cast(fact_trips.schema["trip_key"].dataType).alias("trip_key")
+    fact = paid.unionByName(fact.where(F.col("trip_id").isNull()).select("*", no_trip))
     methods = dim_payment_method.select(F.col("payment_method_code").alias("payment_method"), "payment_method_key")
     fact = fact.join(F.broadcast(methods), "payment_method", "left")  # 4 rows
     return fact.select(

@@ -1,14 +1,12 @@
-"""Ordered computations that stay distributed when one key, or no key, bounds a group.
-
-An ordinary window puts a whole group into one task.  That is fine while groups
-are small, and the functions here check it with one aggregate (the size of the
-largest group).  Beyond ``max_group_rows`` they split the rows into *blocks*:
-``repartitionByRange`` on (key, order) cuts even a single hot key over many
-partitions, ``sortWithinPartitions`` orders each block, and the row position is
-stored with the rows in the shared folder so it can never be drawn differently
-by a re-run.  What crosses block borders (a running total, a previous row, a
-count) is one small row per block, so broadcasting it is bounded by the number
-of partitions and not by the data.
+"""Ordered computations in which no key, however hot, has to fit into one task.
+
+An ordinary window puts a whole group into one task.  The functions here split the
+rows into *blocks* instead, whatever their number: ``repartitionByRange`` on (key,
+order) cuts even a single hot key over many partitions, ``sortWithinPartitions``
+orders each block, and the row position is stored with the rows in the shared folder
+so it can never be drawn differently by a re-run.  What crosses block borders (a
+running total, a previous row, a count) is one small row per block, so broadcasting
+it is bounded by the number of partitions and not by the data.
 """
 
 from __future__ import annotations
@@ -18,17 +16,10 @@ from pyspark.sql import functions as F
 
 from starmart.session import stage
 
-MAX_GROUP_ROWS = 5_000_000
-
 _POSITION, _BLOCK = "_position", "_block"
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above, row number below
 
 
-def largest_group(df: DataFrame, keys: list[str]) -> int:
-    counts = df.groupBy(*keys).count().agg(F.max("count").alias("n"))
-    return counts.first()["n"] or 0
-
-
 def _blocks(df: DataFrame, order: list[Column]) -> DataFrame:
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     staged = stage(ordered.withColumn(_POSITION, F.monotonically_increasing_id()), "blocks")
@@ -77,29 +68,19 @@ def ntile(row_number: Column, total: Column, buckets: int) -> Column:
     return F.when(row_number <= in_wide, F.ceil(row_number / (size + 1))).otherwise(narrow).cast("int")
 
 
-def rank_within(
-    df: DataFrame, keys: list[str], order: list[Column], name: str, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+def rank_within(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     """Row number per key in ``order``."""
-    if largest_group(df, keys) <= max_group_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     numbered = number_rows(df, [*map(F.col, keys), *order], "_rn")
     first = numbered.groupBy(*keys).agg(F.min("_rn").alias("_first"))
     ranked = _join_keys(numbered, first, keys, "inner")
     return ranked.withColumn(name, (F.col("_rn") - F.col("_first") + 1).cast("int")).drop("_rn", "_first")
 
 
-def running_sums(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    values: dict[str, Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
-    """Per new column the sum of its value from the first row of the key up to this one."""
-    if largest_group(df, keys) <= max_group_rows:
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(value).over(window) for name, value in values.items()})
+def running_sums(df: DataFrame, keys: list[str], order: list[Column], values: dict[str, Column]) -> DataFrame:
+    """Per new column the sum of its value from the first row of the key up to this one.
+
+    The sums have the type that one window over the key would give them.
+    """
     addends = {f"_add_{name}": value for name, value in values.items()}
     blocks = _blocks(df.withColumns(addends), [*map(F.col, keys), *order])
     inside = Window.partitionBy(_BLOCK, *keys).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, 0)
@@ -122,22 +103,13 @@ def running_sums(
 
     def total(c: str) -> Column:
         inner, before = F.col(f"_inside{c}"), F.col(f"_carry{c}")
-        return F.coalesce(inner + before, inner, before)
+        return F.coalesce(inner + before, inner, before).cast(summed.schema[f"_inside{c}"].dataType)
 
     return out.select(*df.columns, *[total(f"_add_{name}").alias(name) for name in values])
 
 
-def previous_row(
-    df: DataFrame,
-    keys: list[str],
-    order: list[Column],
-    columns: dict[str, str],
-    max_group_rows: int = MAX_GROUP_ROWS,
-) -> DataFrame:
+def previous_row(df: DataFrame, keys: list[str], order: list[Column], columns: dict[str, str]) -> DataFrame:
     """Values of the preceding row of the same key: ``columns`` maps new name to source column."""
-    if largest_group(df, keys) <= max_group_rows:
-        window = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({new: F.lag(old).over(window) for new, old in columns.items()})
     carried = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
     blocks = _blocks(df.withColumn("_row", carried), [*map(F.col, keys), *order])
     inside = Window.partitionBy(_BLOCK, *keys).orderBy(_POSITION)

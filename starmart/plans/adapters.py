@@ -18,8 +18,6 @@ from starmart.operators.scd1 import station_rows, user_rows, vehicle_rows
 AS_OF = dt.date(2001, 8, 1)
 AS_OF_TIME = dt.datetime(2001, 8, 1)
 PING_AS_OF = dt.datetime(2024, 1, 31)
-CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
-PING_CALENDAR = (dt.date(2024, 1, 1), dt.date(2024, 1, 31))
 
 # Tariff changes of the derived route history: (date, fare factor).
 TARIFFS = [(dt.date(1995, 1, 1), "1.00"), (dt.date(1998, 7, 1), "1.10"), (dt.date(2000, 1, 1), "1.25")]
@@ -330,12 +328,12 @@ def load_log(spark: SparkSession, sf: str) -> DataFrame:
     ).withColumn("watermark_value", F.when(F.col("status") == "success", F.col("watermark_value")))
 
 
-def dim_date(spark: SparkSession) -> DataFrame:
-    return calendar.date_dimension(spark, *CALENDAR)
-
-
-def ping_dates(spark: SparkSession) -> DataFrame:
-    return calendar.date_dimension(spark, *PING_CALENDAR)
+def dim_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day from the first order or shipment to the last."""
+    days = table(spark, sf, "orders").select(F.col("o_orderdate").alias("day")).unionByName(
+        table(spark, sf, "lineitem").select(F.col("l_shipdate").alias("day"))
+    )
+    return calendar.date_dimension_for(days, "day")
 
 
 def dim_time(spark: SparkSession) -> DataFrame:

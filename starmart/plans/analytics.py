@@ -33,12 +33,13 @@ def totals(*extra: Column) -> list[Column]:
         F.sum("duration_minutes").alias("minutes"),
         F.count("duration_minutes").alias("timed"),
         F.sum("distance_km").alias("km"),
+        F.count("distance_km").alias("measured"),
         *extra,
     ]
 
 
 def summed() -> list[Column]:
-    return [F.sum(c).alias(c) for c in ("trips", "fare", "minutes", "timed", "km")]
+    return [F.sum(c).alias(c) for c in ("trips", "fare", "minutes", "timed", "km", "measured")]
 
 
 def avg_minutes() -> Column:
@@ -46,7 +47,7 @@ def avg_minutes() -> Column:
 
 
 def avg_km() -> Column:
-    return ratio(F.col("km"), F.col("trips"))
+    return ratio(F.col("km"), F.col("measured"))
 
 
 def by_date(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -224,12 +225,17 @@ def vehicle_type_stats(fact: DataFrame, dim_vehicle: DataFrame) -> DataFrame:
     per_vehicle = fact.groupBy("vehicle_key").agg(F.count(F.lit(1)).alias("trips"))
     fleet = dim_vehicle.where(F.col("current_status") == "active").join(per_vehicle, "vehicle_key", "left")
     weight = F.coalesce(F.col("trips"), F.lit(1))
+
+    def weighted(c: str) -> Column:
+        """Unknown values weigh nothing."""
+        return ratio(F.sum(F.col(c) * weight), F.sum(F.when(F.col(c).isNotNull(), weight)))
+
     return (
         fleet.groupBy("vehicle_type")
         .agg(
             F.count(F.lit(1)).alias("vehicles_count"),
-            ratio(F.sum(F.col("vehicle_age") * weight), F.sum(weight)).alias("avg_age"),
-            ratio(F.sum(F.col("capacity") * weight), F.sum(weight)).alias("avg_capacity"),
+            weighted("vehicle_age").alias("avg_age"),
+            weighted("capacity").alias("avg_capacity"),
             ratio(F.sum("vehicle_age"), F.count("vehicle_age")).alias("avg_age_per_vehicle"),
             ratio(F.sum("capacity"), F.count("capacity")).alias("avg_capacity_per_vehicle"),
             F.coalesce(F.sum("trips"), F.lit(0)).alias("total_trips"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions import duration_minutes, haversine_km, percentage, seconds_between
-from starmart.operators.ordered import MAX_GROUP_ROWS, previous_row, running_sums
+from starmart.operators.ordered import previous_row, running_sums
 
 # Occupancy rush hours, inclusive.
 OCCUPANCY_RUSH = [(7, 9), (17, 19)]
@@ -25,30 +25,30 @@ def account_balance(transactions: DataFrame) -> DataFrame:
     )
 
 
-def running_balance(transactions: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def running_balance(transactions: DataFrame) -> DataFrame:
     order = [F.col("transaction_date"), F.col("transaction_id")]
-    return running_sums(transactions, ["user_id"], order, {"running_balance": ledger_amount()}, max_group_rows)
+    return running_sums(transactions, ["user_id"], order, {"running_balance": ledger_amount()})
 
 
-def ping_kinematics(pings: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def ping_kinematics(pings: DataFrame) -> DataFrame:
     """Distance, elapsed time and implied speed since the vehicle's previous ping."""
     order = [F.col("ts"), F.col("position_id")]
     before = {"prev_ts": "ts", "prev_lat": "latitude", "prev_lon": "longitude"}
-    moved = previous_row(pings, ["vehicle_id"], order, before, max_group_rows)
+    moved = previous_row(pings, ["vehicle_id"], order, before)
     km = haversine_km(F.col("prev_lat"), F.col("prev_lon"), F.col("latitude"), F.col("longitude"))
     return moved.withColumn("elapsed_seconds", seconds_between("prev_ts", "ts")).withColumn("distance_km", km).withColumn(
         "implied_kmh", F.try_divide(F.col("distance_km") * 3600, F.col("elapsed_seconds"))
     )
 
 
-def trip_durations(pings: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def trip_durations(pings: DataFrame) -> DataFrame:
     """Whole minutes between consecutive pings of a vehicle."""
-    moved = previous_row(pings, ["vehicle_id"], [F.col("ts"), F.col("position_id")], {"prev_ts": "ts"}, max_group_rows)
+    moved = previous_row(pings, ["vehicle_id"], [F.col("ts"), F.col("position_id")], {"prev_ts": "ts"})
     return moved.withColumn("duration_minutes", duration_minutes("prev_ts", "ts"))
 
 
 def stationary_spells(
-    pings: DataFrame, slow_below: float = 1.0, max_group_rows: int = MAX_GROUP_ROWS
+    pings: DataFrame, slow_below: float = 1.0
 ) -> DataFrame:
     """Gaps and islands: each uninterrupted run of slow pings of a vehicle.
 
@@ -57,10 +57,10 @@ def stationary_spells(
     """
     order = [F.col("ts"), F.col("position_id")]
     slow = pings.withColumn("slow", F.col("speed") < F.lit(slow_below))
-    marked = previous_row(slow, ["vehicle_id"], order, {"prev_slow": "slow"}, max_group_rows)
+    marked = previous_row(slow, ["vehicle_id"], order, {"prev_slow": "slow"})
     opens = (F.col("slow") & ~F.coalesce(F.col("prev_slow"), F.lit(False))).cast("int")
     # The moving ping that ends a spell carries the number of the spell before it.
-    numbered = running_sums(marked, ["vehicle_id"], order, {"spell": opens}, max_group_rows).where(F.col("spell") > 0)
+    numbered = running_sums(marked, ["vehicle_id"], order, {"spell": opens}).where(F.col("spell") > 0)
     ends = ~F.col("slow") & F.col("prev_slow")
     spells = numbered.where(F.col("slow") | ends).groupBy("vehicle_id", "spell").agg(
         F.min(F.when(F.col("slow"), F.col("ts"))).alias("stopped_at"),
@@ -85,14 +85,14 @@ def occupancy_by_period(pings: DataFrame) -> DataFrame:
     return counts.withColumn("share_pct", percentage(F.col("pings"), whole))
 
 
-def number_stops(stops: DataFrame, order: list[Column], max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def number_stops(stops: DataFrame, order: list[Column]) -> DataFrame:
     """Sequence number, travel minutes and kilometres from the first stop."""
     along = {
         "seq": F.lit(1).cast("long"),
         "minutes_from_start": F.col("travel_minutes"),
         "km_from_start": F.col("distance_km"),
     }
-    return running_sums(stops, ["route_id"], order, along, max_group_rows)
+    return running_sums(stops, ["route_id"], order, along)
 
 
 def downstream(stops: DataFrame) -> DataFrame:
@@ -152,8 +152,12 @@ def type_compatible(stations: DataFrame, routes: DataFrame) -> DataFrame:
 
 
 def search_funnel(searches: DataFrame, suggestions_json: str, selected: str) -> DataFrame:
-    """Parse the suggested routes of a search and tell whether the choice was among them."""
-    ids = F.from_json(F.col(suggestions_json), "array<struct<route_id:bigint>>")["route_id"]
+    """Parse the suggested routes of a search and tell whether the choice was among them.
+
+    Route ids are read with the type of the chosen one.
+    """
+    kind = searches.schema[selected].dataType.simpleString()
+    ids = F.from_json(F.col(suggestions_json), f"array<struct<route_id:{kind}>>")["route_id"]
     parsed = searches.withColumn("_ids", ids)
     chosen = F.col(selected)
     return parsed.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from starmart.functions import activity_segment, date_from_key, key_of, month_key, percentage, ratio
 from starmart.operators.merge import summing_merge
-from starmart.operators.ordered import MAX_GROUP_ROWS, rank_within
+from starmart.operators.ordered import rank_within
 from starmart.plans.analytics import by_date, by_minute, completed, since
 from starmart.sources.writers import replace_partitions, write_sorted
 
@@ -161,9 +161,11 @@ def station_popularity(
 
 
 def passenger_flow_by_hour(
-    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date
+    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date, parts: bool = False
 ) -> DataFrame:
+    """Trips per date and hour; ``parts`` also counts the trips of known fare, for ``collapse_flow``."""
     recent = _recent(fact.where(completed()), as_of)
+    priced = [F.count("actual_fare").alias("priced_trips")] if parts else []
     days = dim_date.select("date_key", "date", "day_of_week", "is_weekend")
     minutes = dim_time.select("time_key", "hour", "is_rush_hour")
     kind = F.col("transport_type")
@@ -179,6 +181,7 @@ def passenger_flow_by_hour(
             F.sum("actual_fare").alias("total_revenue"),
             ratio(F.sum("actual_fare"), F.count("actual_fare")).alias("avg_revenue_per_trip"),
             F.count_distinct("user_key").alias("unique_passengers"),
+            *priced,
         )
         .withColumns({c: F.col(c).cast("int") for c in ("is_weekend", "is_rush_hour")})
     )
@@ -191,9 +194,10 @@ def collapse_flow(flow: DataFrame) -> DataFrame:
     Distinct passengers are not additive and therefore not carried.
     """
     keys = ["date", "hour", "day_of_week", "is_weekend", "is_rush_hour"]
-    additive = ["bus_trips", "tram_trips", "metro_trips", "total_trips", "total_revenue"]
+    additive = ["bus_trips", "tram_trips", "metro_trips", "total_trips", "priced_trips", "total_revenue"]
     merged = summing_merge(flow, keys, additive)
-    return merged.withColumn("avg_revenue_per_trip", ratio(F.col("total_revenue"), F.col("total_trips")))
+    average = ratio(F.col("total_revenue"), F.col("priced_trips"))
+    return merged.withColumn("avg_revenue_per_trip", average).drop("priced_trips")
 
 
 def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame, as_of: dt.date) -> DataFrame:
@@ -216,11 +220,19 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
             F.max("start_date_key").alias("last_day"),
         )
     )
-    favourite = F.when(F.col("route_id").isNotNull(), F.struct(F.col("trips").alias("n"), (-F.col("route_id")).alias("r")))
-    per_user = per_route.groupBy("user_key").agg(
+    # One row for each number of trips first: of routes used equally often the smallest id, whatever its type.
+    known = F.col("route_id").isNotNull()
+    by_trips = per_route.groupBy("user_key", "trips", known.alias("known")).agg(
+        F.min("route_id").alias("route_id"),
+        *[F.sum(c).alias(c) for c in ("spent", "trips_30", "spent_30")],
+        F.max("last_day").alias("last_day"),
+        F.count(F.lit(1)).alias("routes"),
+    )
+    favourite = F.when(F.col("known"), F.struct(F.col("trips").alias("n"), F.col("route_id").alias("r")))
+    per_user = by_trips.groupBy("user_key").agg(
         F.sum("trips_30").alias("trips_last_30d"),
         F.sum("spent_30").alias("total_spent_last_30d"),
-        F.sum("trips").alias("trips_total"),
+        F.sum(F.col("trips") * F.col("routes")).alias("trips_total"),
         F.sum("spent").alias("total_spent_total"),
         date_from_key(F.max("last_day")).alias("last_trip_date"),
         F.max(favourite).alias("fav"),
@@ -237,7 +249,7 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
         (trips_30 / F.lit(4)).cast("decimal(6,2)").alias("avg_trips_per_week"),
         F.coalesce("trips_total", F.lit(0)).alias("trips_total"),
         "total_spent_total",
-        F.coalesce((-F.col("fav")["r"]).cast("string"), F.lit(NO_ROUTE)).alias("favorite_route_id"),
+        F.coalesce(F.col("fav")["r"].cast("string"), F.lit(NO_ROUTE)).alias("favorite_route_id"),
         F.coalesce(F.col("fav")["n"], F.lit(0)).alias("favorite_route_trips"),
         "last_trip_date",
         F.coalesce(F.datediff(F.lit(as_of), "last_trip_date"), F.lit(NEVER_DAYS)).alias("days_since_last_trip"),
@@ -245,7 +257,7 @@ def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame
 
 
 def route_performance(
-    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, as_of: dt.date, max_group_rows: int = MAX_GROUP_ROWS
+    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, as_of: dt.date
 ) -> DataFrame:
     """Daily route KPIs over trips of all statuses, with a popularity rank per day."""
     status = F.col("trip_status")
@@ -281,7 +293,7 @@ def route_performance(
         percentage(F.col("_done"), trips).alias("completion_rate"),
         percentage(F.col("_cancelled"), trips).alias("cancellation_rate"),
     )
-    return rank_within(kpis, ["date"], [trips.desc(), F.col("route_id")], "popularity_rank", max_group_rows)
+    return rank_within(kpis, ["date"], [trips.desc(), F.col("route_id")], "popularity_rank")
 
 
 def speed_analysis(pings: DataFrame, dim_route: DataFrame) -> DataFrame:

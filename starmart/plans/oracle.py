@@ -383,9 +383,9 @@ QUERIES = {
         count(*) FILTER (nxt < expiration_date OR (nxt IS NOT NULL AND expiration_date IS NULL)) AS overlaps
         FROM (SELECT *, lead(effective_date) OVER (PARTITION BY route_id ORDER BY effective_date, version) AS nxt FROM s_applied)""",
     "transfer_station_flag": """SELECT station_key, station_id, station_name, coalesce(n > 1, FALSE) AS is_transfer_station FROM s_dim_station
-        LEFT JOIN (SELECT start_station_id, count(DISTINCT route_id) AS n FROM s_trips WHERE start_station_id % 5 <> 4 GROUP BY 1)
+        LEFT JOIN (SELECT start_station_id, count(DISTINCT route_id) AS n FROM s_trips GROUP BY 1)
         ON start_station_id = station_id""",
-    "scd1_user_segment": """SELECT u.user_key, u.username, CASE WHEN m.trips > 0 THEN m.segment ELSE u.user_segment END AS user_segment
+    "scd1_user_segment": """SELECT u.user_key, u.username, m.segment AS user_segment
         FROM s_dim_user u JOIN s_segment_mart m ON u.user_id = m.user_id""",
     "trip_fact_load": f"""SELECT f.user_key, f.route_key, f.vehicle_key, date_key AS start_date_key, {_time_key("start_time")} AS start_time_key,
         minute_key AS start_minute_key, {_date_key("end_time")} AS end_date_key, {_time_key("end_time")} AS end_time_key,

@@ -1,9 +1,10 @@
 """The batch pipeline: source extracts -> staging -> dimensions -> facts -> marts.
 
 Every step is one distributed read and write; nothing passes through the driver
-and a failure stops the run.  A load can be run again: staging and facts replace
-the days the extract holds (an extract holds whole days), dimensions are written
-as a new snapshot under the load's stamp, marts are refreshed as a whole.
+and a failure stops the run.  A load can be run again: staging replaces its own load
+day, facts are merged by their key into the days the extract touches (an extract may
+hold part of a day), dimensions are written as a new snapshot under the load's stamp,
+marts are refreshed as a whole.
 A fact's key is its business key (trip_id, transaction_id), so a reload cannot
 renumber rows others refer to.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import types as T
 from starmart.functions import month_key
 from starmart.operators import calendar, control, facts, quality, scd1, scd2, surrogate
 from starmart.plans import marts
-from starmart.session import ensure_utc
+from starmart.session import ensure_utc, stage
 from starmart.sources import reference_rows, writers
 from starmart.sources.readers import read_or_empty
 
@@ -113,24 +114,25 @@ def run(
     dim_route = saved(
         scd2.apply_snapshot(history, routes, "route_id", "route_key", TRACKED_ROUTE_COLUMNS, as_of), "dim_route"
     )
-    first, last = calendar_range or (dt.date(as_of.year - 1, 1, 1), dt.date(as_of.year + 1, 12, 31))
-    dim_date = saved(calendar.date_dimension(spark, first, last), "dim_date")
+    dim_date = saved(
+        calendar.date_dimension(spark, *calendar_range) if calendar_range else _calendar(staged), "dim_date"
+    )
     dim_time = saved(calendar.time_dimension(spark), "dim_time")
     methods = saved(reference_rows.payment_methods(spark), "dim_payment_method")
 
     trips, payments = staged["trips"], staged["transactions"]
-    loaded = facts.trip_facts(
-        trips, payments, dim_user, dim_route, dim_vehicle, dim_station, load_time=load_time
+    loaded = stage(
+        facts.trip_facts(trips, payments, dim_user, dim_route, dim_vehicle, dim_station, load_time=load_time), "trip-facts"
     )
     good, bad = surrogate.split_unresolved(loaded, ["user_key", "route_key"])
     keep = good.withColumn("month_key", month_key("start_date_key"))
-    writers.replace_partitions(keep, f"{out_dir}/fact_trips", ["month_key", "start_date_key"], ["trip_id"])
+    _merge_days(keep, f"{out_dir}/fact_trips", "start_date_key", "trip_id")
     bad.write.mode("overwrite").parquet(f"{out_dir}/quarantine/{as_of:%Y%m%d}/fact_trips")
     fact_trips = spark.read.schema(keep.schema).parquet(f"{out_dir}/fact_trips")
 
     keyed = fact_trips.select("trip_id", F.col("trip_id").alias("trip_key"))
     ledger = facts.transaction_facts(payments, dim_user, keyed, methods).withColumn("month_key", month_key("date_key"))
-    writers.replace_partitions(ledger, f"{out_dir}/fact_transactions", ["month_key", "date_key"], ["transaction_id"])
+    _merge_days(stage(ledger, "ledger"), f"{out_dir}/fact_transactions", "date_key", "transaction_id")
     fact_transactions = spark.read.schema(ledger.schema).parquet(f"{out_dir}/fact_transactions")
 
     marts.build_all(fact_trips, dim_user, dim_route, dim_station, dim_date, dim_time, as_of, f"{out_dir}/marts")
@@ -153,6 +155,28 @@ def run(
     )
 
 
+def _calendar(staged: dict[str, DataFrame]) -> DataFrame:
+    """Every day that a fact of this load can name."""
+    trips, payments = staged["trips"], staged["transactions"]
+    days = [trips.select(F.col(c).cast("date").alias("day")) for c in ("start_time", "end_time")]
+    days.append(payments.select(F.col("transaction_date").cast("date").alias("day")))
+    return calendar.date_dimension_for(days[0].unionByName(days[1]).unionByName(days[2]), "day")
+
+
+def _merge_days(rows: DataFrame, path: str, day: str, key: str) -> None:
+    """Merge ``rows`` by ``key`` into the days they touch; a day's other rows stay."""
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    if first is None and rows.isEmpty():
+        return
+    spark = rows.sparkSession
+    stored = read_or_empty(spark, path, rows.schema).where(F.col(day).between(first, last))
+    touched = stored.join(rows.select(day).distinct(), day, "left_semi")
+    kept = touched.join(rows.select(key), key, "left_anti")
+    # Written first: a table is never overwritten while it is read.
+    merged = stage(kept.unionByName(rows), "merged-days")
+    writers.replace_partitions(merged, path, ["month_key", day], [key])
+
+
 def log_load(
     spark: SparkSession, log_path: str, load_id: int, source: str, table: str, load_type: str,
     clock: Callable[[], dt.datetime], work: Callable[[], tuple[int, dt.datetime | None]],

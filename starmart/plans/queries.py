@@ -149,9 +149,10 @@ def staging_copy_common(spark, sf):
 def summing_merge(spark, sf):
     """Flow rows loaded in two parts collapse per (date, hour)."""
     fact = src.fact_trips(spark, sf)
-    dims = (src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark))
+    dims = (src.dim_route(spark, sf), src.dim_date(spark, sf), src.dim_time(spark))
+    since = src.TARIFFS[0][0] + dt.timedelta(days=marts.RECENT_DAYS)  # the flow of all days since the first tariff
     halves = [
-        marts.passenger_flow_by_hour(fact.where(F.col("user_key") % 2 == part), *dims, dt.date(1995, 1, 31))
+        marts.passenger_flow_by_hour(fact.where(F.col("user_key") % 2 == part), *dims, since, parts=True)
         for part in (0, 1)
     ]
     return marts.collapse_flow(halves[0].unionByName(halves[1]))
@@ -363,7 +364,7 @@ def scd2_invariants(spark, sf):
 
 @query
 def transfer_station_flag(spark, sf):
-    stops = src.trips(spark, sf).where("start_station_id % 5 <> 4").select(
+    stops = src.trips(spark, sf).select(
         F.col("start_station_id").alias("station_id"), "route_id"
     )
     return scd1.flag_transfer_stations(src.dim_station(spark, sf), stops).select(
@@ -375,7 +376,7 @@ def transfer_station_flag(spark, sf):
 def scd1_user_segment(spark, sf):
     users = src.dim_user(spark, sf)
     segments = marts.user_segmentation(_completed(spark, sf), users, src.dim_route(spark, sf), AS_OF)
-    return scd1.apply_segments(users, segments.where(F.col("trips_total") > 0)).select("user_key", "username", "user_segment")
+    return scd1.apply_segments(users, segments).select("user_key", "username", "user_segment")
 
 
 # --- facts ----------------------------------------------------------------
@@ -422,7 +423,7 @@ def _transaction_fact_without_trips(spark, sf):
     methods = reference_rows.payment_methods(spark).select(
         F.col("payment_method_code").alias("payment_method"), "payment_method_key"
     )
-    return src.transactions(spark, sf).join(F.broadcast(methods), "payment_method").select(
+    return src.transactions(spark, sf).join(F.broadcast(methods), "payment_method", "left").select(
         "transaction_id",
         F.col("user_id").alias("user_key"),
         "payment_method_key",
@@ -711,7 +712,7 @@ def trips_by_hour(spark, sf):
 
 @query
 def weekday_weekend(spark, sf):
-    return analytics.weekday_weekend(_completed(spark, sf), src.dim_date(spark))
+    return analytics.weekday_weekend(_completed(spark, sf), src.dim_date(spark, sf))
 
 
 @query
@@ -756,12 +757,12 @@ def busiest_vehicles(spark, sf):
 
 @query
 def daily_trips(spark, sf):
-    return analytics.daily_trips(_completed(spark, sf), src.dim_date(spark))
+    return analytics.daily_trips(_completed(spark, sf), src.dim_date(spark, sf))
 
 
 @query
 def weekly_trips(spark, sf):
-    return analytics.weekly_trips(_completed(spark, sf), src.dim_date(spark))
+    return analytics.weekly_trips(_completed(spark, sf), src.dim_date(spark, sf))
 
 
 @query
@@ -772,7 +773,7 @@ def system_kpis(spark, sf):
 @query
 def kpi_last_n_days(spark, sf):
     since = AS_OF - dt.timedelta(days=7)
-    return analytics.kpi_last_n_days(_completed(spark, sf, since), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
+    return analytics.kpi_last_n_days(_completed(spark, sf, since), src.dim_route(spark, sf), src.dim_date(spark, sf), AS_OF)
 
 
 @query
@@ -797,13 +798,13 @@ def rfm_scores(spark, sf):
 def completed_trips_view(spark, sf):
     return views.completed_trips(
         _completed(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), src.dim_vehicle(spark, sf),
-        src.dim_station(spark, sf), src.dim_date(spark), src.dim_time(spark),
+        src.dim_station(spark, sf), src.dim_date(spark, sf), src.dim_time(spark),
     )
 
 
 @query
 def success_txn_view(spark, sf):
-    days = calendar.date_dimension(spark, dt.date(1995, 1, 1), dt.date(2002, 12, 31))
+    days = calendar.date_dimension_for(src.transactions(spark, sf), "transaction_date")
     return views.successful_transactions(
         _transaction_fact_without_trips(spark, sf), src.dim_user(spark, sf), reference_rows.payment_methods(spark), days,
         src.dim_time(spark),
@@ -851,7 +852,7 @@ def user_statistics(spark, sf):
 
 @query
 def popular_routes_30d(spark, sf):
-    return marts.popular_routes(_completed(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
+    return marts.popular_routes(_completed(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark, sf), AS_OF)
 
 
 @query
@@ -875,7 +876,7 @@ def user_daily_stats(spark, sf):
 
 
 def _recent_mart_inputs(spark, sf):
-    return _completed(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark), AS_OF
+    return _completed(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark, sf), src.dim_time(spark), AS_OF
 
 
 @query
@@ -886,7 +887,7 @@ def mart_route_hourly(spark, sf):
 @query
 def station_popularity(spark, sf):
     fact = _completed(spark, sf, RECENT)
-    return marts.station_popularity(fact, src.dim_station(spark, sf), src.dim_date(spark), AS_OF)
+    return marts.station_popularity(fact, src.dim_station(spark, sf), src.dim_date(spark, sf), AS_OF)
 
 
 @query
@@ -901,7 +902,7 @@ def user_segmentation(spark, sf):
 
 @query
 def route_performance(spark, sf):
-    return marts.route_performance(src.fact_trips(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark), AS_OF)
+    return marts.route_performance(src.fact_trips(spark, sf, RECENT), src.dim_route(spark, sf), src.dim_date(spark, sf), AS_OF)
 
 
 @query
@@ -1132,18 +1133,18 @@ def position_fact_load(spark, sf):
     rows = facts.position_facts(_event_stream(spark, sf).withColumn("speed", F.col("speed").cast("decimal(5,2)")),
                                 src.dim_vehicle(spark, sf), src.dim_route(spark, sf))
     path = new_path(spark, "positions")
-    streaming.run_batches(rows, streaming.append_batches(path, ["month_key"]), new_path(spark, "positions-checkpoint"))
-    return spark.read.parquet(path).drop("batch_id", "month_key")
+    streaming.run_batches(rows, streaming.append_batches(path, ["month_key"], "load", ["recorded_at"]), new_path(spark, "positions-checkpoint"))
+    return spark.read.parquet(path).drop("run", "batch_id", "month_key")
 
 
 @query
 def mart_incremental(spark, sf):
     """Route-hour mart kept over a stream of trip facts in several batches."""
     fact = src.fact_trips(spark, sf, RECENT)
-    dims = (src.dim_route(spark, sf), src.dim_date(spark), src.dim_time(spark))
+    dims = (src.dim_route(spark, sf), src.dim_date(spark, sf), src.dim_time(spark))
     mart, checkpoint = new_path(spark, "mart"), new_path(spark, "mart-checkpoint")
     handle = streaming.refresh_touched_days(
-        new_path(spark, "facts"), mart, fact.schema, lambda part: marts.route_hourly(part, *dims, AS_OF)
+        new_path(spark, "facts"), mart, fact.schema, lambda part: marts.route_hourly(part, *dims, AS_OF), "load"
     )
     _arriving(spark, fact, "trip_id", lambda stream: streaming.run_batches(stream, handle, checkpoint))
     return spark.read.parquet(mart)

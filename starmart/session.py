@@ -14,8 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Two-column lookup sides of a few million members still fit an executor.
-    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
 

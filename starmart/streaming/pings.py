@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from starmart.functions import ratio
 from starmart.operators.merge import latest_per_key
-from starmart.sources.readers import read_or_empty
 from starmart.sources.writers import replace_partitions
 
 WATERMARK = "10 minutes"
@@ -98,7 +98,7 @@ def sliding_load(pings: DataFrame, occupancy: DataFrame) -> DataFrame:
     """Mean occupancy level per route over the last 15 minutes, every 5 minutes."""
     levels = occupancy.select(F.col("occupancy_code").alias("occupancy"), "occupancy_level")
     return _windowed(
-        pings.join(F.broadcast(levels), "occupancy"),  # 7 rows
+        pings.join(F.broadcast(levels), "occupancy", "left"),  # 7 rows; pings of an unlisted code count too
         F.window("ts", "15 minutes", "5 minutes"),
         ["route_id"],
         ratio(F.sum("occupancy_level"), F.count("occupancy_level")).alias("avg_level"),
@@ -147,11 +147,21 @@ def run_batches(
     return _finish(query)
 
 
-def append_batches(path: str, partition_by: list[str]) -> Callable[[DataFrame, int], None]:
-    """Partitioned append; a replayed batch overwrites its own rows only."""
+def _of_batch(batch: DataFrame, run: str, batch_id: int) -> DataFrame:
+    """Batch ids start again with a new checkpoint; with the run they name a batch for good."""
+    return batch.withColumns({"run": F.lit(run), "batch_id": F.lit(batch_id)})
+
+
+def append_batches(
+    path: str, partition_by: list[str], run: str, spread_by: list[str] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Partitioned append; a replayed batch overwrites its own rows only.
+
+    ``run`` names the checkpoint's life: another name for every new checkpoint.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        replace_partitions(batch.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id", *partition_by])
+        replace_partitions(_of_batch(batch, run, batch_id), path, [*partition_by, "run", "batch_id"], spread_by)
 
     return handle
 
@@ -165,7 +175,9 @@ def keep_latest(path: str, schema: T.StructType, keys: list[str], version: list[
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        before = read_or_empty(spark, f"{path}/version={batch_id - 1}", schema)
+        # Only the first batch may find nothing: a version that is gone is an error, not an empty table.
+        previous = f"{path}/version={batch_id - 1}"
+        before = spark.read.schema(schema).parquet(previous) if batch_id else spark.createDataFrame([], schema)
         merged = before.unionByName(latest_per_key(batch, keys, [F.col(c) for c in version]))
         latest_per_key(merged, keys, [F.col(c) for c in version]).write.mode("overwrite").parquet(
             f"{path}/version={batch_id}"
@@ -174,39 +186,56 @@ def keep_latest(path: str, schema: T.StructType, keys: list[str], version: list[
     return handle
 
 
-_SPELL_ROWS = "vehicle_id bigint, stopped_at bigint, until bigint, slow_pings bigint"
 _SPELL_STATE = "stopped_at bigint, slow_pings bigint"
 
 
-def stationary_spells(pings: DataFrame, slow_below: float = 1.0) -> DataFrame:
+def stationary_spells(pings: DataFrame, slow_below: float = 1.0, forget_after: dt.timedelta = dt.timedelta(days=30)) -> DataFrame:
     """Delay state per vehicle: a spell is emitted when the vehicle moves again.
 
     State per vehicle is two numbers: when it stopped (NULL while moving) and its
     slow pings since.  A micro-batch's pings of a vehicle are taken in event time;
-    their number is bounded by what a trigger admits.
+    their number is bounded by what a trigger admits.  Pings behind the watermark are
+    left out, and a vehicle that has been silent for ``forget_after`` loses its state.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        started, slow = state.get if state.exists else (None, 0)
-        spells = []
+        columns = ["vehicle_id", "stopped_at", "until", "slow_pings"]
+        if state.hasTimedOut:
+            state.remove()
+            return
+        started, before = state.get if state.exists else (None, 0)
         rows = pd.concat(list(frames)).sort_values(["at", "position_id"])
-        for at, is_slow in zip(rows["at"].tolist(), rows["is_slow"].tolist()):
-            if is_slow:
-                started, slow = (at, 1) if started is None else (started, slow + 1)
-            elif started is not None:
-                spells.append((key[0], started, at, slow))
-                started, slow = None, 0
-        state.update((started, slow))
-        yield pd.DataFrame(spells, columns=["vehicle_id", "stopped_at", "until", "slow_pings"])
-
+        at, slow = rows["at"].to_numpy(), rows["is_slow"].to_numpy(dtype=bool)
+        was_slow = np.concatenate([[started is not None], slow[:-1]])
+        stops, moves = np.flatnonzero(slow & ~was_slow), np.flatnonzero(~slow & was_slow)
+        seen = np.cumsum(slow)
+        begins, counted = at[stops], seen[stops] - 1
+        if started is not None:
+            begins, counted = np.concatenate([[started], begins]), np.concatenate([[-before], counted])
+        ended = len(moves)
+        if len(begins) > ended:
+            state.update((int(begins[-1]), int(seen[-1] - counted[-1])))
+        else:
+            state.update((None, 0))
+        silent = int(at[-1]) // 1000 + int(forget_after.total_seconds() * 1000)
+        state.setTimeoutTimestamp(max(silent, state.getCurrentWatermarkMs() + 1))
+        spells = zip([key[0]] * ended, begins[:ended], at[moves], seen[moves] - counted[:ended])
+        yield pd.DataFrame(list(spells), columns=columns)
+
+    kind = pings.schema["vehicle_id"].dataType.simpleString()
     rows = pings.select(
         "vehicle_id",
         "position_id",
+        "ts",
         F.unix_micros("ts").alias("at"),
         (F.col("speed") < F.lit(slow_below)).alias("is_slow"),
     )
     spells = rows.groupBy("vehicle_id").applyInPandasWithState(
-        step, _SPELL_ROWS, _SPELL_STATE, "append", GroupStateTimeout.NoTimeout
+        step,
+        f"vehicle_id {kind}, stopped_at bigint, until bigint, slow_pings bigint",
+        _SPELL_STATE,
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
     minutes = (F.col("until") - F.col("stopped_at")) / F.lit(1e6) / 60
     return spells.select(
@@ -223,24 +252,33 @@ def refresh_touched_days(
     mart_path: str,
     fact_schema: T.StructType,
     build: Callable[[DataFrame], DataFrame],
+    run: str,
 ) -> Callable[[DataFrame, int], None]:
     """Incrementally kept mart over days: append the batch to the fact table, then
     recompute the days it touched and replace exactly those partitions.
 
-    The set of touched days joins as a semi join on the partition column, which
-    Spark turns into dynamic partition pruning of the fact scan.
+    The scan is cut to the batch's first and last day by literals on the partition
+    column, so other days' folders are not opened; the semi join picks the touched
+    days between.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read three times below; a lost copy is read from the source again.
+        # The batch is read more than once below; a lost copy is read from the source again.
         batch = batch.persist()
         try:
-            rows = batch.withColumn("batch_id", F.lit(batch_id))
-            replace_partitions(rows, fact_path, ["start_date_key", "batch_id"], ["trip_id"])
-            stored = T.StructType([*fact_schema.fields, T.StructField("batch_id", T.IntegerType())])
-            facts = read_or_empty(batch.sparkSession, fact_path, stored)
+            first, last = batch.agg(F.min("start_date_key"), F.max("start_date_key")).first()
+            if first is None:
+                return
+            replace_partitions(
+                _of_batch(batch, run, batch_id), fact_path, ["start_date_key", "run", "batch_id"], ["trip_id"]
+            )
+            stored = T.StructType(
+                [*fact_schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType())]
+            )
+            facts = batch.sparkSession.read.schema(stored).parquet(fact_path)
+            near = facts.where(F.col("start_date_key").between(first, last))
             touched = batch.select("start_date_key").distinct()
-            stats = build(facts.join(touched, "start_date_key", "left_semi"))
+            stats = build(near.join(touched, "start_date_key", "left_semi"))
             replace_partitions(stats, mart_path, ["date"], ["route_id", "hour"])
         finally:
             batch.unpersist()

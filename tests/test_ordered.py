@@ -51,23 +51,20 @@ def test_ntile(spark, n, buckets):
     same(out, numbered.select("rn", F.ntile(buckets).over(Window.orderBy("rn")).alias("b")))
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_running_sums(rows, limit):
-    out = ordered.running_sums(rows, ["k"], [F.col("t")], {"s": F.col("v"), "c": F.lit(1).cast("long")}, limit)
+def test_running_sums(rows):
+    out = ordered.running_sums(rows, ["k"], [F.col("t")], {"s": F.col("v"), "c": F.lit(1).cast("long")})
     w = Window.partitionBy("k").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
     same(out, rows.withColumn("s", F.sum("v").over(w)).withColumn("c", F.sum(F.lit(1).cast("long")).over(w)))
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_previous_row(rows, limit):
-    out = ordered.previous_row(rows, ["k"], [F.col("t")], {"pt": "t", "pv": "v"}, limit)
+def test_previous_row(rows):
+    out = ordered.previous_row(rows, ["k"], [F.col("t")], {"pt": "t", "pv": "v"})
     w = Window.partitionBy("k").orderBy("t")
     same(out, rows.withColumn("pt", F.lag("t").over(w)).withColumn("pv", F.lag("v").over(w)))
 
 
-@pytest.mark.parametrize("limit", [0, 10**6])
-def test_rank_within(rows, limit):
-    out = ordered.rank_within(rows, ["k"], [F.col("t").desc()], "r", limit)
+def test_rank_within(rows):
+    out = ordered.rank_within(rows, ["k"], [F.col("t").desc()], "r")
     same(out, rows.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy(F.col("t").desc()))))
 
 

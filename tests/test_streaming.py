@@ -74,7 +74,7 @@ def test_latest_position_survives_replay(spark, tmp_path):
 
 
 def test_append_survives_replay(spark, tmp_path):
-    handle = streaming.append_batches(str(tmp_path / "a"), ["m"])
+    handle = streaming.append_batches(str(tmp_path / "a"), ["m"], "first")
     df = spark.createDataFrame([(1, 202501), (2, 202502)], "v int, m int")
     for n in (0, 1, 1):
         handle(df, n)
