@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import age_group, maintenance_status
-from starmart.operators.surrogate import fill_missing_keys
+from starmart.operators.surrogate import append_keys
 from starmart.sources.reference_rows import STATION_TYPE_NAMES, UNKNOWN_NAME, VEHICLE_TYPE_NAMES
 
 DEFAULT_SEGMENT = "occasional"
@@ -81,6 +81,8 @@ def replace_attributes(
     """
     attributes = [c for c in snapshot.columns if c != business_key]
     stamp = F.lit(load_time).cast("timestamp_ntz")
+    # A snapshot that repeats a key gives one member: the greatest of its attribute rows.
+    new = snapshot.groupBy(business_key).agg(F.max(F.struct(*attributes)).alias("_new"))
     old = dim.select(
         business_key,
         surrogate_key,
@@ -88,17 +90,19 @@ def replace_attributes(
         F.col("updated_date").alias("_updated"),
         F.struct(*attributes).alias("_old"),
     )
-    new = snapshot.select(business_key, F.struct(*attributes).alias("_new"))
-    joined = old.join(new, business_key, "full_outer")
     kept = F.coalesce(F.col("_new"), F.col("_old"))
-    merged = joined.select(
+    known = old.join(new, business_key, "left").select(
         surrogate_key,
         business_key,
         *[kept[c].alias(c) for c in attributes],
-        F.coalesce("_created", stamp).alias("created_date"),
+        F.col("_created").alias("created_date"),
         F.when(F.col("_new").isNotNull(), stamp).otherwise(F.col("_updated")).alias("updated_date"),
     )
-    return fill_missing_keys(merged, surrogate_key, [business_key])
+    # Known members keep their keys, so only new ones are numbered.
+    first = new.join(dim.select(business_key), business_key, "left_anti").select(
+        business_key, *[F.col("_new")[c].alias(c) for c in attributes], stamp.alias("created_date"), stamp.alias("updated_date")
+    )
+    return known.unionByName(append_keys(dim, first, surrogate_key, [business_key]))
 
 
 def flag_transfer_stations(dim_station: DataFrame, route_stations: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,7 +13,7 @@ from starmart.sources import readers
 from starmart.streaming import pings as streaming
 
 GOOD = {"vehicle_id": "BUS_1", "route_id": "R1", "latitude": 55.7, "longitude": 37.6, "speed": 10.0, "bearing": 90,
-        "occupancy": "empty", "timestamp": "2025-12-12T10:30:45Z", "vehicle_type": "bus"}
+        "occupancy": "empty", "timestamp": "2024-03-05T06:07:08Z", "vehicle_type": "bus"}
 
 
 def test_decode_separates_dead_letters(spark):
@@ -19,7 +21,7 @@ def test_decode_separates_dead_letters(spark):
     decoded = streaming.decode(spark.createDataFrame([(x,) for x in lines], "value string"))
     assert sorted(r["error"] for r in streaming.dead_letters(decoded).collect()) == ["bad timestamp", "malformed", "malformed", "no vehicle"]
     row = streaming.good(decoded).first()
-    assert (row["vehicle_id"], row["speed"], row["ts"]) == ("BUS_1", 10.0, dt.datetime(2025, 12, 12, 10, 30, 45))
+    assert (row["vehicle_id"], row["speed"], row["ts"]) == ("BUS_1", 10.0, dt.datetime(2024, 3, 5, 6, 7, 8))
 
 
 SCHEMA = T.StructType(
@@ -81,14 +83,52 @@ def test_append_survives_replay(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a")).count() == 4
 
 
-def test_kafka_source_is_configured_only(spark):
-    # The connector is not on this class path; the reader must fail in Spark, not before.
-    try:
-        readers.stream_kafka(spark, "host:1", "vehicle_positions")
-    except Exception as err:
-        assert "kafka" in str(err).lower()
+def test_a_missing_version_is_an_error(spark, tmp_path):
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.IntegerType())])
+    handle = streaming.keep_latest(str(tmp_path / "kv"), schema, ["k"], ["v"])
+    with pytest.raises(AnalysisException):
+        handle(spark.createDataFrame([(1, 1)], schema), 3)
+
+
+def test_a_new_checkpoint_loses_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([(1, 202501), (2, 202502)], "v int, m int")
+    for run in ("first", "second"):
+        streaming.append_batches(str(tmp_path / "a"), ["m"], run)(df, 0)
+    assert spark.read.parquet(str(tmp_path / "a")).count() == 4
 
 
-def test_speed_median_matches_batch(spark):
-    df = spark.createDataFrame([(1, 1.0, 2), (1, 4.0, 1), (1, 9.0, 1)], "k int, s double, n long")
-    assert df.groupBy("k").agg(F.percentile("s", 0.5, F.col("n")).alias("m")).first()["m"] == 2.5
+def test_pings_of_an_unlisted_occupancy_count(spark):
+    pings = spark.createDataFrame([("R1", dt.datetime(2025, 1, 1), "full"), ("R1", dt.datetime(2025, 1, 1), "odd")], "route_id string, ts timestamp, occupancy string")
+    levels = spark.createDataFrame([("full", 4)], "occupancy_code string, occupancy_level int")
+    assert {(r.pings, r.avg_level) for r in streaming.sliding_load(pings, levels).collect()} == {(2, 4.0)}
+
+
+def test_delay_state_over_batches_and_string_ids(spark, tmp_path):
+    speeds = [0.5, 0.2, 5.0, 0.3, 0.1, 0.2, 9.0, 8.0, 0.0, 7.0]
+    rows = [(i, v, dt.datetime(2025, 1, 1, 8, i), s) for v in ("V-1", "V-2") for i, s in enumerate(speeds)]
+    schema = "position_id int, vehicle_id string, ts timestamp_ntz, speed double"
+    for n in range(4):
+        spark.createDataFrame([r for r in rows if r[0] // 3 == n], schema).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = readers.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        spells = streaming.stationary_spells(streaming.with_event_time(stream))
+        streaming.run_to_table(spells, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = sorted((r.vehicle_id, r.stopped_at.minute, r.until.minute, r.slow_pings) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    assert got == [(v, *x) for v in ("V-1", "V-2") for x in ((0, 2, 2), (3, 6, 3), (8, 9, 1))]
+
+
+def test_touched_days_are_cut_by_literals(spark, tmp_path):
+    schema = T.StructType([T.StructField("trip_id", T.LongType()), T.StructField("start_date_key", T.LongType()), T.StructField("date", T.DateType()),
+                           T.StructField("route_id", T.StringType()), T.StructField("hour", T.IntegerType())])
+    plans = []
+
+    def build(part):
+        plans.append(part._jdf.queryExecution().executedPlan().toString())
+        return part.groupBy("date", "route_id", "hour").count()
+
+    day = dt.date(2025, 1, 1)
+    for run, batch, ids in (("a", 0, [1, 2]), ("a", 1, [3]), ("b", 0, [4])):
+        handle = streaming.refresh_touched_days(str(tmp_path / "f"), str(tmp_path / "m"), schema, build, run)
+        handle(spark.createDataFrame([(i, 20250101, day, "R1", 8) for i in ids], schema), batch)
+    handle(spark.createDataFrame([], schema), 1)
+    assert spark.read.parquet(str(tmp_path / "m")).first()["count"] == 4
+    assert all("20250101" in p.split("PartitionFilters")[1].split("]")[0] for p in plans)
