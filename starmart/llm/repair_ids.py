@@ -19,13 +19,14 @@ hash.  An empty table gives no shards and no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import re
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -35,9 +36,10 @@ from starmart.session import new_path
 
 END_ID = 1
 SHARD_IDS = 1 << 20
-MIN_COUNT = 8  # a rule replaces at least so many pairs of its shard
-REMEMBERED = 400_000  # words kept in a worker
-SLOTS = 1 << 20  # of the table in which a round counts pairs
+MIN_COUNT = 16  # a rule replaces at least so many pairs of its shard
+REMEMBERED = 500_000  # pieces kept in a worker
+ASKED = 512  # documents encoded at a time
+SLOTS = 1 << 16  # of the table in which a round counts pairs
 
 # --- grammar ---------------------------------------------------------------------------
 
@@ -140,15 +142,25 @@ def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
 
 # --- encoding --------------------------------------------------------------------------
 
-#: What re.split() takes for white space and Unicode doesn't; a text with one is encoded whole.
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+#: Fixed value: the tokenizer's own cut into letters, single digits and other marks, for plain texts.
+PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: Letters of plain texts: one byte each, without those on which re and Unicode's classes differ.
+_PLAIN = bytes(b for b in range(256) if b not in b"\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe")
+
+
+def _is_plain(text: str) -> bool:
+    try:
+        return "<|" not in text and not text.encode("latin-1").translate(None, _PLAIN)
+    except UnicodeEncodeError:
+        return False
 
 
-class WordEncoder:
-    """Ids of a text from the tokenizers library, asked once for each word.
+class PieceEncoder:
+    """Ids of a text from the tokenizers library, which is asked once for each different piece.
 
-    The tokenizer must drop white space and treat the words between alone; ids of words
-    are remembered in a dictionary of bounded size.
+    A plain text is cut as the tokenizer cuts it, and the ids of its pieces are those of the
+    text.  Pieces are remembered in a dictionary of bounded size.  Any other text is given
+    to the library whole.
     """
 
     def __init__(self, path: str):
@@ -163,19 +175,20 @@ class WordEncoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        whole = [bool(_SEPARATORS.search(t)) for t in texts]
-        words = [[] if w else t.split() for w, t in zip(whole, texts)]
+        cut = [PIECES.findall(t.lower()) if _is_plain(t) else None for t in texts]
+        wanted = set(chain.from_iterable(c for c in cut if c))
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list({w for ws in words for w in ws if w not in self.known})
+        new = list(wanted - self.known.keys())
         self.known.update(zip(new, self._ask(new)))
         get = self.known.__getitem__
-        return [self._ask([t])[0] if w else b"".join(map(get, ws)) for w, t, ws in zip(whole, texts, words)]
+        return [self._ask([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
 
 
 @lru_cache(maxsize=1)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def piece_encoder(path: str) -> PieceEncoder:
+    """One encoder for all tasks of a Python worker."""
+    return PieceEncoder(path)
 
 
 # --- files -----------------------------------------------------------------------------
@@ -207,17 +220,18 @@ def write_shards(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, before, held = TaskContext.get().partitionId(), 0, 0, 0
-        encoder = word_encoder(tokenizer_path)
+        encoder = piece_encoder(tokenizer_path)
         names, pieces, end = [], [], END_ID.to_bytes(4, "little")
         for batch in batches:
-            found = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
-            for name, ids in zip(batch.column(0).to_pylist(), found):
-                names.append(name)
-                pieces.append(ids + end)
-                held += len(ids) // 4 + 1
-                if held >= shard_ids:
-                    yield shard(part, number, before, names, pieces, encoder.alphabet)
-                    number, before, held, names, pieces = number + 1, before + held, 0, [], []
+            for some in (batch.slice(k, ASKED) for k in range(0, batch.num_rows, ASKED)):
+                found = encoder.encode([t or "" for t in some.column(1).to_pylist()])
+                for name, ids in zip(some.column(0).to_pylist(), found):
+                    names.append(name)
+                    pieces.append(ids + end)
+                    held += len(ids) // 4 + 1
+                    if held >= shard_ids:
+                        yield shard(part, number, before, names, pieces, encoder.alphabet)
+                        number, before, held, names, pieces = number + 1, before + held, 0, [], []
         if pieces:
             yield shard(part, number, before, names, pieces, encoder.alphabet)
 
