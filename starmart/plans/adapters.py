@@ -329,11 +329,8 @@ def load_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dim_date(spark: SparkSession, sf: str) -> DataFrame:
-    """Every day from the first order or shipment to the last."""
-    days = table(spark, sf, "orders").select(F.col("o_orderdate").alias("day")).unionByName(
-        table(spark, sf, "lineitem").select(F.col("l_shipdate").alias("day"))
-    )
-    return calendar.date_dimension_for(days, "day")
+    """Every day from the first order to the last: a trip starts on its order's day."""
+    return calendar.date_dimension_for(table(spark, sf, "orders"), "o_orderdate")
 
 
 def dim_time(spark: SparkSession) -> DataFrame:

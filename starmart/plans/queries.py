@@ -1029,10 +1029,12 @@ def interval_overlaps(spark, sf):
 
 # --- streaming ------------------------------------------------------------
 
+FILES_PER_BATCH = 64  # admission limit of every stream below
+
 
 def _event_stream(spark, sf):
     # The bracket makes the path a glob, which a stream accepts for one file and for a folder of files.
-    return src.as_pings(readers.stream_files(spark, f"{sf}/events.parque[t]", src.SCHEMAS["events"]))
+    return src.as_pings(readers.stream_files(spark, f"{sf}/events.parque[t]", src.SCHEMAS["events"], FILES_PER_BATCH))
 
 
 def _stream_result(spark, df, label):
@@ -1046,7 +1048,7 @@ def _arriving(spark, df, key, consume):
     folder = new_path(spark, "arriving")
     for n in range(3):
         df.where(F.pmod(F.xxhash64(key), F.lit(3)) == n).write.mode("append").parquet(folder)
-        consume(readers.stream_files(spark, folder, df.schema))
+        consume(readers.stream_files(spark, folder, df.schema, FILES_PER_BATCH))
 
 
 def _json_folder(spark, sf):
@@ -1071,7 +1073,7 @@ def _json_folder(spark, sf):
 @query
 def stream_ping_ingest(spark, sf):
     """JSON lines through decode; good records and dead letters counted per hour and error."""
-    raw = readers.stream_files(spark, _json_folder(spark, sf), T.StructType([T.StructField("value", T.StringType())]), "text")
+    raw = readers.stream_files(spark, _json_folder(spark, sf), T.StructType([T.StructField("value", T.StringType())]), FILES_PER_BATCH, "text")
     staged = raw.select("value", F.col("_metadata.file_name").alias("source_file"))
     decoded = _stream_result(spark, streaming.decode(staged), "ingest")
     return decoded.groupBy("error", F.date_trunc("hour", F.col("ts")).alias("hour")).agg(

@@ -67,13 +67,15 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def stream_files(
-    spark: SparkSession, folder: str, schema: T.StructType | str, fmt: str = "parquet", **options
+    spark: SparkSession, folder: str, schema: T.StructType | str, max_files: int, fmt: str = "parquet", **options
 ) -> DataFrame:
-    return spark.readStream.format(fmt).schema(schema).options(**options).load(folder)
+    """A stream over the files of a folder; a micro-batch takes at most ``max_files`` of them."""
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files)
+    return reader.options(**options).load(folder)
 
 
-def stream_kafka(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
-    """Keyed records of a topic with the staging columns of the event contract.
+def stream_kafka(spark: SparkSession, servers: str, topic: str, max_offsets: int, **options) -> DataFrame:
+    """Keyed records of a topic with the staging columns of the event contract; a micro-batch takes at most ``max_offsets``.
 
     Needs the Kafka connector on the class path of the cluster.
     """
@@ -81,6 +83,7 @@ def stream_kafka(spark: SparkSession, servers: str, topic: str, **options) -> Da
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
+        .option("maxOffsetsPerTrigger", max_offsets)
         .options(**options)
         .load()
     )

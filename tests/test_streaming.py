@@ -35,7 +35,7 @@ def batches(spark, folder, *groups):
         start = dt.datetime(2025, 1, 1)
         data = [(i, v, start + dt.timedelta(minutes=m), s) for i, v, m, s in rows]
         spark.createDataFrame(data, SCHEMA).coalesce(1).write.mode("append").parquet(f"{folder}/in/g{n}")
-    return readers.stream_files(spark, f"{folder}/in/*", SCHEMA, maxFilesPerTrigger="1", latestFirst="false")
+    return readers.stream_files(spark, f"{folder}/in/*", SCHEMA, max_files=1, latestFirst="false")
 
 
 def collect(spark, df, folder, reached=None):
@@ -109,7 +109,7 @@ def test_delay_state_over_batches_and_string_ids(spark, tmp_path):
     schema = "position_id int, vehicle_id string, ts timestamp_ntz, speed double"
     for n in range(4):
         spark.createDataFrame([r for r in rows if r[0] // 3 == n], schema).write.mode("append").parquet(str(tmp_path / "in"))
-        stream = readers.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        stream = readers.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=8)
         spells = streaming.stationary_spells(streaming.with_event_time(stream))
         streaming.run_to_table(spells, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = sorted((r.vehicle_id, r.stopped_at.minute, r.until.minute, r.slow_pings) for r in spark.read.parquet(str(tmp_path / "out")).collect())
