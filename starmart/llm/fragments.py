@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from starmart.llm import exact_dedup
 from starmart.session import stage
 
-PACK_BYTES = 2 << 20  # text of a pack, if its last document is not longer
-SHARDS_PER_PARTITION = 4  # shards of a shuffle partition; a task holds one of them at a time
-HOT_PACKS = 64  # an anchor in more packs than this has its windows dealt one by one
+PACK_BYTES = 1 << 20  # text of a pack, if its last document is not longer
+SHARDS_PER_PARTITION = 16  # shards of a shuffle partition; a task holds one of them at a time
+HOT_PACKS = 4096  # an anchor in more packs than this has its windows dealt one by one
 NO_ID = np.iinfo(np.int64).max  # stands for a null id: larger than any
 
 _MULTIPLIERS = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
