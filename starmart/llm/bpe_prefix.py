@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 
 from starmart.llm.common import Remembered, each_batch, only, texts
 
-REMEMBERED = 400_000  # pieces, and pairs of tokens, kept in a worker
+REMEMBERED = 200_000  # pieces, and pairs of tokens, kept in a worker
 #: Fixed value: the cut of byte-level tokenizers, white space as Unicode defines it.
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -152,7 +152,7 @@ class PrefixEncoder:
     def forget(self) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        if len(self.allowed) > 2 * REMEMBERED:
+        if len(self.allowed) > REMEMBERED:
             self.allowed.clear()
 
 
@@ -173,16 +173,18 @@ def encode_decode(
         enc = encoder(tokenizer_path)
         counts, sums, back, kept = [], [], [], []
         for text in texts(batch):
-            own = np.frombuffer(enc.encode(text), dtype="<u4").tolist()
+            raw = enc.encode(text)
+            own = np.frombuffer(raw, dtype="<u4").tolist()
             counts.append(len(own))
             sums.append(hashlib.sha256(",".join([enc.decimals[i] for i in own]).encode()).hexdigest())
             back.append(hashlib.sha256(enc.decode(own).encode()).hexdigest())
             if ids:
-                kept.append(own)
+                kept.append(raw)
             enc.forget()
         arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(back, pa.string())]
         if ids:
-            arrays.append(pa.array(kept, pa.list_(pa.int32())))
+            ends = pa.array(np.cumsum([0, *counts]), pa.int32())
+            arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(kept), "<i4"))))
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     kind = source.schema["doc_id"].dataType.simpleString()
