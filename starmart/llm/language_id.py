@@ -138,9 +138,13 @@ def fit(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Lang
     usable = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(docs["doc_id"])
     )
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    # The rank's limit is applied before the shuffle too, so a task gets a few documents of a language from each other.
-    sample = usable.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= sample_per_language)
+    # About twice the sample passes the hash test, so a task gets few documents of a frequent language.
+    share = usable.groupBy("lang").agg((F.lit(2.0 * sample_per_language) / F.count(F.lit(1))).alias("share"))
+    drawn = usable.join(F.broadcast(share), "lang").where(
+        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
+    )
+    lowest = Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), "doc_id", F.xxhash64("text"))
+    sample = drawn.withColumn("nth", F.row_number().over(lowest)).where(F.col("nth") <= sample_per_language)
     sample = stage(sample.select("lang", "text"), "language-sample")
     langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
     plan = _classifiers(langs)
