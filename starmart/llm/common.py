@@ -61,6 +61,36 @@ def connected_components(edges: DataFrame, label: str = "components") -> DataFra
         )
 
 
+FILTER_BITS = 1 << 27  # of the filter below: at most 2 M words of 16 bytes on each executor
+
+
+def split_by_keys(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(maybe, others): the rows whose ``key`` may be in the one column of ``keys``, and those whose isn't.
+
+    A Bloom filter of at most ``FILTER_BITS`` bits is broadcast, so the others need no
+    shuffle; a fuller filter only lets more rows pass for maybe.  ``rows`` has no column
+    that begins with an underscore but those of the caller's own making.
+    """
+    words = min(16 * keys.count(), FILTER_BITS) // 64 + 1
+    name = keys.columns[0]
+
+    def positions(c: str) -> list[Column]:
+        return [F.pmod(F.xxhash64(c, F.lit(k)), F.lit(words * 64)) for k in range(2)]
+
+    at = keys.select(F.explode(F.array(*positions(name))).alias("pos"))
+    one = F.expr("shiftleft(1L, cast(pos & 63 as int))")
+    bits = stage(at.groupBy(F.shiftright("pos", 6).alias("word")).agg(F.bit_or(one).alias("bits")), "key-filter")
+    maybe = F.lit(True)
+    for k, position in enumerate(positions(key)):
+        side = F.broadcast(bits.select(F.col("word").alias(f"_word{k}"), F.col("bits").alias(f"_bits{k}")))
+        rows = rows.withColumn(f"_pos{k}", position).withColumn(f"_word{k}", F.shiftright(f"_pos{k}", 6))
+        rows = rows.join(side, f"_word{k}", "left")
+        hit = F.expr(f"shiftright(_bits{k}, cast(_pos{k} & 63 as int)) & 1L") == 1
+        maybe = maybe & F.coalesce(hit, F.lit(False))
+    probed = rows.withColumn("_maybe", maybe).drop(*[f"_{n}{k}" for k in range(2) for n in ("pos", "word", "bits")])
+    return probed.where("_maybe").drop("_maybe"), probed.where("NOT _maybe").drop("_maybe")
+
+
 def each_batch(make):
     """Function for mapInArrow that turns every record batch into one table."""
 

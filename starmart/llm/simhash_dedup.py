@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import connected_components, each_batch, free_name, only, texts
+from starmart.llm.common import connected_components, each_batch, only, split_by_keys, texts
 from starmart.session import stage
 
 RADIUS = 2
@@ -236,13 +236,14 @@ def near_copies(
         .select(F.least("own.node", "other.node").alias("a"), F.greatest("own.node", "other.node").alias("b")).distinct(),
         "near-pairs",
     )
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    asked = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "asked")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         own = [np.unique(_shingle_hashes(t, width)).view(np.int64) for t in texts(batch)]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    some = docs.select("node", "text").join(asked, "node", "left_semi")
+    maybe, _ = split_by_keys(docs.select("node", "text"), "node", asked)
+    some = maybe.join(asked, "node", "left_semi")
     held = stage(some.mapInArrow(each_batch(sets), "node long, shingles array<long>"), "shingle-sets")
     of_a = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     of_both = of_a.join(held.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -264,6 +265,9 @@ def keep_one(
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))
     members = source.select("node", "doc_id").join(groups, "node")
     stays = members.groupBy("component").agg(F.min_by("node", order).alias("node")).select("node")
-    gone = free_name(docs, "_gone")
-    dropped = stage(groups.join(stays, "node", "left_anti").select(F.col("node").alias(gone)).distinct(), "near-copies")
-    return docs.join(dropped, node == dropped[gone], "left_anti")
+    dropped = stage(groups.join(stays, "node", "left_anti").select("node").distinct(), "near-copies")
+    # Only rows that may be dropped are shuffled; their columns travel as one.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), node.alias("node"))
+    maybe, others = split_by_keys(rows, "node", dropped)
+    kept = maybe.join(dropped, "node", "left_anti").select("whole")
+    return others.select("whole").unionByName(kept).select("whole.*")
