@@ -37,8 +37,9 @@ from starmart.session import new_path
 END_ID = 1
 SHARD_IDS = 1 << 20
 MIN_COUNT = 16  # a rule replaces at least so many pairs of its shard
-REMEMBERED = 500_000  # pieces kept in a worker
+REMEMBERED = 400_000  # words, and pieces, kept in a worker
 ASKED = 512  # documents encoded at a time
+LEAST_GAIN = 1 / 200  # a round at the lowest bar that shortens the sequence by less is the last
 SLOTS = 1 << 16  # of the table in which a round counts pairs
 
 # --- grammar ---------------------------------------------------------------------------
@@ -50,7 +51,7 @@ def _frequent(symbols: np.ndarray, free: np.ndarray, slots: int, bar: float, lea
     Each slot of the table stands for one of the pairs that fall into it; the others have
     their turn in a later round.
     """
-    codes = (symbols[:-1].astype(np.int64) << 32) | symbols[1:]
+    codes = (symbols[:-1] << 32) | symbols[1:]
     slot = ((codes * -7046029254386353131) >> 40) & (slots - 1)
     keeper = np.full(slots, -1, np.int64)
     keeper[slot[free]] = codes[free]
@@ -88,7 +89,12 @@ def compress(ids: np.ndarray, alphabet: int, min_count: int = MIN_COUNT, slots:
         rules.append(np.stack([symbols[at[first]], symbols[at[first] + 1]], axis=1))
         symbols[at] = made + which
         made += len(of_slot)
-        symbols = np.delete(symbols, at + 1)
+        before = len(symbols)
+        stays = np.ones(before, bool)
+        stays[at + 1] = False
+        symbols = symbols[stays]
+        if bar <= min_count and before - len(symbols) < LEAST_GAIN * before:
+            break
     return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
 
 
@@ -101,22 +107,19 @@ def expansion_lengths(rules: np.ndarray, alphabet: int) -> np.ndarray:
     return np.array(lengths, np.int64)
 
 
-def _expansions(rules: np.ndarray, alphabet: int) -> dict[int, bytes]:
-    out: dict[int, bytes] = _Ids()
-    for k, (left, right) in enumerate(rules.tolist()):
-        out[alphabet + k] = out[left] + out[right]
-    return out
-
-
-class _Ids(dict):
-    def __missing__(self, symbol: int) -> bytes:
-        value = self[symbol] = symbol.to_bytes(4, "little")
-        return value
-
-
 def expand(symbols: np.ndarray, rules: np.ndarray, alphabet: int) -> bytes:
     """All ids of a shard as little-endian 32-bit integers."""
-    return b"".join(map(_expansions(rules, alphabet).__getitem__, symbols.tolist()))
+    out: list[bytes] = []
+    for left, right in rules.tolist():
+        first = left.to_bytes(4, "little") if left < alphabet else out[left - alphabet]
+        out.append(first + (right.to_bytes(4, "little") if right < alphabet else out[right - alphabet]))
+    # One table of all expansions; a plain id stands at its own place in it.
+    table = np.concatenate([np.arange(alphabet, dtype="<u4"), np.frombuffer(b"".join(out), "<u4")])
+    size = np.concatenate([np.ones(alphabet, np.int64), [len(x) // 4 for x in out]]).astype(np.int64)
+    begin = np.cumsum(size) - size
+    lengths = size[symbols]
+    at = np.repeat(begin[symbols] - np.cumsum(lengths) + lengths, lengths)
+    return table[at + np.arange(len(at))].tobytes()
 
 
 def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
@@ -159,15 +162,17 @@ class PieceEncoder:
     """Ids of a text from the tokenizers library, which is asked once for each different piece.
 
     A plain text is cut as the tokenizer cuts it, and the ids of its pieces are those of the
-    text.  Pieces are remembered in a dictionary of bounded size.  Any other text is given
-    to the library whole.
+    text.  Words and pieces are remembered in dictionaries of bounded size.  Any other text
+    is given to the library whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library, self.known = Tokenizer.from_file(path), {}
+        self.library = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.alphabet = self.library.get_vocab_size(with_added_tokens=True)
 
     def _ask(self, texts: list[str]) -> list[bytes]:
@@ -175,13 +180,16 @@ class PieceEncoder:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [PIECES.findall(t.lower()) if _is_plain(t) else None for t in texts]
-        wanted = set(chain.from_iterable(c for c in cut if c))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(wanted - self.known.keys())
-        self.known.update(zip(new, self._ask(new)))
-        get = self.known.__getitem__
+        for known in (self.words, self.pieces):
+            if len(known) > REMEMBERED:
+                known.clear()
+        cut = [t.lower().split() if _is_plain(t) else None for t in texts]
+        new_words = set(chain.from_iterable(c for c in cut if c)) - self.words.keys()
+        parts = {w: PIECES.findall(w) for w in new_words}
+        new = list(set(chain.from_iterable(parts.values())) - self.pieces.keys())
+        self.pieces.update(zip(new, self._ask(new)))
+        self.words.update({w: b"".join(map(self.pieces.__getitem__, ps)) for w, ps in parts.items()})
+        get = self.words.__getitem__
         return [self._ask([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
 
 
