@@ -37,7 +37,7 @@ from starmart.session import new_path
 END_ID = 1
 SHARD_IDS = 1 << 20
 MIN_COUNT = 16  # a rule replaces at least so many pairs of its shard
-REMEMBERED = 400_000  # words, and pieces, kept in a worker
+REMEMBERED = 800_000  # words, and pieces, kept in a worker
 ASKED = 512  # documents encoded at a time
 LEAST_GAIN = 1 / 200  # a round at the lowest bar that shortens the sequence by less is the last
 SLOTS = 1 << 16  # of the table in which a round counts pairs
