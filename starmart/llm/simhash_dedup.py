@@ -19,6 +19,8 @@ unless all ids there are null.  An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -158,8 +160,10 @@ def cluster(
 # --- near copies by similarity -----------------------------------------------------------
 
 COPY_SHINGLE, COPY_SIMILARITY = 5, 0.8
-COPY_RADIUS = 18  # texts 0.8 similar were never found further apart than 17 bits
-BANDS, ROWS = 8, 3  # a pair 0.8 similar shares one of 8 keys of 3 least hashes with probability 0.997
+COPY_RADIUS = 18  # of the first links only; the pairs they leave apart are not pruned by bits
+BANDS, ROWS = 8, 3  # of the first links: a pair 0.8 similar shares a key with probability 0.997
+ORDER_SAMPLE = 8  # one document in so many is asked which shingles are common
+COMMON = 1 << 16  # common shingles told to every task
 
 
 def _shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -169,14 +173,50 @@ def _shingle_hashes(text: str, width: int) -> np.ndarray:
     return np.array([digest(r, 42) for r in runs], dtype=np.uint64)
 
 
-def _sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(node, doc_id, fp, least): SimHash of the shingles, and the least of them in each of BANDS * ROWS orders."""
+def _common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes in order, counts) of shingles that many documents of a sample hold.
+
+    They only set the order in which a document's shingles are taken as keys.  Any one
+    order gives the same links, so the sample and the ``COMMON`` bound cost no result.
+    """
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        own = [np.unique(_shingle_hashes(t, width)) for t in texts(batch)]
+        found, times = np.unique(np.concatenate(own), return_counts=True)
+        often = times > 2
+        return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(times[often])], names=["h", "n"])
+
+    sample = docs.where(F.pmod("node", F.lit(ORDER_SAMPLE)) == 0).select("node", "text")
+    found = sample.mapInArrow(each_batch(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    top = found.orderBy(F.col("n").desc(), "h").limit(COMMON).collect()
+    hashes, counts = (np.array([r[c] for r in top], np.int64) for c in ("h", "n"))
+    order = np.argsort(hashes.view(np.uint64))
+    return hashes.view(np.uint64)[order], counts[order]
+
+
+def _rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Distinct shingles in the order of (count in the sample, hash), the same order for every document."""
+    known, counts = common
+    times = np.zeros(len(hashes), np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        times = np.where(known[at] == hashes, counts[at], 0)
+    return hashes[np.lexsort((hashes, times))]
+
+
+def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """(node, doc_id, fp, least, size, keys) of the documents with words.
+
+    SimHash of the distinct shingles; the least of them in each of BANDS * ROWS orders; their
+    number; and the rarest of them, so many that two similar documents have one in common.
+    """
     orders = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    common = _common_shingles(docs, width)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep, fps, least = [], [], []
+        keep, fps, least, sizes, keys = [], [], [], [], []
         for n, text in enumerate(texts(batch)):
-            hashes = _shingle_hashes(text, width)
+            hashes = np.unique(_shingle_hashes(text, width))
             if len(hashes):
                 keep.append(n)
                 counts = np.zeros(64, np.int64)
@@ -187,14 +227,21 @@ def _sketches(docs: DataFrame, width: int) -> DataFrame:
                     low = np.minimum(low, [(block * a).min() for a in orders])
                 fps.append(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<i8")[0])
                 least.append(low.view(np.int64))
-        at = pa.array(keep, pa.int32())
+                sizes.append(len(hashes))
+                # Similar sets have similarity * size shingles in common, so one among the others and one more.
+                rare = len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1
+                keys.append(_rare_first(hashes, common)[:rare].view(np.int64))
+        at, longs = pa.array(keep, pa.int32()), pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(at), batch.column(1).take(at), pa.array(fps, pa.int64()), pa.array(least, pa.list_(pa.int64()))],
-            names=["node", "doc_id", "fp", "least"],
+            [batch.column(0).take(at), batch.column(1).take(at), pa.array(fps, pa.int64()), pa.array(least, longs),
+             pa.array(sizes, pa.int32()), pa.array(keys, longs)],
+            names=["node", "doc_id", "fp", "least", "size", "keys"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("node", "doc_id", "text").mapInArrow(each_batch(make), f"node long, doc_id {kind}, fp long, least array<long>")
+    return docs.select("node", "doc_id", "text").mapInArrow(
+        each_batch(make), f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>"
+    )
 
 
 def _on_some_ring(a: Column, b: Column, segments: int, radius: int) -> Column:
@@ -209,18 +256,12 @@ def _on_some_ring(a: Column, b: Column, segments: int, radius: int) -> Column:
     return some & (F.bit_count(differ) <= radius)
 
 
-def near_copies(
-    docs: DataFrame, width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, radius: int = COPY_RADIUS
-) -> DataFrame:
-    """(a, b) links of ``docs(node, doc_id, text)`` whose word shingles are similar enough.
+def _led_pairs(sketches: DataFrame, radius: int) -> DataFrame:
+    """(a, b) pairs that are likely similar: in every key of least hashes each document meets three of its documents.
 
-    Copies with a few changed words are too many bits apart for a key of equal bits, so
-    documents meet over keys of least shingle hashes.  In every key each document meets
-    three of its documents (the smallest id and two drawn by hash), so a crowded key makes
-    no pairs among its own; the pigeonring test prunes those, and the exact similarity of
-    the shingle sets decides.
+    The smallest id and two drawn by hash are met, and the pigeonring test prunes, so pairs
+    are missed; ``_rest`` finds what the links of these leave apart.
     """
-    sketches = _sketches(docs, width)
     keys = [F.xxhash64(F.lit(b), *[F.col("least")[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)]
     rows = stage(
         sketches.select(F.struct("node", "fp").alias("own"), F.col("doc_id").isNull().alias("nil"), "doc_id", F.explode(F.array(*keys)).alias("key")),
@@ -231,11 +272,43 @@ def near_copies(
     ).where(F.col("low") != F.col("high"))
     leads = stage(leads, "leads")
     met = rows.join(leads, "key").select("own", F.explode(F.array("first", "low", "high")).alias("other"))
-    pairs = stage(
+    return (
         met.where((F.col("own.node") != F.col("other.node")) & _on_some_ring(F.col("own.fp"), F.col("other.fp"), SEGMENTS, radius))
-        .select(F.least("own.node", "other.node").alias("a"), F.greatest("own.node", "other.node").alias("b")).distinct(),
-        "near-pairs",
+        .select(F.least("own.node", "other.node").alias("a"), F.greatest("own.node", "other.node").alias("b")).distinct()
     )
+
+
+def _rest(sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): every pair of documents in different ``groups`` that may be similar enough; none that is gets lost.
+
+    Similar documents have one of their rarest shingles in common.  A shingle's place in the
+    one order of all documents bounds what two documents can share before and after it.
+    """
+    held = stage(
+        sketches.select("node", "size", "keys").join(groups, "node", "left")
+        .select("node", "size", "keys", F.coalesce("component", "node").alias("component")),
+        "rare-shingles",
+    )
+    single = held.select("component", F.explode("keys").alias("key"))
+    shared = single.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = stage(shared.where("low != high").select("key"), "shared-shingles")
+    maybe, _ = split_by_keys(held.select("component", "node", "size", F.posexplode("keys").alias("at", "key")), "key", shared)
+    meeting = stage(maybe.join(shared, "key", "left_semi"), "meeting")
+    a, b = (meeting.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("component", "node", "size", "at")]) for side in "ab")
+    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("size_a") + F.col("size_b")) - 1e-6)
+    after = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    pairs = a.join(b, "key").where(
+        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+        & (F.least("at_a", "at_b") + after >= needed)
+    )
+    met = pairs.groupBy("node_a", "node_b", "size_a", "size_b").agg(
+        F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b")
+    )
+    return met.where(F.col("n") - 1 + after >= needed).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+def _similar(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The ``pairs(a, b)`` whose sets of shingles are similar enough."""
     asked = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "asked")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -252,6 +325,23 @@ def near_copies(
     return of_both.where(alike >= similarity).select("a", "b")
 
 
+def near_copies(
+    docs: DataFrame, width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY, radius: int = COPY_RADIUS
+) -> DataFrame:
+    """(a, b) links of ``docs(node, doc_id, text)`` that connect exactly what similar enough pairs connect.
+
+    Most copies are linked to a few leads of their keys first, so a crowd of copies makes
+    no pairs among its own.  Every pair that these links leave in different groups is then
+    looked for by an exact bound on shared shingles.  The similarity of the sets of
+    shingles decides in both steps.
+    """
+    sketches = stage(_sketches(docs, width, similarity), "sketches")
+    led = stage(_similar(stage(_led_pairs(sketches, radius), "near-pairs"), docs, width, similarity), "led-links")
+    groups = connected_components(led)
+    rest = _similar(stage(_rest(sketches, groups, similarity), "rest-pairs"), docs, width, similarity)
+    return led.unionByName(rest)
+
+
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY
 ) -> DataFrame:

@@ -147,6 +147,46 @@ def test_near_copies_stage(docs_of):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in pairs} - drop
 
 
+def copies_brute(pairs):
+    """Ids that stay: the smallest of each component of texts whose five-word shingles are 0.8 similar."""
+    sets = []
+    for _, t in pairs:
+        ws = t.lower().split()
+        sets.append({tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))})
+    own = list(range(len(pairs)))
+
+    def root(k):
+        while own[k] != k:
+            k = own[k]
+        return k
+
+    for a in range(len(pairs)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                own[root(a)] = root(b)
+    least = {}
+    for k, (i, _) in enumerate(pairs):
+        least[root(k)] = min(least.get(root(k), i), i)
+    return set(least.values())
+
+
+def test_star_of_near_copies(docs_of):
+    rng = np.random.default_rng(8)
+    words = [f"w{n}" for n in range(5000)]
+    base = list(rng.choice(words, 200))
+    pairs = [(50, " ".join(base))]
+    for n in range(100):  # each near to the base, few near to one another
+        ws = list(base)
+        for at in rng.choice(np.arange(5, 195, 6), 3, replace=False):
+            ws[at] = f"c{n}-{at}"
+        pairs.append((n if n < 50 else n + 1, " ".join(ws)))
+    passage = list(rng.choice(words, 150))
+    pairs += [(1000 + n, " ".join(passage + list(rng.choice(words, 50)))) for n in range(60)]  # two thirds similar
+    want = copies_brute(pairs)
+    assert len(want) == 61
+    assert {r["doc_id"] for r in simhash_dedup.keep_one(docs_of(pairs, CLASHES)).collect()} == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in connected_components(edges).collect()} == {0}
