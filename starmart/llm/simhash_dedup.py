@@ -164,6 +164,7 @@ COPY_RADIUS = 18  # of the first links only; the pairs they leave apart are not
 BANDS, ROWS = 8, 3  # of the first links: a pair 0.8 similar shares a key with probability 0.997
 ORDER_SAMPLE = 8  # one document in so many is asked which shingles are common
 COMMON = 1 << 16  # common shingles told to every task
+MAP_BITS = 2048  # of a document's map of its shingles; two maps differ in no more bits than the sets in shingles
 
 
 def _shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -205,16 +206,17 @@ def _rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np
 
 
 def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(node, doc_id, fp, least, size, keys) of the documents with words.
+    """(node, doc_id, fp, least, size, keys, map) of the documents with words.
 
     SimHash of the distinct shingles; the least of them in each of BANDS * ROWS orders; their
-    number; and the rarest of them, so many that two similar documents have one in common.
+    number; the rarest of them, so many that two similar documents have one in common; and
+    the map of bits they set.
     """
     orders = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     common = _common_shingles(docs, width)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep, fps, least, sizes, keys = [], [], [], [], []
+        keep, fps, least, sizes, keys, maps = [], [], [], [], [], []
         for n, text in enumerate(texts(batch)):
             hashes = np.unique(_shingle_hashes(text, width))
             if len(hashes):
@@ -231,16 +233,19 @@ def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
                 # Similar sets have similarity * size shingles in common, so one among the others and one more.
                 rare = len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1
                 keys.append(_rare_first(hashes, common)[:rare].view(np.int64))
+                own = np.zeros(MAP_BITS, np.uint8)
+                own[(hashes % np.uint64(MAP_BITS)).astype(np.int64)] = 1
+                maps.append(np.packbits(own).view(np.int64))
         at, longs = pa.array(keep, pa.int32()), pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(at), batch.column(1).take(at), pa.array(fps, pa.int64()), pa.array(least, longs),
-             pa.array(sizes, pa.int32()), pa.array(keys, longs)],
-            names=["node", "doc_id", "fp", "least", "size", "keys"],
+             pa.array(sizes, pa.int32()), pa.array(keys, longs), pa.array(maps, longs)],
+            names=["node", "doc_id", "fp", "least", "size", "keys", "map"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("node", "doc_id", "text").mapInArrow(
-        each_batch(make), f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>"
+        each_batch(make), f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>, map array<long>"
     )
 
 
@@ -282,7 +287,8 @@ def _rest(sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFram
     """(a, b): every pair of documents in different ``groups`` that may be similar enough; none that is gets lost.
 
     Similar documents have one of their rarest shingles in common.  A shingle's place in the
-    one order of all documents bounds what two documents can share before and after it.
+    one order of all documents bounds what two documents can share before and after it, and
+    their maps bound what they don't share.
     """
     held = stage(
         sketches.select("node", "size", "keys").join(groups, "node", "left")
@@ -304,7 +310,14 @@ def _rest(sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFram
     met = pairs.groupBy("node_a", "node_b", "size_a", "size_b").agg(
         F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b")
     )
-    return met.where(F.col("n") - 1 + after >= needed).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    met = met.where(F.col("n") - 1 + after >= needed).select(
+        F.col("node_a").alias("a"), F.col("node_b").alias("b"), (F.col("size_a") + F.col("size_b") - 2 * needed).alias("apart")
+    )
+    maps = sketches.groupBy("node").agg(F.first("map").alias("map"))  # rows equal in id and text have one node
+    both = met.join(maps.select(F.col("node").alias("a"), F.col("map").alias("map_a")), "a")
+    both = both.join(maps.select(F.col("node").alias("b"), F.col("map").alias("map_b")), "b")
+    differ = F.aggregate(F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return both.where(differ <= F.col("apart")).select("a", "b")
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:

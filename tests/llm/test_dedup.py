@@ -187,6 +187,26 @@ def test_star_of_near_copies(docs_of):
     assert {r["doc_id"] for r in simhash_dedup.keep_one(docs_of(pairs, CLASHES)).collect()} == want
 
 
+def test_near_copies_with_repeated_lines_and_at_the_border(docs_of):
+    rng = np.random.default_rng(11)
+    words = [f"w{n}" for n in range(20000)]
+    pairs = []
+    for n in range(60):  # the same set of shingles but for a line said 30 times more
+        ws = list(rng.choice(words, 200))
+        pairs += [(10 * n, " ".join(ws)), (10 * n + 1, " ".join(ws[:100] + ws[86:100] * 30 + ws[100:]))]
+    for n in range(60, 260):  # 175 of 217 shingles in common: 0.806 similar; then 174 of 218: 0.798
+        ws = list(rng.choice(words, 200))
+        for k, last in ((1, [0]), (2, [1])):
+            other = list(ws)
+            for at in (20, 60, 100, 140, *last):
+                other[at] = f"{k}-{n}-{at}"
+            pairs.append((10 * n + k, " ".join(other)))
+        pairs.append((10 * n, " ".join(ws)))
+    want = copies_brute(pairs)
+    assert {r["doc_id"] for r in simhash_dedup.keep_one(docs_of(pairs)).collect()} == want
+    assert len(want) == 60 + 400
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in connected_components(edges).collect()} == {0}
