@@ -130,6 +130,19 @@ def test_main_text(page, text):
     assert tag_paths.main_text(page) == text
 
 
+def test_articles_lose_nothing():
+    said = [f"Paragraph {n}, " + "long words of a story, told at length; " * 8 + "end." for n in range(10)]
+    cells = [f"{n:02d}" for n in range(30)]
+    table = "<table>" + "".join(f"<tr><td>{c}</td></tr>" for c in cells) + "</table>"
+    page = "<article>" + "".join(f"<p>{t}</p>" for t in said) + table + "<p><a href=1>One link</a></p></article><p>Out, of it.</p>"
+    assert tag_paths.main_text(page) == " ".join(said + cells + ["One link"])
+    for wrapper in ("layout has-sidebar", "post share-enabled", "sidebar"):
+        assert tag_paths.main_text(f"<div class='{wrapper}'><b>no</b><article><p>Text, here.</p></article></div>") == "Text, here."
+    assert tag_paths.main_text("<form id=f><main><p>Text, here.</p></main></form>") == "Text, here."
+    both = "<main><p>Text, here.</p><div class='related'><article>no</article></div></main><div class=sidebar><article>no</article></div>"
+    assert tag_paths.main_text(both) == "Text, here."
+
+
 def test_pages_of_any_kind(spark):
     rows = [(1, None, None), (2, "u", ""), (2, "u", ""), (None, "u", "<p>" + "word, " * 20000), (3, "u", "<" * 1000), (4, "u", "<p a='" * 50)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
