@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
-    bpe_prefix, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, substring_dedup, suffix_array_dedup,
+    best_fit_packing, bpe_prefix, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, substring_dedup, suffix_array_dedup,
     tag_paths, viterbi_counts,
 )
 from starmart.llm.common import table
@@ -58,10 +58,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_repair_token_ids, op2_html_tag_paths, op3_simhash_near_dedup, op4_exact_dedup, op5_suffix_array_dedup,
-        op6_benchmark_decontamination, op7_substring_dedup, op8_language_id, op9_bpe_encode_decode, op10_token_counts,
+        op6_benchmark_decontamination, op7_substring_dedup, op8_language_id, op9_bpe_encode_decode, op10_token_counts, op11_best_fit_packing,
     )
 }
