@@ -1,14 +1,15 @@
 """Packing of token sequences by bounded-space online best fit.
 
 Every document's ids (with an end id) are cut into pieces of at most ``capacity`` ids, the
-odd rest first, and each piece is put, as it comes, into the open bin that it fills best.
-A task has at most ``open_bins`` open bins: their free spaces are the bits of one integer,
+odd rest first, and each piece is put, as it comes, into the open bin that it fills best
+(of ``WINDOW`` pieces that come together, the longest first).  A task has at most ``open_bins`` open bins: their free spaces are the bits of one integer,
 so the best bin is its lowest set bit at or above the piece's length; when a piece fits
 nowhere and no further bin may be opened, the fullest bin closes.
 
 Bins still open when a task ends are not lost half empty: they go, as items, through the
 same packing again, those of ``FAN_IN`` tasks together, then of FAN_IN times FAN_IN, until
-one task is left.  A round's task sees at most FAN_IN * open_bins bins, whatever the input.
+one task is left.  A round's task sees at most FAN_IN * open_bins bins, whatever the input,
+and leaves at most open_bins open: again the fullest close first.
 
 Defined results: a null text is the empty one, whose only id is the end id; rows with a null
 or repeated id are packed like any others; an empty table gives no rows.
@@ -34,6 +35,7 @@ END_ID = 2
 CAPACITY = 1024
 OPEN_BINS = 256
 FAN_IN = 8
+WINDOW = 1024
 _BIN_BITS = 40  # of a sequence id: the task above, its bin below
 
 
@@ -98,7 +100,7 @@ def place_pieces(
     names = [c.split()[0] for c in PIECES.split(", ")]
     kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.int64()]
 
-    def rows(columns: list[list]) -> pa.RecordBatch:
+    def rows(columns: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,16 +109,18 @@ def place_pieces(
         base = task << _BIN_BITS
         for batch in batches:
             encoded = encoder.encode(pc.fill_null(batch.column(1), ""))
-            out: list[list] = [[] for _ in names]
+            pieces = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoded):
                 ids += end
                 for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                    found, offset = packer.put(length)
-                    crc = zlib.crc32(ids[4 * start : 4 * (start + length)])
-                    row = (doc, number, start, length, crc, base + found, offset, task, None)
-                    for column, value in zip(out, row):
-                        column.append(value)
-            yield rows(out)
+                    pieces.append((doc, number, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
+            out = []
+            for k in range(0, len(pieces), WINDOW):
+                for piece in sorted(pieces[k : k + WINDOW], key=lambda p: -p[3]):
+                    found, offset = packer.put(piece[3])
+                    out.append((*piece, base + found, offset, task, None))
+            if out:
+                yield rows(list(zip(*out)))
         left = packer.still_open()
         if left:
             none = [None] * len(left)
@@ -138,15 +142,15 @@ def merge_open(bins: DataFrame, capacity: int, open_bins: int) -> DataFrame:
     closed = []
 
     def pack(group: pd.DataFrame) -> pd.DataFrame:
-        packer = BestFit(capacity, open_bins)
-        group = group.assign(first=[m[0]["bin"] for m in group.members]).sort_values(["task", "first"])
+        packer = BestFit(capacity, FAN_IN * open_bins)
+        group = group.assign(first=[m[0]["bin"] for m in group.members]).sort_values(["fill", "first"], ascending=[False, True])
         made: dict[int, list] = {}
         fills: dict[int, int] = {}
         for fill, members in zip(group.fill.tolist(), group.members):
             found, offset = packer.put(fill)
             made.setdefault(found, []).extend((m["bin"], m["shift"] + offset) for m in members)
             fills[found] = offset + fill
-        left = packer.still_open()
+        left = set(sorted(packer.still_open(), key=fills.get)[:open_bins])
         return pd.DataFrame({
             "task": int(group.task.iloc[0]) // FAN_IN, "fill": list(fills.values()),
             "members": [[{"bin": b, "shift": s} for b, s in m] for m in made.values()], "open": [b in left for b in fills],

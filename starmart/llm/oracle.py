@@ -11,4 +11,37 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = min(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)
     """,
+    "op13_phrase_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (
+            SELECT lang, size, unnest([w[i:i + size - 1] FOR i IN range(1, len(w) - size + 2)]) AS g
+            FROM w, (VALUES (1), (2), (3)) AS t(size) WHERE len(w) >= size),
+        f AS (SELECT lang, size, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM g GROUP BY ALL),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
+        c AS (SELECT lang, size, phrase, g, f AS a FROM f WHERE size > 1 AND f >= 10),
+        k AS (
+            SELECT lang, phrase, a, k, array_to_string(g[1:k], ' ') AS head, array_to_string(g[k + 1:size], ' ') AS tail
+            FROM c, (VALUES (1), (2)) AS t(k) WHERE k < size),
+        s AS (
+            SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r,
+                   ((1000000::HUGEINT * k.a * k.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
+            FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.head JOIN f y ON y.lang = k.lang AND y.phrase = k.tail),
+        low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (
+            SELECT lang, part, max(a) AS a FROM (
+                SELECT lang, a, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')]) AS part
+                FROM c WHERE size = 3) GROUP BY lang, part),
+        kept AS (
+            SELECT low.* FROM low LEFT JOIN longer ON longer.lang = low.lang AND longer.part = low.phrase
+            WHERE longer.a IS NULL OR 100 * longer.a < 50 * low.a)
+        SELECT kept.lang, row_number() OVER best AS rank, phrase, a, l, r, n.n, score
+        FROM kept JOIN n ON n.lang = kept.lang
+        WINDOW best AS (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase)
+        QUALIFY row_number() OVER best <= 2000
+    """,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.llm import (
-    best_fit_packing, bpe_prefix, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, substring_dedup, suffix_array_dedup,
+    best_fit_packing, bpe_prefix, collocations, conversation_repair, decontaminate, exact_dedup, language_id, repair_ids, simhash_dedup, substring_dedup, suffix_array_dedup,
     tag_paths, viterbi_counts,
 )
 from starmart.llm.common import table
@@ -62,10 +62,19 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_repair_token_ids, op2_html_tag_paths, op3_simhash_near_dedup, op4_exact_dedup, op5_suffix_array_dedup,
         op6_benchmark_decontamination, op7_substring_dedup, op8_language_id, op9_bpe_encode_decode, op10_token_counts, op11_best_fit_packing,
+        op12_conversation_repair, op13_phrase_collocations,
     )
 }
