@@ -17,20 +17,25 @@ ORACLE_SQL: dict[str, str] = {
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                 '[.,;:!?\x0A-\x0D]')) AS piece
             FROM documents),
-        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        q AS (SELECT lang, row_number() OVER () AS id, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+        w AS (SELECT lang, id, unnest(words) AS a, generate_subscripts(words, 1) AS k FROM q),
+        t AS (SELECT lang, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY id ORDER BY k)),
         g AS (
-            SELECT lang, size, unnest([w[i:i + size - 1] FOR i IN range(1, len(w) - size + 2)]) AS g
-            FROM w, (VALUES (1), (2), (3)) AS t(size) WHERE len(w) >= size),
-        f AS (SELECT lang, size, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM g GROUP BY ALL),
+            SELECT lang, 1 AS size, [a] AS g FROM t
+            UNION ALL SELECT lang, 2, [a, b] FROM t WHERE b IS NOT NULL
+            UNION ALL SELECT lang, 3, [a, b, c] FROM t WHERE c IS NOT NULL),
+        f AS MATERIALIZED (SELECT lang, size, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS f FROM g GROUP BY ALL),
         n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY lang),
-        c AS (SELECT lang, size, phrase, g, f AS a FROM f WHERE size > 1 AND f >= 10),
+        c AS MATERIALIZED (SELECT lang, size, phrase, g, f AS a FROM f WHERE size > 1 AND f >= 10),
         k AS (
             SELECT lang, phrase, a, k, array_to_string(g[1:k], ' ') AS head, array_to_string(g[k + 1:size], ' ') AS tail
             FROM c, (VALUES (1), (2)) AS t(k) WHERE k < size),
-        s AS (
-            SELECT k.lang, k.phrase, k.a, k.k, x.f AS l, y.f AS r,
-                   ((1000000::HUGEINT * k.a * k.a) // (x.f::HUGEINT * y.f))::BIGINT AS score
-            FROM k JOIN f x ON x.lang = k.lang AND x.phrase = k.head JOIN f y ON y.lang = k.lang AND y.phrase = k.tail),
+        h AS MATERIALIZED (
+            SELECT k.*, f.f AS l FROM k JOIN f ON f.lang = k.lang AND f.phrase = k.head),
+        s AS MATERIALIZED (
+            SELECT h.lang, h.phrase, h.a, h.k, h.l, f.f AS r,
+                   ((1000000::HUGEINT * h.a * h.a) // (h.l::HUGEINT * f.f))::BIGINT AS score
+            FROM h JOIN f ON f.lang = h.lang AND f.phrase = h.tail),
         low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
         longer AS (
             SELECT lang, part, max(a) AS a FROM (
