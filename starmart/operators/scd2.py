@@ -12,6 +12,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.surrogate import assign_keys, fill_missing_keys
 
@@ -134,17 +135,47 @@ def current_versions(history: DataFrame) -> DataFrame:
     return history.where("is_current")
 
 
-def as_of_join(df: DataFrame, history: DataFrame, key: str, day: str, columns: list[str]) -> DataFrame:
-    """Left point-in-time lookup: equi join on the key, validity as residual condition.
+def _by_month(history: DataFrame, key: str, columns: list[str]) -> tuple[DataFrame, dt.date | None]:
+    """Versions once for each month in which they are valid, and the first day of the last such month.
 
-    The equi key keeps it a hash or merge join; without match ``columns`` are NULL.
+    After the last month in which anything begins or ends, validity no longer changes: that
+    month stands for all later ones, so an open version has an end here too.
     """
-    versions = history.select(
-        F.col(key).alias("_id"), F.col("effective_date").alias("_from"), F.col("expiration_date").alias("_to"), *columns
+    start, end = F.col("effective_date"), F.col("expiration_date")
+    last = history.agg(F.max(F.greatest(start, end))).first()[0]
+    if last is None:
+        return history.sparkSession.createDataFrame([], _month_schema(history, key, columns)), None
+    tail = last.replace(day=1)
+    months = F.sequence(
+        F.trunc(start, "month"), F.least(F.trunc(F.coalesce(F.date_sub(end, 1), F.lit(tail)), "month"), F.lit(tail)), F.expr("INTERVAL 1 MONTH")
     )
+    valid = history.where(start.isNotNull() & (end.isNull() | (end > start)))
+    return valid.select(
+        F.col(key).alias("_id"), F.explode(months).alias("_month"), start.alias("_from"), end.alias("_to"), *columns
+    ), tail
+
+
+def _month_schema(history: DataFrame, key: str, columns: list[str]) -> T.StructType:
+    named = [T.StructField("_id", history.schema[key].dataType), *[T.StructField(c, T.DateType()) for c in ("_month", "_from", "_to")]]
+    return T.StructType(named + [history.schema[c] for c in columns])
+
+
+def as_of_join(df: DataFrame, history: DataFrame, key: str, day: str, columns: list[str]) -> DataFrame:
+    """Left point-in-time lookup; without match (an unknown key, a day before the first
+    version or none at all) ``columns`` are NULL.
+
+    Versions are dealt by month, so the join is on (key, month) and a row meets only the
+    versions of its own month, however long the member's history; adaptive execution can
+    split a member that holds most rows by its months, and further.  The dealt versions
+    number at most (versions + members x months on record).
+    """
+    versions, tail = _by_month(history, key, columns)
+    month = F.trunc(F.col(day), "month")
+    rows = df.withColumn("_row_month", F.least(month, F.lit(tail)) if tail else month)
+    same = (F.col(key) == F.col("_id")) & (F.col("_row_month") == F.col("_month"))
     valid = (F.col("_from") <= F.col(day)) & ((F.col("_to") > F.col(day)) | F.col("_to").isNull())
-    joined = df.join(versions, (F.col(key) == F.col("_id")) & valid, "left")
-    return joined.drop("_id", "_from", "_to", *([day] if day.startswith("_") else []))
+    joined = rows.join(versions, same & valid, "left")
+    return joined.drop("_id", "_month", "_row_month", "_from", "_to", *([day] if day.startswith("_") else []))
 
 
 def latest_version(ids: DataFrame, history: DataFrame, key: str) -> DataFrame:

@@ -342,7 +342,8 @@ def scd2_current(spark, sf):
 def scd2_as_of_join(spark, sf):
     """Each event with the version of its user on that day."""
     events = src.table(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
-    return scd2.as_of_join(events, _feed_history(spark, sf), "user_id", "day", ["event_type", "version"])
+    history = stage(_feed_history(spark, sf), "feed-history")
+    return scd2.as_of_join(events, history, "user_id", "day", ["event_type", "version"])
 
 
 @query

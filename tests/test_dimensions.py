@@ -166,3 +166,54 @@ def test_overlapping_occupancy_ranges(spark):
         0: "empty", 20: "empty", 21: "many_seats_available", 80: "standing_room_only", 81: "crushed_standing_room_only",
         95: "full", 100: "full", None: None,
     }
+
+
+def random_history(rng, members):
+    """Versions with gaps, open and empty ends, and a member that changes daily."""
+    rows = []
+    for m in range(members):
+        day = D(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 400))
+        for v in range(rng.randint(1, 40)):
+            length = 1 if m == 0 else rng.choice([1, 3, 29, 31, 200, 700])
+            end = None if rng.random() < 0.1 else day + dt.timedelta(days=length)
+            rows.append((f"m{m}", 100 * m + v, day, end))
+            if end is None:
+                break
+            day = end + dt.timedelta(days=rng.choice([0, 0, 0, 5]))
+    return rows
+
+
+def test_as_of_join_equals_a_search(spark):
+    rng = random.Random(9)
+    versions_of = random_history(rng, 25)
+    history = spark.createDataFrame(versions_of, "id string, route_key int, effective_date date, expiration_date date")
+    asked = [
+        (rng.choice([f"m{rng.randint(0, 26)}", None]), rng.choice([None, D(2019, 1, 1), D(2099, 1, 31)] + [D(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 3000))] * 30))
+        for _ in range(3000)
+    ]
+    found = scd2.as_of_join(spark.createDataFrame(asked, "id string, day date"), history, "id", "day", ["route_key"])
+    want = []
+    for member, day in asked:
+        keys = [k for i, k, a, b in versions_of if i == member and day and a <= day and (b is None or day < b)]
+        want += [(member, day, k) for k in keys or [None]]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+
+
+def test_as_of_join_meets_versions_of_its_month_only(spark):
+    """A member with 3000 daily versions: each of its rows meets at most a month of them."""
+    rows = [("a", k, D(2015, 1, 1) + dt.timedelta(days=k), D(2015, 1, 2) + dt.timedelta(days=k)) for k in range(3000)]
+    history = spark.createDataFrame(rows, "id string, route_key int, effective_date date, expiration_date date")
+    dealt, tail = scd2._by_month(history, "id", ["route_key"])
+    assert dealt.count() == 3000 and tail == D(2023, 3, 1)
+    assert dealt.groupBy("_id", "_month").count().agg(F.max("count")).first()[0] == 31
+    asked = spark.createDataFrame([("a", D(2016, 2, 29))], "id string, day date")
+    joined = scd2.as_of_join(asked, history, "id", "day", ["route_key"])
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join LeftOuter" in line)
+    assert "_row_month" in join and "_month" in join and [r.route_key for r in joined.collect()] == [424]
+
+
+def test_as_of_join_without_history(spark):
+    history = spark.createDataFrame([], "id string, route_key int, effective_date date, expiration_date date")
+    asked = spark.createDataFrame([("a", D(2020, 1, 1))], "id string, day date")
+    assert [tuple(r) for r in scd2.as_of_join(asked, history, "id", "day", ["route_key"]).collect()] == [("a", D(2020, 1, 1), None)]
