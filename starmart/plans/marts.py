@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions import activity_segment, date_from_key, key_of, month_key, percentage, ratio
-from starmart.operators.merge import summing_merge
 from starmart.operators.ordered import rank_within
+from starmart.operators.parts import Measures, distinct_count
 from starmart.plans.analytics import by_date, by_minute, completed, since
 from starmart.sources.writers import replace_partitions, write_sorted
 
@@ -101,22 +101,55 @@ def user_daily_stats(fact: DataFrame) -> DataFrame:
     )
 
 
+#: Grain and measures of the route-hour mart when it is kept in parts.
+ROUTE_HOUR = Measures(
+    keys=(*ROUTE_COLUMNS, "date", "hour"),
+    sums={
+        "total_trips": "count(1)",
+        "total_distance_km": "sum(distance_km)",
+        "minutes": "sum(duration_minutes)",
+        "timed_trips": "count(duration_minutes)",
+        "total_revenue": "sum(actual_fare)",
+        "priced_trips": "count(actual_fare)",
+    },
+    distinct={"passengers": "user_key"},
+)
+
+
+def route_hour_rows(
+    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date | None = None
+) -> DataFrame:
+    """Completed trips with route, date and hour; with ``as_of`` the recent ones only."""
+    done = fact.where(completed())
+    if as_of:
+        done = _recent(done, as_of)
+    dated = by_minute(by_date(done, dim_date.select("date_key", "date")), dim_time.select("time_key", "hour"))
+    return dated.join(dim_route.select("route_key", *ROUTE_COLUMNS), "route_key")
+
+
 def route_hourly(
     fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date
 ) -> DataFrame:
-    recent = _recent(fact.where(completed()), as_of)
-    return (
-        by_minute(by_date(recent, dim_date.select("date_key", "date")), dim_time.select("time_key", "hour"))
-        .join(dim_route.select("route_key", *ROUTE_COLUMNS), "route_key")
-        .groupBy(*ROUTE_COLUMNS, "date", "hour")
-        .agg(
-            F.count(F.lit(1)).alias("total_trips"),
-            F.count_distinct("user_key").alias("unique_passengers"),
-            F.sum("distance_km").alias("total_distance_km"),
-            _avg_minutes().alias("avg_trip_duration_minutes"),
-            F.sum("actual_fare").alias("total_revenue"),
-            ratio(F.sum("actual_fare"), F.count("actual_fare")).alias("avg_fare"),
-        )
+    return route_hour_rows(fact, dim_route, dim_date, dim_time, as_of).groupBy(*ROUTE_HOUR.keys).agg(
+        F.count(F.lit(1)).alias("total_trips"),
+        F.count_distinct("user_key").alias("unique_passengers"),
+        F.sum("distance_km").alias("total_distance_km"),
+        _avg_minutes().alias("avg_trip_duration_minutes"),
+        F.sum("actual_fare").alias("total_revenue"),
+        ratio(F.sum("actual_fare"), F.count("actual_fare")).alias("avg_fare"),
+    )
+
+
+def route_hourly_from_parts(parts: DataFrame) -> DataFrame:
+    """The route-hour mart from merged parts; distinct passengers within the sketches' error."""
+    return parts.select(
+        *ROUTE_HOUR.keys,
+        "total_trips",
+        distinct_count("passengers").alias("unique_passengers"),
+        "total_distance_km",
+        ratio(F.col("minutes"), F.col("timed_trips")).alias("avg_trip_duration_minutes"),
+        "total_revenue",
+        ratio(F.col("total_revenue"), F.col("priced_trips")).alias("avg_fare"),
     )
 
 
@@ -160,44 +193,59 @@ def station_popularity(
     )
 
 
-def passenger_flow_by_hour(
-    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date, parts: bool = False
-) -> DataFrame:
-    """Trips per date and hour; ``parts`` also counts the trips of known fare, for ``collapse_flow``."""
-    recent = _recent(fact.where(completed()), as_of)
-    priced = [F.count("actual_fare").alias("priced_trips")] if parts else []
+#: Grain and measures of the flow mart when it is kept in parts.
+FLOW = Measures(
+    keys=("date", "hour", "day_of_week", "is_weekend", "is_rush_hour"),
+    sums={
+        **{f"{kind}_trips": f"count_if(transport_type = '{kind}')" for kind in ("bus", "tram", "metro")},
+        "total_trips": "count(1)",
+        "total_revenue": "sum(actual_fare)",
+        "priced_trips": "count(actual_fare)",
+    },
+    distinct={"passengers": "user_key"},
+)
+
+
+def _flow_rows(fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
     days = dim_date.select("date_key", "date", "day_of_week", "is_weekend")
     minutes = dim_time.select("time_key", "hour", "is_rush_hour")
-    kind = F.col("transport_type")
-    return (
-        by_minute(by_date(recent, days), minutes)
-        .join(dim_route.select("route_key", "transport_type"), "route_key")
-        .groupBy("date", "hour", "day_of_week", "is_weekend", "is_rush_hour")
-        .agg(
-            F.count_if(kind == "bus").alias("bus_trips"),
-            F.count_if(kind == "tram").alias("tram_trips"),
-            F.count_if(kind == "metro").alias("metro_trips"),
-            F.count(F.lit(1)).alias("total_trips"),
-            F.sum("actual_fare").alias("total_revenue"),
-            ratio(F.sum("actual_fare"), F.count("actual_fare")).alias("avg_revenue_per_trip"),
-            F.count_distinct("user_key").alias("unique_passengers"),
-            *priced,
-        )
-        .withColumns({c: F.col(c).cast("int") for c in ("is_weekend", "is_rush_hour")})
-    )
+    rows = by_minute(by_date(fact.where(completed()), days), minutes)
+    return rows.join(dim_route.select("route_key", "transport_type"), "route_key")
+
+
+def _flow(measured: DataFrame) -> DataFrame:
+    average = ratio(F.col("total_revenue"), F.col("priced_trips"))
+    flags = {c: F.col(c).cast("int") for c in ("is_weekend", "is_rush_hour")}
+    kinds = ["bus_trips", "tram_trips", "metro_trips", "total_trips", "total_revenue"]
+    return measured.select(*FLOW.keys, *kinds, average.alias("avg_revenue_per_trip"), "unique_passengers").withColumns(flags)
+
 
+def passenger_flow_by_hour(
+    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, as_of: dt.date
+) -> DataFrame:
+    """Recent trips per date and hour, with exact distinct passengers."""
+    rows = _flow_rows(_recent(fact, as_of), dim_route, dim_date, dim_time)
+    sums = [F.expr(a).alias(c) for c, a in FLOW.sums.items()]
+    return _flow(rows.groupBy(*FLOW.keys).agg(*sums, F.count_distinct("user_key").alias("unique_passengers")))
 
-def collapse_flow(flow: DataFrame) -> DataFrame:
-    """Summing merge of flow rows loaded in parts: additive columns are summed per
-    (date, hour), calendar attributes kept, the average derived again.
 
-    Distinct passengers are not additive and therefore not carried.
+def flow_parts(
+    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, part: Column | None = None
+) -> DataFrame:
+    """Flow rows of all days in mergeable parts; ``part`` names the load that a trip came with."""
+    rows = _flow_rows(fact, dim_route, dim_date, dim_time)
+    if part is None:
+        return FLOW.partial(rows)
+    by_part = Measures(("part", *FLOW.keys), FLOW.sums, FLOW.distinct)
+    return by_part.partial(rows.withColumn("part", part)).drop("part")
+
+
+def collapse_flow(parts: DataFrame) -> DataFrame:
+    """Summing merge of flow rows loaded in parts: additive columns are summed per (date, hour),
+    passengers' sketches united, the average derived again.  Distinct passengers are within
+    1.6 % (one standard error), and exact for the small counts of most hours.
     """
-    keys = ["date", "hour", "day_of_week", "is_weekend", "is_rush_hour"]
-    additive = ["bus_trips", "tram_trips", "metro_trips", "total_trips", "priced_trips", "total_revenue"]
-    merged = summing_merge(flow, keys, additive)
-    average = ratio(F.col("total_revenue"), F.col("priced_trips"))
-    return merged.withColumn("avg_revenue_per_trip", average).drop("priced_trips")
+    return _flow(FLOW.merge(parts).withColumn("unique_passengers", distinct_count("passengers")))
 
 
 def user_segmentation(fact: DataFrame, dim_user: DataFrame, dim_route: DataFrame, as_of: dt.date) -> DataFrame:

@@ -312,7 +312,8 @@ QUERIES = {
         '2001-08-01 06:30:00' AS load_date, 'OLTP' AS source_system FROM s_users""",
     "summing_merge": f"""SELECT CAST(day AS VARCHAR) AS date, CAST(h AS BIGINT) AS hour, CAST(dow AS BIGINT) AS day_of_week,
         CAST(weekend AS BIGINT) AS is_weekend, CAST(rush AS BIGINT) AS is_rush_hour, bus AS bus_trips, tram AS tram_trips, metro AS metro_trips,
-        trips AS total_trips, CAST(revenue AS DOUBLE) AS total_revenue, {_ratio("revenue", "trips")} AS avg_revenue_per_trip FROM s_flow""",
+        trips AS total_trips, CAST(revenue AS DOUBLE) AS total_revenue, {_ratio("revenue", "trips")} AS avg_revenue_per_trip,
+        passengers AS unique_passengers FROM s_flow""",
     "replacing_merge": """SELECT user_id, event_type, event_id, CAST(ts AS VARCHAR) AS ts, value FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""",
     "dim_date": """SELECT date_key, CAST(date AS VARCHAR) AS date, year, quarter, month, month_name, week, day, day_of_week, iso_day_of_week,

@@ -16,6 +16,7 @@ from starmart.plans import analytics, domain, marts, views
 from starmart.session import ensure_utc, new_path, stage
 from starmart.sources import readers, reference_rows, writers
 from starmart.streaming import pings as streaming
+from starmart.streaming import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -147,15 +148,11 @@ def staging_copy_common(spark, sf):
 
 @query
 def summing_merge(spark, sf):
-    """Flow rows loaded in two parts collapse per (date, hour)."""
-    fact = src.fact_trips(spark, sf)
-    dims = (src.dim_route(spark, sf), src.dim_date(spark, sf), src.dim_time(spark))
-    since = src.TARIFFS[0][0] + dt.timedelta(days=marts.RECENT_DAYS)  # the flow of all days since the first tariff
-    halves = [
-        marts.passenger_flow_by_hour(fact.where(F.col("user_key") % 2 == part), *dims, since, parts=True)
-        for part in (0, 1)
-    ]
-    return marts.collapse_flow(halves[0].unionByName(halves[1]))
+    """Flow rows of all days, loaded in two parts, collapse per (date, hour)."""
+    parts = marts.flow_parts(
+        src.fact_trips(spark, sf), src.dim_route(spark, sf), src.dim_date(spark, sf), src.dim_time(spark), F.col("user_key") % 2
+    )
+    return marts.collapse_flow(parts)
 
 
 @query
@@ -1115,12 +1112,10 @@ def stream_vehicle_sessions(spark, sf):
 def stream_latest_position(spark, sf):
     """Latest position per vehicle, kept over several micro-batches."""
     pings = src.pings(spark, sf)
-    path, checkpoint = new_path(spark, "latest"), new_path(spark, "latest-checkpoint")
-    handle = streaming.keep_latest(path, pings.schema, ["vehicle_id"], ["ts", "position_id"])
-    _arriving(spark, pings, "position_id", lambda stream: streaming.run_batches(stream, handle, checkpoint))
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("version")).first()[0]
-    return versions.where(F.col("version") == newest).drop("version")
+    table = tables.LatestTable(new_path(spark, "latest"), pings.schema, ["vehicle_id"], ["ts", "position_id"])
+    checkpoint = new_path(spark, "latest-checkpoint")
+    _arriving(spark, pings, "position_id", lambda stream: streaming.run_batches(stream, table.handler("load"), checkpoint))
+    return table.read(spark)
 
 
 @query
@@ -1142,12 +1137,15 @@ def position_fact_load(spark, sf):
 
 @query
 def mart_incremental(spark, sf):
-    """Route-hour mart kept over a stream of trip facts in several batches."""
-    fact = src.fact_trips(spark, sf, RECENT)
+    """Route-hour mart kept in mergeable parts over a stream of trip facts in several batches."""
+    fact = stage(src.fact_trips(spark, sf, RECENT), "facts")
     dims = (src.dim_route(spark, sf), src.dim_date(spark, sf), src.dim_time(spark))
-    mart, checkpoint = new_path(spark, "mart"), new_path(spark, "mart-checkpoint")
-    handle = streaming.refresh_touched_days(
-        new_path(spark, "facts"), mart, fact.schema, lambda part: marts.route_hourly(part, *dims, AS_OF), "load"
-    )
-    _arriving(spark, fact, "trip_id", lambda stream: streaming.run_batches(stream, handle, checkpoint))
-    return spark.read.parquet(mart)
+
+    def build(part: DataFrame) -> DataFrame:
+        return marts.route_hour_rows(part, *dims, AS_OF)
+
+    schema = marts.ROUTE_HOUR.partial(build(fact)).schema
+    mart = tables.DeltaMart(new_path(spark, "mart"), schema, marts.ROUTE_HOUR, fold_every=2)
+    checkpoint = new_path(spark, "mart-checkpoint")
+    _arriving(spark, fact, "trip_id", lambda stream: streaming.run_batches(stream, mart.handler(build, "load"), checkpoint))
+    return marts.route_hourly_from_parts(mart.read(spark))

@@ -80,3 +80,21 @@ def copy_common(
         F.lit(load_date).cast("timestamp_ntz").alias("load_date"),
         F.lit(source_system).alias("source_system"),
     )
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, whatever file system it is on; none if there is no such path."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, place = _file_system(spark, path)
+    system.delete(place, True)

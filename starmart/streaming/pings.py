@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from starmart.functions import ratio
-from starmart.operators.merge import latest_per_key
 from starmart.sources.writers import replace_partitions
 
 WATERMARK = "10 minutes"
@@ -166,26 +165,6 @@ def append_batches(
     return handle
 
 
-def keep_latest(path: str, schema: T.StructType, keys: list[str], version: list[str]) -> Callable[[DataFrame, int], None]:
-    """Key-value mart: the latest row per key, as one table version per batch.
-
-    Batch n reads version n-1 and writes version n, so a replay gives the same
-    files and readers never see a table being overwritten.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        # Only the first batch may find nothing: a version that is gone is an error, not an empty table.
-        previous = f"{path}/version={batch_id - 1}"
-        before = spark.read.schema(schema).parquet(previous) if batch_id else spark.createDataFrame([], schema)
-        merged = before.unionByName(latest_per_key(batch, keys, [F.col(c) for c in version]))
-        latest_per_key(merged, keys, [F.col(c) for c in version]).write.mode("overwrite").parquet(
-            f"{path}/version={batch_id}"
-        )
-
-    return handle
-
-
 _SPELL_STATE = "stopped_at bigint, slow_pings bigint"
 
 
@@ -245,42 +224,3 @@ def stationary_spells(pings: DataFrame, slow_below: float = 1.0, forget_after: d
         minutes.alias("delay_minutes"),
         "slow_pings",
     )
-
-
-def refresh_touched_days(
-    fact_path: str,
-    mart_path: str,
-    fact_schema: T.StructType,
-    build: Callable[[DataFrame], DataFrame],
-    run: str,
-) -> Callable[[DataFrame, int], None]:
-    """Incrementally kept mart over days: append the batch to the fact table, then
-    recompute the days it touched and replace exactly those partitions.
-
-    The scan is cut to the batch's first and last day by literals on the partition
-    column, so other days' folders are not opened; the semi join picks the touched
-    days between.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read more than once below; a lost copy is read from the source again.
-        batch = batch.persist()
-        try:
-            first, last = batch.agg(F.min("start_date_key"), F.max("start_date_key")).first()
-            if first is None:
-                return
-            replace_partitions(
-                _of_batch(batch, run, batch_id), fact_path, ["start_date_key", "run", "batch_id"], ["trip_id"]
-            )
-            stored = T.StructType(
-                [*fact_schema.fields, T.StructField("run", T.StringType()), T.StructField("batch_id", T.IntegerType())]
-            )
-            facts = batch.sparkSession.read.schema(stored).parquet(fact_path)
-            near = facts.where(F.col("start_date_key").between(first, last))
-            touched = batch.select("start_date_key").distinct()
-            stats = build(near.join(touched, "start_date_key", "left_semi"))
-            replace_partitions(stats, mart_path, ["date"], ["route_id", "hour"])
-        finally:
-            batch.unpersist()
-
-    return handle

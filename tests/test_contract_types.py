@@ -85,7 +85,9 @@ def test_averages_ignore_unknown_values(spark):
         "date int, hour int, day_of_week int, is_weekend int, is_rush_hour int, bus_trips int, tram_trips int, metro_trips int, "
         "total_trips int, priced_trips int, total_revenue decimal(10,2)",
     )
-    assert marts.collapse_flow(flow).first()["avg_revenue_per_trip"] == 6.0
+    parts = flow.join(spark.range(2).selectExpr("hll_sketch_agg(id) AS passengers"))
+    row = marts.collapse_flow(parts).first()
+    assert (row["avg_revenue_per_trip"], row["unique_passengers"]) == (6.0, 2)
 
 
 def test_a_repeated_snapshot_key_is_one_member(spark):

@@ -65,16 +65,6 @@ def test_spells_cross_batches(spark, tmp_path):
     assert got == sorted((r["vehicle_id"], r["delay_minutes"], r["slow_pings"]) for r in batch.collect()) == [(1, 3.0, 3), (2, 6.0, 1)]
 
 
-def test_latest_position_survives_replay(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.IntegerType())])
-    handle = streaming.keep_latest(str(tmp_path / "kv"), schema, ["k"], ["v"])
-    first, second = (spark.createDataFrame(r, schema) for r in ([(1, 1), (1, 3), (2, 5)], [(1, 2), (2, 9), (3, 1)]))
-    for batch, n in ((first, 0), (second, 1), (second, 1)):
-        handle(batch, n)
-    out = spark.read.schema(schema).parquet(str(tmp_path / "kv/version=1"))
-    assert sorted(map(tuple, out.select("k", "v").collect())) == [(1, 3), (2, 9), (3, 1)]
-
-
 def test_append_survives_replay(spark, tmp_path):
     handle = streaming.append_batches(str(tmp_path / "a"), ["m"], "first")
     df = spark.createDataFrame([(1, 202501), (2, 202502)], "v int, m int")
@@ -83,13 +73,6 @@ def test_append_survives_replay(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "a")).count() == 4
 
 
-def test_a_missing_version_is_an_error(spark, tmp_path):
-    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("v", T.IntegerType())])
-    handle = streaming.keep_latest(str(tmp_path / "kv"), schema, ["k"], ["v"])
-    with pytest.raises(AnalysisException):
-        handle(spark.createDataFrame([(1, 1)], schema), 3)
-
-
 def test_a_new_checkpoint_loses_no_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, 202501), (2, 202502)], "v int, m int")
     for run in ("first", "second"):
@@ -114,21 +97,3 @@ def test_delay_state_over_batches_and_string_ids(spark, tmp_path):
         streaming.run_to_table(spells, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = sorted((r.vehicle_id, r.stopped_at.minute, r.until.minute, r.slow_pings) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(v, *x) for v in ("V-1", "V-2") for x in ((0, 2, 2), (3, 6, 3), (8, 9, 1))]
-
-
-def test_touched_days_are_cut_by_literals(spark, tmp_path):
-    schema = T.StructType([T.StructField("trip_id", T.LongType()), T.StructField("start_date_key", T.LongType()), T.StructField("date", T.DateType()),
-                           T.StructField("route_id", T.StringType()), T.StructField("hour", T.IntegerType())])
-    plans = []
-
-    def build(part):
-        plans.append(part._jdf.queryExecution().executedPlan().toString())
-        return part.groupBy("date", "route_id", "hour").count()
-
-    day = dt.date(2025, 1, 1)
-    for run, batch, ids in (("a", 0, [1, 2]), ("a", 1, [3]), ("b", 0, [4])):
-        handle = streaming.refresh_touched_days(str(tmp_path / "f"), str(tmp_path / "m"), schema, build, run)
-        handle(spark.createDataFrame([(i, 20250101, day, "R1", 8) for i in ids], schema), batch)
-    handle(spark.createDataFrame([], schema), 1)
-    assert spark.read.parquet(str(tmp_path / "m")).first()["count"] == 4
-    assert all("20250101" in p.split("PartitionFilters")[1].split("]")[0] for p in plans)
