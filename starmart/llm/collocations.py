@@ -37,6 +37,7 @@ from starmart.session import stage
 PACK_BYTES = 8 << 20
 SEGMENT_BYTES = 16 << 20
 FINGERPRINT_BITS = 64
+FIRST_ROUND = 64
 SENT_BYTES = 6  # of a fingerprint, beside its segment
 MIN_COUNT, MAX_WORDS, TOP, CONTAINED_PERCENT = 10, 3, 2000, 50
 
@@ -361,11 +362,16 @@ def collocations(
             "flatten(transform(sequence(2, size - 1), s -> transform(sequence(1, size - s + 1), b -> slice(words, b, s))))"
         )).alias("part")
     ).groupBy("lang", F.array_join("part", " ").alias("phrase")).agg(F.max("f").alias("longest"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     kept = lowest.join(inner, ["lang", "phrase"], "left").where(
         F.coalesce(100 * F.col("longest") < contained_percent * F.col("a"), F.lit(True))
     )
-    ranked = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(best))
+    scored = kept.select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    # The best of each of ``FIRST_ROUND`` parts of a language first: the last round is small however large the language.
+    part = F.pmod(F.xxhash64("phrase"), F.lit(FIRST_ROUND))
+    heats = Window.partitionBy("lang", part).orderBy(*order)
+    scored = scored.withColumn("rank", F.row_number().over(heats)).where(F.col("rank") <= top)
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
     return ranked.where(F.col("rank") <= top).join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score")
     )
