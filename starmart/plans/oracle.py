@@ -688,9 +688,10 @@ QUERIES = {
         count(DISTINCT CASE WHEN event_type NOT IN ('error', 'signup') THEN user_id END) AS vehicles FROM events GROUP BY 1, 2""",
     "stream_dedup": "SELECT position_id, vehicle_id, CAST(ts AS VARCHAR) AS ts, CAST(speed AS DOUBLE) AS speed FROM s_pings",
     "stream_hourly_speed": f"""SELECT CAST(w AS VARCHAR) AS window_start, CAST(w + INTERVAL 1 HOUR AS VARCHAR) AS window_end, route_id, avg_speed, min_speed, max_speed,
-        median_speed, measurements_count FROM (SELECT date_trunc('hour', ts) AS w, route_id, {_ratio("sum(speed)", "count(*)")} AS avg_speed,
+        median_speed, measurements_count, active_vehicles FROM (SELECT date_trunc('hour', ts) AS w, route_id, {_ratio("sum(speed)", "count(*)")} AS avg_speed,
             CAST(min(speed) AS DOUBLE) AS min_speed, CAST(max(speed) AS DOUBLE) AS max_speed,
-            round(quantile_cont(CAST(speed AS DOUBLE), 0.5), 6) AS median_speed, count(*) AS measurements_count FROM s_pings GROUP BY 1, 2), s_cutoff
+            round(quantile_cont(CAST(speed AS DOUBLE), 0.5), 6) AS median_speed, count(*) AS measurements_count,
+            count(DISTINCT vehicle_id) AS active_vehicles FROM s_pings GROUP BY 1, 2), s_cutoff
         WHERE w + INTERVAL 1 HOUR <= cut""",
     "stream_sliding_load": f"""SELECT CAST(w AS VARCHAR) AS window_start, CAST(w + INTERVAL 15 MINUTE AS VARCHAR) AS window_end, route_id, avg_level, pings FROM (
         SELECT time_bucket(INTERVAL 5 MINUTE, ts) - back * INTERVAL 5 MINUTE AS w, route_id, {_ratio("sum(occupancy_level)", "count(*)")} AS avg_level, count(*) AS pings
@@ -704,7 +705,8 @@ QUERIES = {
         CAST(speed AS DOUBLE) AS speed, bearing, occupancy, CAST(ts AS VARCHAR) AS ts FROM (
         SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY ts DESC, position_id DESC) AS rn FROM s_pings) WHERE rn = 1""",
     "stream_delay_state": """SELECT vehicle_id, CAST(stopped_at AS VARCHAR) AS stopped_at, CAST(until AS VARCHAR) AS until,
-        (epoch_us(until) - epoch_us(stopped_at)) / 1e6 / 60 AS delay_minutes, slow_pings FROM s_spells WHERE moved_on""",
+        (epoch_us(until) - epoch_us(stopped_at)) / 1e6 / 60 AS delay_minutes, slow_pings FROM s_spells, s_cutoff
+        WHERE moved_on AND until <= date_trunc('milliseconds', cut)""",
     "position_fact_load": f"""SELECT v.vehicle_key, r.route_key, {_date_key("ts")} AS date_key, {_time_key("ts")} AS time_key, {_minute_key("ts")} AS minute_key,
         CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, CAST(speed AS DOUBLE) AS speed_kmh, bearing AS direction_degree,
         CAST(ts AS VARCHAR) AS recorded_at FROM s_pings p LEFT JOIN s_dim_vehicle v ON p.vehicle_id = v.vehicle_id

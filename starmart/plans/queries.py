@@ -1049,6 +1049,16 @@ def _arriving(spark, df, key, consume):
         consume(readers.stream_files(spark, folder, df.schema, FILES_PER_BATCH))
 
 
+def _by_time(spark, df, ts, consume):
+    """Deliver ``df`` in three slices of time, each consumed before the next arrives."""
+    folder = new_path(spark, "by-time")
+    first, last = df.agg(F.min(F.unix_micros(F.col(ts).cast("timestamp"))), F.max(F.unix_micros(F.col(ts).cast("timestamp")))).first()
+    third = F.floor((F.unix_micros(F.col(ts).cast("timestamp")) - first) * 3 / (last - first + 1))
+    for n in range(3):
+        df.where(third == n).write.mode("append").parquet(folder)
+        consume(readers.stream_files(spark, folder, df.schema, FILES_PER_BATCH))
+
+
 def _json_folder(spark, sf):
     """Events as JSON lines: errors are cut short, signups lack a readable time."""
     ts = F.when(F.col("event_type") == "signup", "soon").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
@@ -1093,8 +1103,16 @@ def stream_dedup(spark, sf):
 
 @query
 def stream_hourly_speed(spark, sf):
-    hours = streaming.hourly_speed(streaming.with_event_time(_event_stream(spark, sf)))
-    return _stream_result(spark, hours, "hourly").drop("active_vehicles_approx")
+    """Hours over a stream that arrives in three parts."""
+    path, checkpoint, pings = new_path(spark, "hourly"), new_path(spark, "hourly-checkpoint"), src.pings(spark, sf)
+    hours = []
+
+    def consume(stream):
+        hours.append(streaming.hourly_speed(streaming.with_event_time(stream)))
+        streaming.run_to_table(hours[-1], path, checkpoint)
+
+    _by_time(spark, pings, "ts", consume)
+    return spark.read.schema(hours[-1].schema).parquet(path)
 
 
 @query
@@ -1120,9 +1138,15 @@ def stream_latest_position(spark, sf):
 
 @query
 def stream_delay_state(spark, sf):
-    """Spells that ended, by arbitrary state over the stream."""
-    spells = streaming.stationary_spells(streaming.with_event_time(_event_stream(spark, sf)), slow_below=20.0)
-    return _stream_result(spark, spells, "spells")
+    """Spells that ended, by timers and state per vehicle, over a stream that arrives in three parts."""
+    path, checkpoint, spells = new_path(spark, "spells"), new_path(spark, "spells-checkpoint"), []
+
+    def consume(stream):
+        spells.append(streaming.stationary_spells(streaming.with_event_time(stream), slow_below=20.0))
+        streaming.run_to_table(spells[-1], path, checkpoint)
+
+    _by_time(spark, src.pings(spark, sf), "ts", consume)
+    return spark.read.schema(spells[-1].schema).parquet(path)
 
 
 @query

@@ -2,9 +2,8 @@
 
 import datetime as dt
 import json
+from decimal import Decimal
 
-import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,7 +55,7 @@ def test_late_and_duplicate_pings(spark, tmp_path):
 
 
 def test_spells_cross_batches(spark, tmp_path):
-    groups = [[(1, 1, 0, 0.5), (2, 1, 1, 0.2), (3, 2, 1, 9.0)], [(4, 1, 2, 0.3), (5, 1, 3, 8.0), (6, 2, 3, 0.1)], [(7, 2, 9, 5.0), (8, 1, 9, 0.0)]]
+    groups = [[(1, 1, 0, 0.5), (2, 1, 1, 0.2), (3, 2, 1, 9.0)], [(4, 1, 2, 0.3), (5, 1, 3, 8.0), (6, 2, 3, 0.1)], [(7, 2, 9, 5.0), (8, 1, 9, 0.0)], [(9, 9, 60, 9.0)]]
     stream = batches(spark, tmp_path, *groups)
     out = collect(spark, streaming.stationary_spells(streaming.with_event_time(stream)), tmp_path)
     got = sorted((r["vehicle_id"], r["delay_minutes"], r["slow_pings"]) for r in out.collect())
@@ -90,10 +89,70 @@ def test_delay_state_over_batches_and_string_ids(spark, tmp_path):
     speeds = [0.5, 0.2, 5.0, 0.3, 0.1, 0.2, 9.0, 8.0, 0.0, 7.0]
     rows = [(i, v, dt.datetime(2025, 1, 1, 8, i), s) for v in ("V-1", "V-2") for i, s in enumerate(speeds)]
     schema = "position_id int, vehicle_id string, ts timestamp_ntz, speed double"
-    for n in range(4):
+    rows.append((12, "V-9", dt.datetime(2025, 1, 1, 9, 30), 50.0))  # moves the watermark past the others
+    for n in range(5):
         spark.createDataFrame([r for r in rows if r[0] // 3 == n], schema).write.mode("append").parquet(str(tmp_path / "in"))
         stream = readers.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=8)
         spells = streaming.stationary_spells(streaming.with_event_time(stream))
         streaming.run_to_table(spells, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = sorted((r.vehicle_id, r.stopped_at.minute, r.until.minute, r.slow_pings) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == [(v, *x) for v in ("V-1", "V-2") for x in ((0, 2, 2), (3, 6, 3), (8, 9, 1))]
+
+
+def test_pings_out_of_order_late_and_without_speed(spark, tmp_path):
+    """Within the watermark order of arrival does not matter; behind it a ping is left out."""
+    stream = batches(
+        spark, tmp_path,
+        [(1, 1, 3, 0.1), (2, 1, 9, 0.0)],
+        [(3, 1, 5, 0.2), (4, 1, 1, 9.0)],                   # in between, and before
+        [(5, 1, 11, 8.0), (6, 1, 12, 0.0), (7, 2, 40, 5.0)],  # 40 sends the watermark to 30
+        [(8, 1, 4, 9.0), (9, 1, 32, None)],                  # 4 is late; no speed is no stop
+        [(10, 2, 90, 5.0)],
+    )
+    out = collect(spark, streaming.stationary_spells(streaming.with_event_time(stream)), tmp_path)
+    assert sorted((r.vehicle_id, r.delay_minutes, r.slow_pings) for r in out.collect()) == [(1, 8.0, 3), (1, 20.0, 1)]
+
+
+def test_a_silent_vehicle_is_forgotten(spark, tmp_path):
+    stream = batches(
+        spark, tmp_path, [(1, 1, 0, 0.1), (2, 2, 0, 0.1)], [(3, 3, 100, 5.0)], [(4, 2, 101, 5.0), (5, 3, 400, 5.0)],
+        [(6, 1, 401, 5.0), (7, 3, 900, 5.0)],
+    )
+    spells = streaming.stationary_spells(streaming.with_event_time(stream), forget_after=dt.timedelta(hours=3))
+    out = collect(spark, spells, tmp_path)
+    # Vehicle 1 moved again only after its state was gone: nobody knows how long it stood.
+    assert [(r.vehicle_id, r.delay_minutes) for r in out.collect()] == [(2, 101.0)]
+
+
+def test_state_of_hourly_speed_is_bounded_by_distinct_speeds(spark, tmp_path):
+    start = dt.datetime(2025, 1, 1, 8)
+    schema = "vehicle_id int, route_id string, ts timestamp_ntz, speed decimal(5,2)"
+    for n in range(4):  # 4000 pings of one hour at 5 speeds, in four micro-batches
+        rows = [(k % 40, "R1", start + dt.timedelta(seconds=900 * n + k % 900), Decimal(10 * (k % 5))) for k in range(1000)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = readers.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=1)
+    hours = streaming.hourly_speed(streaming.with_event_time(stream))
+    query = (
+        hours.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    states = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
+    assert len(query.recentProgress) >= 4 and max(states) == 5
+
+
+def test_median_and_vehicles_over_several_batches(spark, tmp_path):
+    start = dt.datetime(2025, 1, 1, 8)
+    schema = "vehicle_id int, route_id string, ts timestamp_ntz, speed decimal(5,2)"
+    speeds = [Decimal(x) for x in ("1.00", "2.00", "2.00", "10.00")] + [None]
+    for n, part in enumerate([[0, 1], [2, 3, 4]]):
+        rows = [(k % 3, "R1", start + dt.timedelta(minutes=10 * k), speeds[k]) for k in part]
+        rows += [(9, "R2", start + dt.timedelta(hours=3), None)] if n else []
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = readers.stream_files(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema, max_files=1)
+        hours = streaming.hourly_speed(streaming.with_event_time(stream))
+        streaming.run_to_table(hours, str(tmp_path / "out"), str(tmp_path / "cp"))
+    row = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r.avg_speed, r.median_speed, r.min_speed, r.max_speed, r.measurements_count, r.active_vehicles) for r in row] == [
+        (3.75, 2.0, Decimal("1.00"), Decimal("10.00"), 5, 3)
+    ]
