@@ -3,7 +3,7 @@
 Every step is one distributed read and write; nothing passes through the driver
 and a failure stops the run.  A load can be run again: staging replaces its own load
 day, facts are merged by their key into the days the extract touches (an extract may
-hold part of a day), dimensions are written as a new snapshot under the load's stamp,
+hold part of a day), the calendar spans stored facts too, dimensions are written as a new snapshot under the load's stamp,
 marts are refreshed as a whole.
 A fact's key is its business key (trip_id, transaction_id), so a reload cannot
 renumber rows others refer to.
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.functions import month_key
+from starmart.functions import date_from_key, month_key
 from starmart.operators import calendar, control, facts, quality, scd1, scd2, surrogate
 from starmart.plans import marts
 from starmart.session import ensure_utc, stage
@@ -114,8 +114,13 @@ def run(
     dim_route = saved(
         scd2.apply_snapshot(history, routes, "route_id", "route_key", TRACKED_ROUTE_COLUMNS, as_of), "dim_route"
     )
+    known_days = earlier("dim_date", T.StructType([T.StructField("date", T.DateType())]))
+    stored = [
+        (read_or_empty(spark, f"{out_dir}/{name}", T.StructType([T.StructField(k, T.IntegerType()) for k in keys])), keys)
+        for name, keys in (("fact_trips", ["start_date_key", "end_date_key"]), ("fact_transactions", ["date_key"]))
+    ]
     dim_date = saved(
-        calendar.date_dimension(spark, *calendar_range) if calendar_range else _calendar(staged), "dim_date"
+        calendar.date_dimension(spark, *calendar_range) if calendar_range else _calendar(staged, known_days, stored), "dim_date"
     )
     dim_time = saved(calendar.time_dimension(spark), "dim_time")
     methods = saved(reference_rows.payment_methods(spark), "dim_payment_method")
@@ -155,26 +160,48 @@ def run(
     )
 
 
-def _calendar(staged: dict[str, DataFrame]) -> DataFrame:
-    """Every day that a fact of this load can name."""
+def _calendar(staged: dict[str, DataFrame], earlier: DataFrame, stored: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Every day that this extract, a stored fact or the calendar before can name."""
     trips, payments = staged["trips"], staged["transactions"]
     days = [trips.select(F.col(c).cast("date").alias("day")) for c in ("start_time", "end_time")]
     days.append(payments.select(F.col("transaction_date").cast("date").alias("day")))
-    return calendar.date_dimension_for(days[0].unionByName(days[1]).unionByName(days[2]), "day")
+    days.append(earlier.select(F.col("date").alias("day")))
+    for facts_of, keys in stored:
+        # Their span only: two rows each, from the key columns.
+        ends = facts_of.agg(*[f(F.col(k)).alias(f"{f.__name__}_{k}") for k in keys for f in (F.min, F.max)])
+        days.append(ends.select(F.explode(F.array(*[date_from_key(c) for c in ends.columns])).alias("day")))
+    spanned = days[0]
+    for more in days[1:]:
+        spanned = spanned.unionByName(more)
+    return calendar.date_dimension_for(spanned, "day")
 
 
 def _merge_days(rows: DataFrame, path: str, day: str, key: str) -> None:
-    """Merge ``rows`` by ``key`` into the days they touch; a day's other rows stay."""
-    first, last = rows.agg(F.min(day), F.max(day)).first()
-    if first is None and rows.isEmpty():
-        return
+    """Merge ``rows`` by ``key`` into a fact stored by day.
+
+    Rewritten are the days of ``rows`` and those where their keys are stored so far: a row
+    whose day has changed leaves its old one.  Rows without a day are a day of their own.
+    Other rows of these days stay, and so do all other days' files.
+    """
     spark = rows.sparkSession
-    stored = read_or_empty(spark, path, rows.schema).where(F.col(day).between(first, last))
-    touched = stored.join(rows.select(day).distinct(), day, "left_semi")
-    kept = touched.join(rows.select(key), key, "left_anti")
+    stored = read_or_empty(spark, path, rows.schema)
+    before = stored.select(key, day).join(rows.select(key), key, "left_semi").select(day)
+    touched = {r[0] for r in rows.select(day).unionByName(before).distinct().collect()}  # at most the days on record
+    if not touched:
+        return
+    inside = F.col(day).isin([d for d in touched if d is not None])
+    if None in touched:
+        inside = inside | F.col(day).isNull()
+    kept = stored.where(inside).join(rows.select(key), key, "left_anti")
     # Written first: a table is never overwritten while it is read.
     merged = stage(kept.unionByName(rows), "merged-days")
     writers.replace_partitions(merged, path, ["month_key", day], [key])
+    for empty in touched - {r[0] for r in merged.select(day).distinct().collect()}:
+        writers.delete_folder(spark, f"{path}/{_folder('month_key', empty and empty // 100)}/{_folder(day, empty)}")
+
+
+def _folder(column: str, value: int | None) -> str:
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
 
 
 def log_load(
