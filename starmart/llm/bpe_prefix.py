@@ -163,9 +163,14 @@ def encoder(path: str) -> PrefixEncoder:
 
 
 def encode_decode(
-    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False
+    docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False,
+    keep_encoder: bool = True,
 ) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the token ids."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the token ids.
+
+    Without ``keep_encoder`` a worker drops vocabulary and remembered pieces after each task,
+    so other stages of the same application get their memory.
+    """
     source = only(docs, doc_id=id_col, text=text_col)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
 
@@ -189,4 +194,4 @@ def encode_decode(
 
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return source.mapInArrow(each_batch(make), schema)
+    return source.mapInArrow(each_batch(make, None if keep_encoder else encoder.cache_clear), schema)

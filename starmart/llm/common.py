@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -91,13 +93,27 @@ def split_by_keys(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame
     return probed.where("_maybe").drop("_maybe"), probed.where("NOT _maybe").drop("_maybe")
 
 
-def each_batch(make):
-    """Function for mapInArrow that turns every record batch into one table."""
+def give_back() -> None:
+    """Hand memory that a task has freed back to the system: Python workers live on, and their sums count."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some systems have it
+    if trim:
+        trim(0)
+
+
+def each_batch(make, at_end=None):
+    """Function for mapInArrow that turns every record batch into one table; ``at_end`` is called when a task is done."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield make(batch)
+        try:
+            for batch in batches:
+                if batch.num_rows:
+                    yield make(batch)
+        finally:
+            if at_end:
+                at_end()
+            give_back()
 
     return run
 

@@ -18,12 +18,13 @@ give a row each; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,7 @@ FAMILIES = {
     "semitic": "am ar he mt",
 }
 _FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in codes.split()}
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def family(lang: str) -> str:
@@ -188,13 +189,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The documents whose language can be told; those without a letter go."""
-    model = fit(only(docs, doc_id=id_col, text=text_col, lang=lang_col))
+    """The documents whose language can be told; a missing ``lang`` becomes the predicted one.
 
-    def run(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index(text_col)
-            keep = [model.predict(t)[0] != UNDETERMINED for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+    Documents without a letter go.  Where no label can be learned from, languages stay unknown
+    and every document with a letter is kept.
+    """
+    model = fit(only(docs, doc_id=id_col, text=text_col, lang=lang_col))
 
-    return docs.mapInArrow(run, docs.schema)
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
+        if not model.names:
+            return batch.filter(pa.array([bool(t and _LETTER.search(t)) for t in found], pa.bool_()))
+        told = [model.predict(t)[0] for t in found]
+        at = batch.schema.get_field_index(lang_col)
+        known = pc.coalesce(batch.column(at), pa.array(told, pa.string()).cast(batch.schema.field(at).type))
+        return batch.set_column(at, batch.schema.field(at), known).filter(pa.array([x != UNDETERMINED for x in told], pa.bool_()))
+
+    return docs.mapInArrow(each_batch(make), docs.schema)

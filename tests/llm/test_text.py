@@ -45,6 +45,53 @@ def test_language_of_awkward_rows(docs_of):
     assert language_id.identify(docs.where("false")).count() == 0
 
 
+def test_only_letters_make_a_language(docs_of):
+    """Letters are Unicode category L: numbers of other forms and marks are none."""
+    labelled = [(k + 100, t, lang) for k, (t, lang) in enumerate([("good day to you", "en"), ("guten tag", "de")] * 9)]
+    docs = docs_of([(1, "² ½ ① _ 12"), (2, "½ a"), (3, "日"), (4, "Ⅷ ٣"), (5, "ªº")] + labelled)
+    found = {r.doc_id: r.lang_pred for r in language_id.identify(docs).collect()}
+    assert [found[k] == "und" for k in (1, 2, 3, 4, 5)] == [True, False, False, True, False]
+
+
+def test_stage_names_missing_languages_and_needs_no_labels(docs_of):
+    labelled = [(k + 100, t, lang) for k, (t, lang) in enumerate([("good day to you", "en"), ("guten tag an dich", "de")] * 9)]
+    docs = docs_of([(1, "good day my friend"), (2, "12"), (3, "guten tag mein freund", "xx")] + labelled)
+    kept = {r.doc_id: r.lang for r in language_id.keep_identified(docs).collect()}
+    assert (kept[1], kept[3]) == ("en", "xx") and 2 not in kept and len(kept) == 20
+    without = language_id.keep_identified(docs_of([(1, "some words"), (2, "12"), (3, None), (4, "é")]))
+    assert sorted((r.doc_id, r.lang) for r in without.collect()) == [(1, None), (4, None)]
+
+
+def test_two_steps_equal_a_plain_duel(docs_of):
+    """Family first, then its languages, each by counting duels won; margins one by one in plain Python."""
+    stems = {"en": "the of and", "de": "der und die", "nl": "het een van", "fr": "le et des", "es": "el los una"}
+    rows = [(k, " ".join(stems[lang].split()[(k + j) % 3] + str(k % 7) for j in range(9)), lang)
+            for k, lang in enumerate(list(stems) * 12)]
+    model = language_id.fit(docs_of(rows).select("doc_id", "text", "lang"))
+    weight = {key: model.machines[at] for key, at in model.at.items()}
+
+    def duel(kind, members, x):
+        wins = {m: [0, 0.0] for m in members}
+        for a in members:
+            for b in members:
+                if a < b:
+                    w = weight[(kind, a, b)]
+                    margin = sum(float(p) * float(q) for p, q in zip(w[:-1], x)) + float(w[-1])
+                    winner = b if margin > 0 else a
+                    wins[winner][0] += 1
+                    wins[a][1] -= margin
+                    wins[b][1] += margin
+        return max(members, key=lambda m: wins[m])
+
+    for _, text, _ in rows[:25]:
+        x = language_id.features(text).tolist()
+        heads = {name: langs[0] for name, langs in model.families.items()}
+        head = duel("family", sorted(heads.values()), x) if len(heads) > 1 else next(iter(heads.values()))
+        members = next(langs for langs in model.families.values() if langs[0] == head)
+        want = duel("language", members, x) if len(members) > 1 else members[0]
+        assert model.predict(text)[0] == want
+
+
 # --- decontamination -----------------------------------------------------------------------
 
 
