@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from starmart.functions import seconds_between
 from starmart.operators.merge import latest_per_key
+from starmart.session import stage
+from starmart.sources.writers import delete_folder, list_folders, replace_partitions
 
+MONTH = "month_key"
 FIRST_WATERMARK = dt.datetime(1900, 1, 1)
 STAGING_RETENTION_DAYS = 7
 STREAM_RETENTION_DAYS = 3
@@ -128,6 +131,49 @@ def drop_expired_partitions(spark: SparkSession, table: str, column: str, cutoff
     )
 
 
+def write_by_month(df: DataFrame, path: str, column: str) -> None:
+    """A table in monthly folders of ``column``, so that retention drops folders instead of rewriting files."""
+    month = (F.year(column) * 100 + F.month(column)).cast("int")
+    replace_partitions(df.withColumn(MONTH, month), path, [MONTH], [column])
+
+
+def delete_expired(spark: SparkSession, path: str, schema: T.StructType, column: str, cutoff: dt.date) -> None:
+    """Delete the rows dated before ``cutoff`` from a table written by month.
+
+    Months that have passed are dropped as folders; only the cutoff's own month is written
+    again, without its expired rows.  Rows without a date have a folder of their own and stay.
+    A second run finds nothing to do.
+    """
+    border = cutoff.year * 100 + cutoff.month
+    for folder in list_folders(spark, path):
+        month = folder.partition("=")[2]
+        if month.isdigit() and int(month) < border:
+            delete_folder(spark, f"{path}/{folder}")
+        elif month == str(border):
+            rows = spark.read.schema(schema).parquet(f"{path}/{folder}")
+            kept = stage(rows.where(~expired(rows, column, cutoff)), "retained")
+            if kept.isEmpty():
+                delete_folder(spark, f"{path}/{folder}")
+            else:
+                replace_partitions(kept.withColumn(MONTH, F.lit(border)), path, [MONTH], [column])
+
+
+def apply_retention(spark: SparkSession, tables: list[tuple[str, str, T.StructType, str, dt.date]]) -> DataFrame:
+    """Delete from each (name, path, schema, date column, cutoff); rows deleted, and kept as they are read back."""
+
+    def counted(name: str, path: str, sign: int) -> DataFrame:
+        rows = spark.read.parquet(path) if list_folders(spark, path) else spark.range(0)
+        return rows.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n"), F.lit(sign).alias("sign"))
+
+    before = stage(_union([counted(name, path, 1) for name, path, _, _, _ in tables]), "before-retention")
+    for _, path, schema, column, cutoff in tables:
+        delete_expired(spark, path, schema, column, cutoff)
+    both = before.unionByName(_union([counted(name, path, -1) for name, path, _, _, _ in tables]))
+    return both.groupBy("table_name").agg(
+        F.sum(F.col("n") * F.col("sign")).alias("rows_deleted"), F.sum(F.when(F.col("sign") < 0, F.col("n"))).alias("rows_kept")
+    )
+
+
 def recent_loads(loads: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
     since = F.lit(as_of - dt.timedelta(days=days)).cast("timestamp_ntz")
     minutes = seconds_between("load_start_time", "load_end_time") / 60

@@ -11,7 +11,7 @@ from starmart.functions import age_group, maintenance_status
 from starmart.operators.surrogate import append_keys
 from starmart.sources.reference_rows import STATION_TYPE_NAMES, UNKNOWN_NAME, VEHICLE_TYPE_NAMES
 
-DEFAULT_SEGMENT = "occasional"
+DEFAULT_SEGMENT, SOURCE_SYSTEM = "occasional", "OLTP"
 
 
 def label(code: Column, names: dict[str, str]) -> Column:
@@ -28,6 +28,7 @@ def user_rows(users: DataFrame, as_of: dt.date, segment: Column | None = None) -
         "user_id",
         "username",
         "email",
+        "phone",
         "first_name",
         "last_name",
         full_name.alias("full_name"),
@@ -37,6 +38,7 @@ def user_rows(users: DataFrame, as_of: dt.date, segment: Column | None = None) -
         F.col("status").alias("current_status"),
         F.col("balance").cast("decimal(10,2)").alias("current_balance"),
         (F.lit(DEFAULT_SEGMENT) if segment is None else segment).alias("user_segment"),
+        F.lit(SOURCE_SYSTEM).alias("source_system"),
     )
 
 
@@ -52,12 +54,14 @@ def station_rows(stations: DataFrame) -> DataFrame:
         "zone",
         "is_active",
         F.lit(False).alias("is_transfer_station"),
+        F.lit(SOURCE_SYSTEM).alias("source_system"),
     )
 
 
 def vehicle_rows(vehicles: DataFrame, as_of: dt.date) -> DataFrame:
     return vehicles.select(
         "vehicle_id",
+        "license_plate",
         "vehicle_type",
         label(F.col("vehicle_type"), VEHICLE_TYPE_NAMES).alias("vehicle_type_name"),
         F.col("route_id").alias("current_route_id"),
@@ -68,6 +72,7 @@ def vehicle_rows(vehicles: DataFrame, as_of: dt.date) -> DataFrame:
         "last_maintenance_date",
         maintenance_status(F.col("last_maintenance_date"), as_of).alias("maintenance_status"),
         F.col("status").alias("current_status"),
+        F.lit(SOURCE_SYSTEM).alias("source_system"),
     )
 
 

@@ -14,12 +14,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.operators.scd1 import SOURCE_SYSTEM, label
 from starmart.operators.surrogate import assign_keys, fill_missing_keys
+from starmart.sources.reference_rows import TRANSPORT_TYPE_NAMES
 
 # Labels of the tariff history report.
 STATUS_CURRENT, STATUS_PAST = "Текущая", "Историческая"
 
 VALIDITY = ["effective_date", "expiration_date", "is_current", "version"]
+STAMPS = ["created_date", "updated_date", "source_system"]
+
+
+def route_rows(routes: DataFrame) -> DataFrame:
+    """Route snapshot in the dimension's shape: with the transport type's name, after the type."""
+    named = label(F.col("transport_type"), TRANSPORT_TYPE_NAMES).alias("transport_type_name")
+    return routes.select(*[c for name in routes.columns for c in ([name, named] if name == "transport_type" else [name])])
+
+
+def _stamp(load_time: dt.datetime | None) -> Column:
+    return F.lit(load_time).cast("timestamp_ntz")
 
 
 def _one_per_key(snapshot: DataFrame, key: str) -> DataFrame:
@@ -36,7 +49,10 @@ def _differs(left: Column, right: Column, tracked: list[str]) -> Column:
     return changed
 
 
-def initial_load(snapshot: DataFrame, key: str, surrogate_key: str, as_of: dt.date) -> DataFrame:
+def initial_load(
+    snapshot: DataFrame, key: str, surrogate_key: str, as_of: dt.date, load_time: dt.datetime | None = None
+) -> DataFrame:
+    """First versions; with ``load_time`` they carry the load's stamps."""
     rows = _one_per_key(snapshot, key).withColumns(
         {
             "effective_date": F.lit(as_of),
@@ -45,6 +61,8 @@ def initial_load(snapshot: DataFrame, key: str, surrogate_key: str, as_of: dt.da
             "version": F.lit(1),
         }
     )
+    if load_time:
+        rows = rows.withColumns(dict(zip(STAMPS, (_stamp(load_time), _stamp(load_time), F.lit(SOURCE_SYSTEM)))))
     return assign_keys(rows, surrogate_key, [key])
 
 
@@ -78,9 +96,13 @@ def apply_snapshot(
     tracked: list[str],
     as_of: dt.date,
     close_missing: bool = False,
+    load_time: dt.datetime | None = None,
 ) -> DataFrame:
     """The history after loading a snapshot.
 
+    A history with ``STAMPS`` keeps them: new versions are stamped with ``load_time``, versions
+    that this load changes get it as their ``updated_date``.
+
     Each compared member yields its resulting rows in one pass (two when it
     changed: the expired version and its successor), so the join runs once.
     Untracked attributes are replaced in place.
@@ -91,18 +113,23 @@ def apply_snapshot(
     types = {f.name: f.dataType for f in history.schema.fields}
     today, old, new = F.lit(as_of), F.col("old"), F.col("new")
 
-    def row(surrogate, source, start, end, current, version) -> Column:
+    def row(surrogate, source, start, end, current, version, touched=F.lit(True)) -> Column:
         values = {surrogate_key: surrogate, "effective_date": start, "expiration_date": end}
         values |= {"is_current": current, "version": version}
         for c in attributes:
             values[c] = (new if source == "new" else old)[c] if c in known else old[c]
+        if load_time and set(STAMPS) <= set(attributes):
+            values["updated_date"] = F.when(touched, _stamp(load_time)).otherwise(old["updated_date"])
+            if start is today:
+                values |= {"created_date": _stamp(load_time), "source_system": F.lit(SOURCE_SYSTEM)}
         return F.struct(*[v.cast(types[c]).alias(c) for c, v in values.items()])
 
     null, true = F.lit(None), F.lit(True)
     fresh = row(null, "new", today, null, true, F.coalesce(old["version"], F.lit(0)) + 1)
-    in_place = row(old[surrogate_key], "new", old["effective_date"], null, true, old["version"])
+    amended = F.col("action") == "amended"
+    in_place = row(old[surrogate_key], "new", old["effective_date"], null, true, old["version"], amended)
     expired = row(old[surrogate_key], "old", old["effective_date"], today, F.lit(False), old["version"])
-    kept = row(old[surrogate_key], "old", old["effective_date"], null, true, old["version"])
+    kept = row(old[surrogate_key], "old", old["effective_date"], null, true, old["version"], F.lit(False))
     action = F.col("action")
     rows = (
         F.when(action == "new", F.array(fresh))

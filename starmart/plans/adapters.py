@@ -61,6 +61,7 @@ def users(spark: SparkSession, sf: str) -> DataFrame:
         k.alias("user_id"),
         F.col("c_name").alias("username"),
         F.concat(F.lower("c_name"), F.lit("@example.org")).alias("email"),
+        F.when(k % 9 != 0, F.concat(F.lit("+7"), F.lpad((k * 7919 % 10_000_000_000).cast("string"), 10, "0"))).alias("phone"),
         F.when(k % 4 != 0, F.initcap("c_mktsegment")).alias("first_name"),
         F.when(k % 6 != 0, F.concat(F.lit("N"), F.col("c_nationkey").cast("string"))).alias("last_name"),
         F.when(k % 11 != 0, _day(dt.date(1930, 1, 1), k * 37 % 22000)).alias("date_of_birth"),
@@ -137,6 +138,7 @@ def vehicles(spark: SparkSession, sf: str) -> DataFrame:
     status = F.when(k % 10 == 8, "maintenance").when(k % 10 == 9, "retired").otherwise("active")
     return table(spark, sf, "supplier").select(
         k.alias("vehicle_id"),
+        F.concat(F.lit("AA"), F.lpad((k % 10_000).cast("string"), 4, "0")).alias("license_plate"),
         _pick(["bus", "tram", "metro"], F.col("s_nationkey") % 3).alias("vehicle_type"),
         F.when(k % 13 != 0, k * 20).alias("route_id"),
         (40 + k % 7 * 20).cast("int").alias("capacity"),

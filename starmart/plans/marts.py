@@ -11,6 +11,7 @@ from starmart.functions import activity_segment, date_from_key, key_of, month_ke
 from starmart.operators.ordered import rank_within
 from starmart.operators.parts import Measures, distinct_count
 from starmart.plans.analytics import by_date, by_minute, completed, since
+from starmart.session import stage
 from starmart.sources.writers import replace_partitions, write_sorted
 
 RECENT_DAYS = 30
@@ -417,9 +418,10 @@ LAYOUT = {
 }
 
 
-def write_mart(df: DataFrame, name: str, out_dir: str) -> None:
-    """Full refresh of one mart as one distributed write."""
+def write_mart(df: DataFrame, name: str, out_dir: str, updated_at: dt.datetime) -> None:
+    """Full refresh of one mart as one distributed write, stamped with the time of the load."""
     partition_by, sort_by = LAYOUT[name]
+    df = df.withColumn("updated_at", F.lit(updated_at).cast("timestamp_ntz"))
     if "month_key" in partition_by:
         df = df.withColumn("month_key", F.year("date") * 100 + F.month("date"))
     if partition_by:
@@ -428,6 +430,13 @@ def write_mart(df: DataFrame, name: str, out_dir: str) -> None:
         df.repartitionByRange(*sort_by).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(f"{out_dir}/{name}")
 
 
+#: What the marts need of a trip fact.
+_MEASURED = [
+    "user_key", "route_key", "vehicle_key", "start_date_key", "start_minute_key", "start_station_key", "end_station_key",
+    "distance_km", "duration_minutes", "actual_fare", "trip_status",
+]
+
+
 def build_all(
     fact: DataFrame,
     dim_user: DataFrame,
@@ -437,10 +446,17 @@ def build_all(
     dim_time: DataFrame,
     as_of: dt.date,
     out_dir: str,
+    updated_at: dt.datetime,
 ) -> None:
-    write_mart(route_hourly(fact, dim_route, dim_date, dim_time, as_of), "mart_route_hourly_stats", out_dir)
-    write_mart(station_popularity(fact, dim_station, dim_date, as_of), "mart_station_popularity", out_dir)
-    flow = passenger_flow_by_hour(fact, dim_route, dim_date, dim_time, as_of)
-    write_mart(flow, "mart_passenger_flow_by_hour", out_dir)
-    write_mart(user_segmentation(fact, dim_user, dim_route, as_of), "mart_user_segmentation", out_dir)
-    write_mart(route_performance(fact, dim_route, dim_date, as_of), "mart_route_performance", out_dir)
+    """All marts.  The fact is scanned (or computed) once: its columns that marts need are written
+    in its own order, so its days stay together and the recent ones are found by min and max.
+    """
+    star = stage(fact.select(*_MEASURED), "measured-trips")
+    for name, mart in {
+        "mart_route_hourly_stats": route_hourly(star, dim_route, dim_date, dim_time, as_of),
+        "mart_station_popularity": station_popularity(star, dim_station, dim_date, as_of),
+        "mart_passenger_flow_by_hour": passenger_flow_by_hour(star, dim_route, dim_date, dim_time, as_of),
+        "mart_user_segmentation": user_segmentation(star, dim_user, dim_route, as_of),
+        "mart_route_performance": route_performance(star, dim_route, dim_date, as_of),
+    }.items():
+        write_mart(mart, name, out_dir, updated_at)

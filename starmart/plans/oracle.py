@@ -51,6 +51,7 @@ _FULL_NAME = "CASE WHEN first_name IS NOT NULL AND last_name IS NOT NULL THEN fi
 SOURCES = {
     "s_users": """
         SELECT c_custkey AS user_id, c_name AS username, lower(c_name) || '@example.org' AS email,
+            CASE WHEN c_custkey % 9 <> 0 THEN '+7' || lpad(CAST(c_custkey * 7919 % 10000000000 AS VARCHAR), 10, '0') END AS phone,
             CASE WHEN c_custkey % 4 <> 0 THEN upper(substr(c_mktsegment, 1, 1)) || lower(substr(c_mktsegment, 2)) END AS first_name,
             CASE WHEN c_custkey % 6 <> 0 THEN 'N' || c_nationkey END AS last_name,
             CASE WHEN c_custkey % 11 <> 0 THEN DATE '1930-01-01' + CAST(c_custkey * 37 % 22000 AS INTEGER) END AS date_of_birth,
@@ -59,7 +60,7 @@ SOURCES = {
             CAST(c_acctbal AS DECIMAL(10,2)) AS balance, c_mktsegment AS segment
         FROM customer""",
     "s_dim_user": f"""
-        SELECT user_id AS user_key, user_id, username, email, first_name, last_name, {_FULL_NAME} AS full_name,
+        SELECT user_id AS user_key, user_id, username, email, phone, first_name, last_name, {_FULL_NAME} AS full_name,
             date_of_birth, {_AGE} AS age_group, registration_date, status AS current_status,
             balance AS current_balance, segment AS user_segment
         FROM s_users""",
@@ -84,14 +85,14 @@ SOURCES = {
         FROM s_routes JOIN (VALUES (0), (1000000)) AS s(shift) ON shift = 0 OR route_id % 100 = 3
         WHERE route_id % 50 <> 7""",
     "s_vehicles": f"""
-        SELECT s_suppkey AS vehicle_id, CASE s_nationkey % 3 WHEN 0 THEN 'bus' WHEN 1 THEN 'tram' ELSE 'metro' END AS vehicle_type,
+        SELECT s_suppkey AS vehicle_id, 'AA' || lpad(CAST(s_suppkey % 10000 AS VARCHAR), 4, '0') AS license_plate, CASE s_nationkey % 3 WHEN 0 THEN 'bus' WHEN 1 THEN 'tram' ELSE 'metro' END AS vehicle_type,
             CASE WHEN s_suppkey % 13 <> 0 THEN s_suppkey * 20 END AS route_id, 40 + s_suppkey % 7 * 20 AS capacity,
             1985 + s_suppkey % 16 AS manufacture_year, s_name AS model,
             {AS_OF} - CAST(s_suppkey * 7 % 120 AS INTEGER) AS last_maintenance_date,
             CASE WHEN s_suppkey % 10 = 8 THEN 'maintenance' WHEN s_suppkey % 10 = 9 THEN 'retired' ELSE 'active' END AS status
         FROM supplier""",
     "s_dim_vehicle": f"""
-        SELECT vehicle_id AS vehicle_key, vehicle_id, vehicle_type,
+        SELECT vehicle_id AS vehicle_key, vehicle_id, license_plate, vehicle_type,
             CASE vehicle_type WHEN 'bus' THEN 'Автобус' WHEN 'tram' THEN 'Трамвай' WHEN 'metro' THEN 'Вагон метро' END AS vehicle_type_name,
             route_id AS current_route_id, capacity, manufacture_year, 2001 - manufacture_year AS vehicle_age, model,
             last_maintenance_date, {_CARE} AS maintenance_status, status AS current_status
@@ -308,7 +309,7 @@ QUERIES = {
         CASE WHEN t.route_id IS NOT NULL AND s.route_id IS NOT NULL THEN '2001-08-01 06:30:00' END AS updated_at
         FROM s_routes t FULL JOIN s_snapshot s ON t.route_id = s.route_id""",
     "insert_if_absent": "SELECT user_id, username, CAST(balance AS DOUBLE) AS balance FROM s_users",
-    "staging_copy_common": """SELECT user_id, username, CAST(date_of_birth AS VARCHAR) AS date_of_birth, status, CAST(balance AS DOUBLE) AS balance,
+    "staging_copy_common": """SELECT user_id, username, phone, CAST(date_of_birth AS VARCHAR) AS date_of_birth, status, CAST(balance AS DOUBLE) AS balance,
         '2001-08-01 06:30:00' AS load_date, 'OLTP' AS source_system FROM s_users""",
     "summing_merge": f"""SELECT CAST(day AS VARCHAR) AS date, CAST(h AS BIGINT) AS hour, CAST(dow AS BIGINT) AS day_of_week,
         CAST(weekend AS BIGINT) AS is_weekend, CAST(rush AS BIGINT) AS is_rush_hour, bus AS bus_trips, tram AS tram_trips, metro AS metro_trips,
@@ -349,22 +350,25 @@ QUERIES = {
         WHERE p.vehicle_id NOT IN (SELECT vehicle_id FROM s_dim_vehicle WHERE current_status = 'active')""",
     "scd1_user": f"""SELECT CASE WHEN known THEN user_id + 1 ELSE (SELECT max(user_id) + 1 FROM s_users WHERE user_id % 3 <> 0)
             + row_number() OVER (PARTITION BY known ORDER BY user_id) END AS user_key,
-        user_id, username, email, first_name, last_name, {_FULL_NAME} AS full_name, CAST(date_of_birth AS VARCHAR) AS date_of_birth,
+        user_id, username, email, phone, 'OLTP' AS source_system, first_name, last_name, {_FULL_NAME} AS full_name, CAST(date_of_birth AS VARCHAR) AS date_of_birth,
         {_AGE} AS age_group, CAST(registration_date AS VARCHAR) AS registration_date, status AS current_status,
         CAST(balance AS DOUBLE) AS current_balance, 'occasional' AS user_segment, {_STAMPS}
         FROM (SELECT *, user_id % 3 <> 0 AS known, TRUE AS delivered FROM s_users)""",
     "scd1_station": f"""SELECT station_id + 1 AS station_key, station_id, station_name, CAST(latitude AS DOUBLE) AS latitude,
-        CAST(longitude AS DOUBLE) AS longitude, station_type, station_type_name, district, zone, is_active, FALSE AS is_transfer_station, {_STAMPS}, departures
+        CAST(longitude AS DOUBLE) AS longitude, station_type, station_type_name, district, zone, is_active, FALSE AS is_transfer_station, 'OLTP' AS source_system, {_STAMPS}, departures
         FROM (SELECT *, station_id < 10 AS known, TRUE AS delivered FROM s_dim_station)
         LEFT JOIN (SELECT start_station_id, count(*) AS departures FROM s_trips GROUP BY 1) ON start_station_id = station_id""",
     "scd1_vehicle": f"""SELECT CASE WHEN known THEN vehicle_id + 1 ELSE (SELECT max(vehicle_id) + 1 FROM s_vehicles WHERE vehicle_id % 2 = 0)
             + row_number() OVER (PARTITION BY known ORDER BY vehicle_id) END AS vehicle_key,
-        vehicle_id, vehicle_type, vehicle_type_name, current_route_id, {_long("capacity", "manufacture_year", "vehicle_age")}, model,
+        vehicle_id, license_plate, 'OLTP' AS source_system, vehicle_type, vehicle_type_name, current_route_id, {_long("capacity", "manufacture_year", "vehicle_age")}, model,
         CAST(last_maintenance_date AS VARCHAR) AS last_maintenance_date, maintenance_status, current_status, {_STAMPS}
         FROM (SELECT *, vehicle_id % 2 = 0 AS known, vehicle_id % 10 <> 4 AS delivered FROM s_dim_vehicle)""",
     "scd2_initial": f"""SELECT row_number() OVER (ORDER BY route_id) AS route_key, route_id, route_number, route_name, transport_type,
         CAST(base_fare AS DOUBLE) AS base_fare, is_active, CAST({AS_OF} AS VARCHAR) AS effective_date, CAST(NULL AS VARCHAR) AS expiration_date,
-        TRUE AS is_current, CAST(1 AS BIGINT) AS version FROM s_routes""",
+        TRUE AS is_current, CAST(1 AS BIGINT) AS version,
+        CASE transport_type WHEN 'bus' THEN 'Автобус' WHEN 'tram' THEN 'Трамвай' WHEN 'metro' THEN 'Метро' END AS transport_type_name,
+        route_number || ' ' || route_name AS description, '2001-08-01 06:30:00' AS created_date, '2001-08-01 06:30:00' AS updated_date,
+        'OLTP' AS source_system FROM s_routes""",
     "scd2_diff": "SELECT route_id, action, CAST(old_fare AS DOUBLE) AS old_fare, CAST(new_fare AS DOUBLE) AS new_fare FROM s_compared",
     "scd2_apply": f"SELECT {_ROUTE_VERSION} FROM s_applied",
     "scd2_from_feed": """SELECT user_id, event_type, CAST(effective_date AS VARCHAR) AS effective_date, CAST(expiration_date AS VARCHAR) AS expiration_date,
@@ -713,6 +717,14 @@ QUERIES = {
         LEFT JOIN s_dim_route r ON p.route_id = r.route_id AND r.is_current""",
 }
 QUERIES["mart_incremental"] = QUERIES["mart_route_hourly"]
+QUERIES["build_all_marts"] = _union(*[
+    f"SELECT '{mart}' AS mart, count(*) AS row_count, CAST(sum({total}) AS BIGINT) AS total, '2001-08-01 06:30:00' AS updated_at FROM ({QUERIES[key]})"
+    for mart, total, key in (
+        ("mart_route_hourly_stats", "total_trips", "mart_route_hourly"), ("mart_station_popularity", "total_traffic", "station_popularity"),
+        ("mart_passenger_flow_by_hour", "unique_passengers", "passenger_flow_by_hour"),
+        ("mart_user_segmentation", "trips_total", "user_segmentation"), ("mart_route_performance", "popularity_rank", "route_performance"),
+    )
+])
 
 
 def with_sources(sql: str) -> str:

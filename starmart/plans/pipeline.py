@@ -99,7 +99,7 @@ def run(
     dim_station = type_one(scd1.station_rows(staged["stations"]), "dim_station", "station_id", "station_key")
     dim_vehicle = type_one(scd1.vehicle_rows(staged["vehicles"], as_of), "dim_vehicle", "vehicle_id", "vehicle_key")
 
-    routes = staged["routes"]
+    routes = scd2.route_rows(staged["routes"])
     route_schema = T.StructType(
         [
             T.StructField("route_key", T.LongType()),
@@ -108,11 +108,15 @@ def run(
             T.StructField("expiration_date", T.DateType()),
             T.StructField("is_current", T.BooleanType()),
             T.StructField("version", T.IntegerType()),
+            T.StructField("created_date", T.TimestampNTZType()),
+            T.StructField("updated_date", T.TimestampNTZType()),
+            T.StructField("source_system", T.StringType()),
         ]
     )
     history = earlier("dim_route", route_schema)
     dim_route = saved(
-        scd2.apply_snapshot(history, routes, "route_id", "route_key", TRACKED_ROUTE_COLUMNS, as_of), "dim_route"
+        scd2.apply_snapshot(history, routes, "route_id", "route_key", TRACKED_ROUTE_COLUMNS, as_of, load_time=load_time),
+        "dim_route",
     )
     known_days = earlier("dim_date", T.StructType([T.StructField("date", T.DateType())]))
     stored = [
@@ -140,7 +144,7 @@ def run(
     _merge_days(stage(ledger, "ledger"), f"{out_dir}/fact_transactions", "date_key", "transaction_id")
     fact_transactions = spark.read.schema(ledger.schema).parquet(f"{out_dir}/fact_transactions")
 
-    marts.build_all(fact_trips, dim_user, dim_route, dim_station, dim_date, dim_time, as_of, f"{out_dir}/marts")
+    marts.build_all(fact_trips, dim_user, dim_route, dim_station, dim_date, dim_time, as_of, f"{out_dir}/marts", load_time)
 
     checks = quality.unique_check(fact_trips, "fact_trips", ["trip_id"]).unionByName(
         quality.foreign_key_check(fact_trips, dim_route, "route_key", "route_key", "fact_trips")

@@ -292,10 +292,10 @@ TRACKED = ["base_fare", "route_name", "is_active"]
 @query
 def scd2_initial(spark, sf):
     """First load: the target table does not exist yet."""
-    history = src.dim_route(spark, sf)
-    missing = readers.read_or_empty(spark, new_path(spark, "no_table"), history.schema)
-    first = scd2.initial_load(src.routes(spark, sf), "route_id", "route_key", AS_OF)
-    return missing.unionByName(first.select(*history.columns))
+    described = src.routes(spark, sf).withColumn("description", F.concat_ws(" ", "route_number", "route_name"))
+    first = scd2.initial_load(scd2.route_rows(described), "route_id", "route_key", AS_OF, LOAD_TIME)
+    missing = readers.read_or_empty(spark, new_path(spark, "no_table"), first.schema)
+    return missing.unionByName(first)
 
 
 @query
@@ -500,19 +500,23 @@ def _staging(spark, sf):
 
 @query
 def retention_cleanup(spark, sf):
-    """Rows staging cleanup and fact retention would delete."""
+    """Staging cleanup and fact retention over written copies: what they delete, and what is read back."""
     trips, payments, events = src.trips(spark, sf), src.transactions(spark, sf), src.pings(spark, sf)
     week, ping_day = control.STAGING_RETENTION_DAYS, PING_AS_OF.date()
-    return control.retention_reports(
-        [
-            ("stg_trips", trips, "start_time", control.days_before(AS_OF, week)),
-            ("stg_users", src.users(spark, sf), "registration_date", control.days_before(AS_OF, week)),
-            ("stg_vehicle_positions", events, "ts", control.days_before(ping_day, control.STREAM_RETENTION_DAYS)),
-            ("fact_vehicle_positions", events, "ts", control.days_before(ping_day, control.POSITION_RETENTION_DAYS)),
-            ("fact_trips", trips, "start_time", control.years_before(AS_OF, control.TRIP_RETENTION_YEARS)),
-            ("fact_transactions", payments, "transaction_date", control.years_before(AS_OF, control.TRANSACTION_RETENTION_YEARS)),
-        ]
-    )
+    kept = [
+        ("stg_trips", trips, "start_time", control.days_before(AS_OF, week)),
+        ("stg_users", src.users(spark, sf), "registration_date", control.days_before(AS_OF, week)),
+        ("stg_vehicle_positions", events, "ts", control.days_before(ping_day, control.STREAM_RETENTION_DAYS)),
+        ("fact_vehicle_positions", events, "ts", control.days_before(ping_day, control.POSITION_RETENTION_DAYS)),
+        ("fact_trips", trips, "start_time", control.years_before(AS_OF, control.TRIP_RETENTION_YEARS)),
+        ("fact_transactions", payments, "transaction_date", control.years_before(AS_OF, control.TRANSACTION_RETENTION_YEARS)),
+    ]
+    tables = []
+    for name, df, column, cutoff in kept:
+        path = new_path(spark, name)
+        control.write_by_month(df, path, column)
+        tables.append((name, path, df.schema, column, cutoff))
+    return control.apply_retention(spark, tables)
 
 
 @query
@@ -908,6 +912,29 @@ def speed_analysis(spark, sf):
     return marts.speed_analysis(src.pings(spark, sf), src.dim_route(spark, sf))
 
 
+@query
+def build_all_marts(spark, sf):
+    """All marts from one scan of the fact, written and read back: rows and their main total."""
+    path = new_path(spark, "marts")
+    marts.build_all(
+        src.fact_trips(spark, sf), src.dim_user(spark, sf), src.dim_route(spark, sf), src.dim_station(spark, sf),
+        src.dim_date(spark, sf), src.dim_time(spark), AS_OF, path, LOAD_TIME,
+    )
+    totals = {
+        "mart_route_hourly_stats": "total_trips", "mart_station_popularity": "total_traffic",
+        "mart_passenger_flow_by_hour": "unique_passengers", "mart_user_segmentation": "trips_total",
+        "mart_route_performance": "popularity_rank",
+    }
+    parts = [
+        spark.read.parquet(f"{path}/{name}").agg(
+            F.lit(name).alias("mart"), F.count(F.lit(1)).alias("row_count"), F.sum(c).cast("long").alias("total"),
+            F.max("updated_at").alias("updated_at"),
+        )
+        for name, c in totals.items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]).unionByName(parts[4])
+
+
 @query
 def mart_top_revenue(spark, sf):
     return marts.mart_top_revenue(marts.route_hourly(*_recent_mart_inputs(spark, sf)), AS_OF)

@@ -217,3 +217,15 @@ def test_as_of_join_without_history(spark):
     history = spark.createDataFrame([], "id string, route_key int, effective_date date, expiration_date date")
     asked = spark.createDataFrame([("a", D(2020, 1, 1))], "id string, day date")
     assert [tuple(r) for r in scd2.as_of_join(asked, history, "id", "day", ["route_key"]).collect()] == [("a", D(2020, 1, 1), None)]
+
+
+def test_stamps_of_versions(spark):
+    stamped = HISTORY + ", created_date timestamp_ntz, updated_date timestamp_ntz, source_system string"
+    first, second, third = (dt.datetime(2025, m, 1, 6) for m in (1, 2, 3))
+    rows = [("A", fare("1.00"), "a"), ("B", fare("2.00"), "b")]
+    history = load(spark, spark.createDataFrame([], stamped), rows, D(2025, 1, 1), load_time=first)
+    changed = load(spark, history, [("A", fare("9.00"), "a"), rows[1]], D(2025, 2, 1), load_time=second)
+    amended = load(spark, changed, [("A", fare("8.00"), "a"), ("B", fare("2.00"), "b")], D(2025, 2, 1), load_time=third)
+    assert versions(amended, "route_id", "version", "created_date", "updated_date", "source_system") == [
+        ("A", 1, first, second, "OLTP"), ("A", 2, second, third, "OLTP"), ("B", 1, first, first, "OLTP"),
+    ]

@@ -14,7 +14,7 @@ FEW_ROWS = {
     # One row per transport type.
     "transport_type_share",
     # One row per range block (row counts before each block).
-    "surrogate_key", "surrogate_key_append", "rfm_scores", "scd2_initial", "route_performance",
+    "build_all_marts", "surrogate_key", "surrogate_key_append", "rfm_scores", "scd2_initial", "route_performance",
 }
 
 
