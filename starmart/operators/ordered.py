@@ -2,9 +2,10 @@
 
 An ordinary window puts a whole group into one task.  The functions here split the
 rows into *blocks* instead, whatever their number: ``repartitionByRange`` on (key,
-order) cuts even a single hot key over many partitions, ``sortWithinPartitions``
-orders each block, and the row position is stored with the rows in the shared folder
-so it can never be drawn differently by a re-run.  What crosses block borders (a
+order) cuts even a single hot key over many partitions, and the row position is stored
+with the rows in the shared folder so it can never be drawn differently by a re-run.
+Each block is a bucket of its own there, so work inside blocks reads it in place: the
+range split is the only exchange of all rows.  What crosses block borders (a
 running total, a previous row, a count) is one small row per block, so broadcasting
 it is bounded by the number of partitions and not by the data.
 """
@@ -14,16 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.session import stage
+from starmart.session import stage_in_buckets
 
-_POSITION, _BLOCK = "_position", "_block"
+_POSITION, _BLOCK, _BUCKET = "_position", "_block", "_bucket"
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition id above, row number below
 
 
 def _blocks(df: DataFrame, order: list[Column]) -> DataFrame:
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    staged = stage(ordered.withColumn(_POSITION, F.monotonically_increasing_id()), "blocks")
-    return staged.withColumn(_BLOCK, F.shiftright(_POSITION, _LOCAL_BITS))
+    placed = ordered.withColumn(_POSITION, F.monotonically_increasing_id())
+    return stage_in_buckets(placed.withColumn(_BLOCK, F.shiftright(_POSITION, _LOCAL_BITS)), _BLOCK, _BUCKET, "blocks")
 
 
 def _block_offsets(blocks: DataFrame) -> DataFrame:
@@ -55,7 +56,7 @@ def number_rows(
     out = numbered.withColumn(name, F.col("_before") + local + F.lit(start))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop(_BLOCK, _POSITION, "_before", "_total")
+    return out.drop(_BLOCK, _BUCKET, _POSITION, "_before", "_total")
 
 
 def ntile(row_number: Column, total: Column, buckets: int) -> Column:
@@ -83,13 +84,13 @@ def running_sums(df: DataFrame, keys: list[str], order: list[Column], values: di
     """
     addends = {f"_add_{name}": value for name, value in values.items()}
     blocks = _blocks(df.withColumns(addends), [*map(F.col, keys), *order])
-    inside = Window.partitionBy(_BLOCK, *keys).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(_BUCKET, *keys).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        blocks.groupBy(_BLOCK, *keys)
-        .agg(*[F.sum(c).alias(c) for c in addends])
+        blocks.groupBy(_BUCKET, *keys)
+        .agg(F.min(_BLOCK).alias(_BLOCK), *[F.sum(c).alias(c) for c in addends])
         .select(
-            _BLOCK,
+            _BUCKET,
             *keys,
             F.lag(_BLOCK).over(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_before"),
             *[F.sum(c).over(earlier).alias(f"_carry{c}") for c in addends],
@@ -99,7 +100,7 @@ def running_sums(df: DataFrame, keys: list[str], order: list[Column], values: di
         .drop("_before")
     )
     summed = blocks.withColumns({f"_inside{c}": F.sum(c).over(inside) for c in addends})
-    out = _join_keys(summed, F.broadcast(carry), [_BLOCK, *keys], "left")
+    out = _join_keys(summed, F.broadcast(carry), [_BUCKET, *keys], "left")
 
     def total(c: str) -> Column:
         inner, before = F.col(f"_inside{c}"), F.col(f"_carry{c}")
@@ -112,15 +113,15 @@ def previous_row(df: DataFrame, keys: list[str], order: list[Column], columns: d
     """Values of the preceding row of the same key: ``columns`` maps new name to source column."""
     carried = F.struct(*[F.col(old).alias(new) for new, old in columns.items()])
     blocks = _blocks(df.withColumn("_row", carried), [*map(F.col, keys), *order])
-    inside = Window.partitionBy(_BLOCK, *keys).orderBy(_POSITION)
+    inside = Window.partitionBy(_BUCKET, *keys).orderBy(_POSITION)
     carry = (
-        blocks.groupBy(_BLOCK, *keys)
-        .agg(F.max_by("_row", _POSITION).alias("_last"))
-        .select(_BLOCK, *keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_carry"))
+        blocks.groupBy(_BUCKET, *keys)
+        .agg(F.min(_BLOCK).alias(_BLOCK), F.max_by("_row", _POSITION).alias("_last"))
+        .select(_BUCKET, *keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy(_BLOCK)).alias("_carry"))
         .where(F.col("_carry").isNotNull())  # at most one key per block, as above
     )
     out = _join_keys(
-        blocks.withColumn("_prev", F.lag("_row").over(inside)), F.broadcast(carry), [_BLOCK, *keys], "left"
+        blocks.withColumn("_prev", F.lag("_row").over(inside)), F.broadcast(carry), [_BUCKET, *keys], "left"
     )
     # A block's first row of a key has no row before it inside; only that row takes the carry.
     prev = F.coalesce(F.col("_prev"), F.col("_carry"))

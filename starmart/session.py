@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on.  Cluster sizing (executors, memory, shuffle
 # partitions) belongs to the submitter and is left alone.
@@ -54,6 +55,42 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
+_bucket_values: dict[tuple[str, int], list[int]] = {}
+
+
+def _values_by_bucket(spark: SparkSession, buckets: int) -> list[int]:
+    """For each bucket a number that Spark's bucket hash sends there."""
+    known = (spark.sparkContext.applicationId, buckets)
+    if known not in _bucket_values:
+        found: dict[int, int] = {}
+        reach = 16 * buckets
+        while len(found) < buckets:
+            bucket = F.pmod(F.hash(F.col("id")), F.lit(buckets))
+            rows = spark.range(reach, numPartitions=1).groupBy(bucket.alias("b")).agg(F.min("id").alias("v")).collect()
+            found, reach = {r["b"]: r["v"] for r in rows}, 4 * reach
+        _bucket_values[known] = [found[b] for b in range(buckets)]
+    return _bucket_values[known]
+
+
+MAX_BUCKETS = 100_000  # Spark's own limit
+
+
+def stage_in_buckets(df: DataFrame, number: str, bucket: str, label: str) -> DataFrame:
+    """As ``stage``, with a column ``bucket`` by which the files are bucketed: one for each value of ``number``
+    (0, 1 .. below the shuffle partitions), so groups and windows within it need no further exchange.
+    """
+    spark = df.sparkSession
+    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    values = F.split(F.lit(",".join(map(str, _values_by_bucket(spark, buckets)))), ",").cast("array<bigint>")
+    path, name = new_path(spark, label), f"staged_{uuid.uuid4().hex}"
+    placed = df.withColumn(bucket, F.element_at(values, (F.col(number) % buckets + 1).cast("int")))
+    # The catalog entry only serves to read the bucket layout; the files are the table.
+    placed.write.bucketBy(buckets, bucket).option("path", path).format("parquet").saveAsTable(name)
+    staged = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return staged
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
