@@ -113,7 +113,7 @@ def each_batch(make, at_end=None):
         finally:
             if at_end:
                 at_end()
-            give_back()
+                give_back()
 
     return run
 

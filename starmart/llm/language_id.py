@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import each_batch, only
+from starmart.llm.common import each_batch, give_back, only
 from starmart.session import stage
 
 UNDETERMINED = "und"
@@ -205,4 +205,4 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known = pc.coalesce(batch.column(at), pa.array(told, pa.string()).cast(batch.schema.field(at).type))
         return batch.set_column(at, batch.schema.field(at), known).filter(pa.array([x != UNDETERMINED for x in told], pa.bool_()))
 
-    return docs.mapInArrow(each_batch(make), docs.schema)
+    return docs.mapInArrow(each_batch(make, give_back), docs.schema)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import connected_components, each_batch, only, split_by_keys, texts
+from starmart.llm.common import connected_components, each_batch, give_back, only, split_by_keys, texts
 from starmart.session import stage
 
 RADIUS = 2
@@ -164,7 +164,8 @@ COPY_RADIUS = 18  # of the first links only; the pairs they leave apart are not
 BANDS, ROWS = 8, 3  # of the first links: a pair 0.8 similar shares a key with probability 0.997
 ORDER_SAMPLE = 8  # one document in so many is asked which shingles are common
 COMMON = 1 << 16  # common shingles told to every task
-MAP_BITS = 2048  # of a document's map of its shingles; two maps differ in no more bits than the sets in shingles
+# Of a document's map of its shingles, at least and by size; two maps differ in no more bits than the sets in shingles.
+MAP_BITS, MAP_BITS_PER_SHINGLE = 1024, 4
 
 
 def _shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -205,6 +206,21 @@ def _rare_first(hashes: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> np
     return hashes[np.lexsort((hashes, times))]
 
 
+def _map_bits(size: int) -> int:
+    """A power of two with room for a set of this size: a fuller map would tell sets apart no longer."""
+    return max(MAP_BITS, 1 << (MAP_BITS_PER_SHINGLE * size - 1).bit_length())
+
+
+def _folded(bits: Column, longs: Column) -> Column:
+    """A map as it would have been with ``longs`` words, a power of two below its own."""
+    return F.when(F.size(bits) == longs, bits).otherwise(
+        F.transform(F.sequence(F.lit(0), longs - 1), lambda i: F.aggregate(
+            F.sequence(F.lit(0), (F.size(bits) / longs).cast("int") - 1), F.lit(0).cast("long"),
+            lambda seen, k: seen.bitwiseOR(F.get(bits, (i + k * longs).cast("int"))),
+        ))
+    )
+
+
 def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """(node, doc_id, fp, least, size, keys, map) of the documents with words.
 
@@ -233,8 +249,8 @@ def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
                 # Similar sets have similarity * size shingles in common, so one among the others and one more.
                 rare = len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1
                 keys.append(_rare_first(hashes, common)[:rare].view(np.int64))
-                own = np.zeros(MAP_BITS, np.uint8)
-                own[(hashes % np.uint64(MAP_BITS)).astype(np.int64)] = 1
+                own = np.zeros(_map_bits(len(hashes)), np.uint8)
+                own[(hashes % np.uint64(len(own))).astype(np.int64)] = 1
                 maps.append(np.packbits(own).view(np.int64))
         at, longs = pa.array(keep, pa.int32()), pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
@@ -245,7 +261,7 @@ def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("node", "doc_id", "text").mapInArrow(
-        each_batch(make), f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>, map array<long>"
+        each_batch(make, give_back), f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>, map array<long>"
     )
 
 
@@ -316,6 +332,8 @@ def _rest(sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFram
     maps = sketches.groupBy("node").agg(F.first("map").alias("map"))  # rows equal in id and text have one node
     both = met.join(maps.select(F.col("node").alias("a"), F.col("map").alias("map_a")), "a")
     both = both.join(maps.select(F.col("node").alias("b"), F.col("map").alias("map_b")), "b")
+    longs = F.least(F.size("map_a"), F.size("map_b"))
+    both = both.withColumn("map_a", _folded(F.col("map_a"), longs)).withColumn("map_b", _folded(F.col("map_b"), F.size("map_a")))
     differ = F.aggregate(F.zip_with("map_a", "map_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
     return both.where(differ <= F.col("apart")).select("a", "b")
 
@@ -330,7 +348,7 @@ def _similar(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -
 
     maybe, _ = split_by_keys(docs.select("node", "text"), "node", asked)
     some = maybe.join(asked, "node", "left_semi")
-    held = stage(some.mapInArrow(each_batch(sets), "node long, shingles array<long>"), "shingle-sets")
+    held = stage(some.mapInArrow(each_batch(sets, give_back), "node long, shingles array<long>"), "shingle-sets")
     of_a = pairs.join(held.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
     of_both = of_a.join(held.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
     common = F.size(F.array_intersect("sa", "sb"))

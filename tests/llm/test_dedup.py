@@ -1,6 +1,7 @@
 """Exact, near, byte and span dedup against brute force."""
 
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -308,3 +309,29 @@ def test_automaton():
     for part in ("abcab", "bcabd"):
         automaton.add([ord(c) for c in part])
     assert automaton.matching([ord(c) for c in "xabcabd"]) == [0, 1, 2, 3, 4, 5, 5]
+
+
+def test_maps_of_two_sizes_fold_to_one(spark):
+    """A map folded to a power of two below equals the map made so; longer sets have longer maps."""
+    rng = np.random.default_rng(3)
+    assert [simhash_dedup._map_bits(n) for n in (1, 256, 257, 5000)] == [1024, 1024, 2048, 32768]
+    hashes = rng.integers(0, 1 << 63, 700, dtype=np.uint64)
+
+    def bits(size):
+        own = np.zeros(size, np.uint8)
+        own[(hashes % np.uint64(size)).astype(np.int64)] = 1
+        return np.packbits(own).view(np.int64).tolist()
+
+    df = spark.createDataFrame([(bits(8192), n // 64, bits(n)) for n in (1024, 2048, 8192)], "m array<long>, longs int, want array<long>")
+    for row in df.withColumn("got", simhash_dedup._folded(F.col("m"), F.col("longs"))).collect():
+        assert row.got == row.want
+
+
+def test_near_copies_of_long_texts_of_unlike_sizes(docs_of):
+    """Texts whose maps have different sizes: 0.85 similar ones are linked, texts that share half are not."""
+    rng = random.Random(8)
+    base = [f"w{rng.randint(0, 5000)}" for _ in range(1000)]
+    longer = base + [f"x{k}" for k in range(160)]
+    half = base[:500] + [f"y{k}" for k in range(560)]
+    docs = docs_of([(1, " ".join(base)), (2, " ".join(longer)), (3, " ".join(half)), (4, "some thing else")])
+    assert sorted(r.doc_id for r in simhash_dedup.keep_one(docs).collect()) == [1, 3, 4]
