@@ -294,7 +294,7 @@ _PING_SPEED = """CAST(speed AS DOUBLE)"""
 
 QUERIES = {
     "scan_parquet": "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderstatus = 'F'",
-    "csv_roundtrip": """SELECT user_id, username, email, first_name, last_name, CAST(date_of_birth AS VARCHAR) AS date_of_birth,
+    "csv_roundtrip": """SELECT user_id, username, email, phone, first_name, last_name, CAST(date_of_birth AS VARCHAR) AS date_of_birth,
         CAST(registration_date AS VARCHAR) AS registration_date, status, CAST(balance AS DOUBLE) AS balance, segment FROM s_users""",
     "write_modes": """SELECT o_orderstatus, count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders
         WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderstatus""",
