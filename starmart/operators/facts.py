@@ -42,13 +42,15 @@ def trip_facts(
 ) -> DataFrame:
     """Trip fact rows.  Unresolved keys stay NULL: split them off with ``split_unresolved``."""
     fact = lookup(trips, dim_user, "user_id", "user_id", "user_key")
+    # One lookup brings the version's key and its tariff.
     if route_key_mode == "current":
-        dim_route = dim_route.where("is_current").withColumn("effective_date", F.expr("DATE'0001-01-01'"))
-    elif route_key_mode != "as_of":
+        current = dim_route.where("is_current").select(F.col("route_id").alias("_id"), "route_key", "base_fare")
+        fact = fact.join(current, F.col("route_id") == F.col("_id"), "left").drop("_id")
+    elif route_key_mode == "as_of":
+        dated = fact.withColumn("_day", F.col("start_time").cast("date"))
+        fact = as_of_join(dated, dim_route, "route_id", "_day", ["route_key", "base_fare"])
+    else:
         raise ValueError(f"unknown route_key_mode {route_key_mode}")
-    # One lookup brings the version's key and its tariff.
-    dated = fact.withColumn("_day", F.col("start_time").cast("date"))
-    fact = as_of_join(dated, dim_route, "route_id", "_day", ["route_key", "base_fare"])
     fact = lookup(fact, dim_vehicle, "vehicle_id", "vehicle_id", "vehicle_key")
     fact = lookup(fact, dim_station, "start_station_id", "station_id", "station_key", "start_station_key")
     fact = lookup(fact, dim_station, "end_station_id", "station_id", "station_key", "end_station_key")
