@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 
 from starmart.llm.common import Remembered, each_batch, only, texts
 
+FEW_ROWS = 1000
 REMEMBERED = 200_000  # pieces, and pairs of tokens, kept in a worker
 #: Fixed value: the cut of byte-level tokenizers, white space as Unicode defines it.
 PIECES = regex.compile(
@@ -164,12 +165,12 @@ def encoder(path: str) -> PrefixEncoder:
 
 def encode_decode(
     docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = False,
-    keep_encoder: bool = True,
+    remember: bool = True,
 ) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the token ids.
 
-    Without ``keep_encoder`` a worker drops vocabulary and remembered pieces after each task,
-    so other stages of the same application get their memory.
+    Without ``remember`` a worker works on ``FEW_ROWS`` at a time and forgets its pieces after each
+    task, so other stages of the same application get the memory.
     """
     source = only(docs, doc_id=id_col, text=text_col)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
@@ -194,4 +195,8 @@ def encode_decode(
 
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    return source.mapInArrow(each_batch(make, None if keep_encoder else encoder.cache_clear), schema)
+    def forget_all() -> None:
+        encoder(tokenizer_path).known.clear()
+        encoder(tokenizer_path).allowed.clear()
+
+    return source.mapInArrow(each_batch(make) if remember else each_batch(make, forget_all, FEW_ROWS), schema)

@@ -102,14 +102,17 @@ def give_back() -> None:
         trim(0)
 
 
-def each_batch(make, at_end=None):
-    """Function for mapInArrow that turns every record batch into one table; ``at_end`` is called when a task is done."""
+def each_batch(make, at_end=None, rows: int | None = None):
+    """Function for mapInArrow that turns every record batch, or so many ``rows`` of it, into one table.
+
+    ``at_end`` is called when a task is done.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
             for batch in batches:
-                if batch.num_rows:
-                    yield make(batch)
+                for k in range(0, batch.num_rows, rows or batch.num_rows or 1):
+                    yield make(batch.slice(k, rows))
         finally:
             if at_end:
                 at_end()
