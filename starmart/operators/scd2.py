@@ -21,6 +21,9 @@ from starmart.sources.reference_rows import TRANSPORT_TYPE_NAMES
 # Labels of the tariff history report.
 STATUS_CURRENT, STATUS_PAST = "Текущая", "Историческая"
 
+# A month of daily versions: what a row may meet in a point-in-time lookup.
+FEW_VERSIONS = 31
+
 VALIDITY = ["effective_date", "expiration_date", "is_current", "version"]
 STAMPS = ["created_date", "updated_date", "source_system"]
 
@@ -187,22 +190,57 @@ def _month_schema(history: DataFrame, key: str, columns: list[str]) -> T.StructT
     return T.StructType(named + [history.schema[c] for c in columns])
 
 
+def _most_versions(history: DataFrame, key: str) -> tuple[int, bool]:
+    """Versions of the longest history, and whether some member's is within ``FEW_VERSIONS``."""
+    n = F.count(F.lit(1)).alias("n")
+    found = history.groupBy(key).agg(n).agg(F.max("n").alias("most"), (F.min("n") <= FEW_VERSIONS).alias("few")).first()
+    return found["most"] or 0, bool(found["few"])
+
+
 def as_of_join(df: DataFrame, history: DataFrame, key: str, day: str, columns: list[str]) -> DataFrame:
     """Left point-in-time lookup; without match (an unknown key, a day before the first
     version or none at all) ``columns`` are NULL.
 
-    Versions are dealt by month, so the join is on (key, month) and a row meets only the
-    versions of its own month, however long the member's history; adaptive execution can
-    split a member that holds most rows by its months, and further.  The dealt versions
-    number at most (versions + members x months on record).
+    A row meets at most ``FEW_VERSIONS`` versions, however long the member's history: shorter
+    histories are joined by key as they are.  Those of the other members are dealt by month and
+    joined on (key, month), so a row meets the versions of its own month, and adaptive execution
+    can split a member that holds most rows by its months, and further.  Only versions of long
+    histories are dealt, to at most (versions + long members x months on record).
     """
+    most, some_few = _most_versions(history, key)
+    if most <= FEW_VERSIONS and some_few:
+        return _join_by_key(df, history, key, day, columns).drop(*_unasked(day))
+    if not some_few:
+        return _join_by_month(df, history, key, day, columns).drop(*_unasked(day))
+    long = history.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > FEW_VERSIONS).select(key)
+    found = _join_by_key(df, history.join(long, key, "left_anti"), key, day, columns)
+    aside = found.withColumnsRenamed({c: f"_few_{c}" for c in columns})
+    found = _join_by_month(aside, history.join(long, key, "left_semi"), key, day, columns)
+    # A member is on one side only, so at most one of the two lookups matched.
+    either = {c: F.coalesce(f"_few_{c}", c) for c in columns}
+    return found.withColumns(either).drop(*[f"_few_{c}" for c in columns], *_unasked(day))
+
+
+def _unasked(day: str) -> list[str]:
+    return [day] if day.startswith("_") else []
+
+
+def _valid(day: str) -> Column:
+    return (F.col("_from") <= F.col(day)) & ((F.col("_to") > F.col(day)) | F.col("_to").isNull())
+
+
+def _join_by_key(df: DataFrame, history: DataFrame, key: str, day: str, columns: list[str]) -> DataFrame:
+    start, end = F.col("effective_date").alias("_from"), F.col("expiration_date").alias("_to")
+    versions = history.select(F.col(key).alias("_id"), start, end, *columns)
+    return df.join(versions, (F.col(key) == F.col("_id")) & _valid(day), "left").drop("_id", "_from", "_to")
+
+
+def _join_by_month(df: DataFrame, history: DataFrame, key: str, day: str, columns: list[str]) -> DataFrame:
     versions, tail = _by_month(history, key, columns)
     month = F.trunc(F.col(day), "month")
     rows = df.withColumn("_row_month", F.least(month, F.lit(tail)) if tail else month)
     same = (F.col(key) == F.col("_id")) & (F.col("_row_month") == F.col("_month"))
-    valid = (F.col("_from") <= F.col(day)) & ((F.col("_to") > F.col(day)) | F.col("_to").isNull())
-    joined = rows.join(versions, same & valid, "left")
-    return joined.drop("_id", "_month", "_row_month", "_from", "_to", *([day] if day.startswith("_") else []))
+    return rows.join(versions, same & _valid(day), "left").drop("_id", "_month", "_row_month", "_from", "_to")
 
 
 def latest_version(ids: DataFrame, history: DataFrame, key: str) -> DataFrame:

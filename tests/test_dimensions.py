@@ -229,3 +229,18 @@ def test_stamps_of_versions(spark):
     assert versions(amended, "route_id", "version", "created_date", "updated_date", "source_system") == [
         ("A", 1, first, second, "OLTP"), ("A", 2, second, third, "OLTP"), ("B", 1, first, first, "OLTP"),
     ]
+
+
+def test_as_of_join_deals_long_histories_only(spark):
+    """Many members of few versions and one of daily ones: only the latter is dealt by month."""
+    daily = [("a", k, D(2015, 1, 1) + dt.timedelta(days=k), D(2015, 1, 2) + dt.timedelta(days=k)) for k in range(1000)]
+    few = [(f"m{k}", -k, D(2015, 1, 1), None) for k in range(50)]
+    schema = "id string, route_key int, effective_date date, expiration_date date"
+    asked = spark.createDataFrame([("a", D(2016, 2, 29)), ("m7", D(2016, 2, 29)), ("m7", D(2014, 1, 1)), ("x", D(2016, 1, 1))], "id string, day date")
+    short = scd2.as_of_join(asked, spark.createDataFrame(few, schema), "id", "day", ["route_key"])
+    assert "_month" not in short._jdf.queryExecution().optimizedPlan().toString()
+    found = scd2.as_of_join(asked, spark.createDataFrame(daily + few, schema), "id", "day", ["route_key"])
+    assert found.columns == ["id", "day", "route_key"]
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(
+        map(str, [("a", D(2016, 2, 29), 424), ("m7", D(2016, 2, 29), -7), ("m7", D(2014, 1, 1), None), ("x", D(2016, 1, 1), None)])
+    )
