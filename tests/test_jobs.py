@@ -24,6 +24,15 @@ def test_upsert_and_idempotence(spark):
     assert twice == once.drop("at").orderBy("id").collect()
 
 
+def test_upsert_of_each_source_row(spark):
+    target = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id int, name string, kind string")
+    source = spark.createDataFrame([(2, "c", "z"), (2, "c", "z"), (3, "d", "z"), (3, "e", "z")], "id int, name string, kind string")
+    rows = sorted(map(tuple, merge.upsert(target, source, ["id"], ["name"], each_row=True).collect()))
+    assert rows == [(1, "a", "x"), (2, "c", "y"), (2, "c", "y"), (3, "d", "z"), (3, "e", "z")]
+    with pytest.raises(Exception, match="repeats a key"):
+        merge.upsert(target, source, ["id"], ["name"]).collect()
+
+
 def test_latest_per_key_breaks_ties_by_row(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "z"), (2, None, "n")], "k int, v int, x string")
     out = merge.latest_per_key(df, ["k"], [F.col("v")]).orderBy("k").collect()
