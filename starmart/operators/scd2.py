@@ -69,11 +69,14 @@ def initial_load(
     return assign_keys(rows, surrogate_key, [key])
 
 
-def _compare(history: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], as_of: dt.date) -> DataFrame:
+def _compare(
+    history: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], as_of: dt.date, each_row: bool = False
+) -> DataFrame:
     current = history.where("is_current")
     attributes = [c for c in snapshot.columns if c != key]
     old = current.select(key, F.struct(*[c for c in current.columns if c != key]).alias("old"))
-    new = _one_per_key(snapshot, key).select(key, F.struct(*attributes).alias("new"))
+    rows = snapshot if each_row else _one_per_key(snapshot, key)
+    new = rows.select(key, F.struct(*attributes).alias("new"))
     joined = old.join(new, key, "full_outer")
     changed = _differs(F.col("old"), F.col("new"), tracked)
     action = (
@@ -86,9 +89,14 @@ def _compare(history: DataFrame, snapshot: DataFrame, key: str, tracked: list[st
     return joined.withColumn("action", action)
 
 
-def diff(history: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], as_of: dt.date) -> DataFrame:
-    """What a load would do to each member: new, changed, amended, unchanged, vanished."""
-    return _compare(history, snapshot, key, tracked, as_of)
+def diff(
+    history: DataFrame, snapshot: DataFrame, key: str, tracked: list[str], as_of: dt.date, each_row: bool = False
+) -> DataFrame:
+    """What a load would do to each member: new, changed, amended, unchanged, vanished.
+
+    Of a key that the snapshot repeats the greatest row counts; with ``each_row`` every one does.
+    """
+    return _compare(history, snapshot, key, tracked, as_of, each_row)
 
 
 def apply_snapshot(
@@ -100,9 +108,13 @@ def apply_snapshot(
     as_of: dt.date,
     close_missing: bool = False,
     load_time: dt.datetime | None = None,
+    each_row: bool = False,
 ) -> DataFrame:
     """The history after loading a snapshot.
 
+    With ``each_row`` every row of a key that the snapshot repeats is compared and applied
+    for itself, so a repeat shows in the history (see :func:`invariants`).
+
     A history with ``STAMPS`` keeps them: new versions are stamped with ``load_time``, versions
     that this load changes get it as their ``updated_date``.
 
@@ -110,7 +122,7 @@ def apply_snapshot(
     changed: the expired version and its successor), so the join runs once.
     Untracked attributes are replaced in place.
     """
-    compared = _compare(history, snapshot, key, tracked, as_of)
+    compared = _compare(history, snapshot, key, tracked, as_of, each_row)
     attributes = [c for c in history.columns if c not in [key, surrogate_key, *VALIDITY]]
     known = [c for c in attributes if c in snapshot.columns]
     types = {f.name: f.dataType for f in history.schema.fields}
@@ -142,7 +154,8 @@ def apply_snapshot(
     )
     result = compared.select(key, F.inline(rows)).select(*history.columns)
     past = history.where(~F.col("is_current"))
-    return fill_missing_keys(past.unionByName(result), surrogate_key, [key])
+    # Repeated rows of a key are numbered in the order of their attributes, so a re-run numbers them alike.
+    return fill_missing_keys(past.unionByName(result), surrogate_key, [key, *(known if each_row else [])])
 
 
 def history_from_feed(feed: DataFrame, key: str, value: str, change_date: str) -> DataFrame:

@@ -244,3 +244,17 @@ def test_as_of_join_deals_long_histories_only(spark):
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(
         map(str, [("a", D(2016, 2, 29), 424), ("m7", D(2016, 2, 29), -7), ("m7", D(2014, 1, 1), None), ("x", D(2016, 1, 1), None)])
     )
+
+
+def test_each_row_of_a_repeated_key_is_applied(spark):
+    history = load(spark, spark.createDataFrame([], HISTORY), [("A", fare("1.00"), "a"), ("B", fare("2.00"), "b")], D(2025, 1, 1))
+    rows = [("A", fare("1.00"), "a"), ("A", fare("1.00"), "a"), ("B", fare("3.00"), "b"), ("N", fare("9.00"), "n"), ("N", fare("8.00"), "n")]
+    compared = scd2.diff(history, spark.createDataFrame(rows, SNAPSHOT), "route_id", TRACKED, D(2025, 2, 1), each_row=True)
+    assert sorted((r["route_id"], r["action"]) for r in compared.collect()) == [
+        ("A", "unchanged"), ("A", "unchanged"), ("B", "changed"), ("N", "new"), ("N", "new")
+    ]
+    applied = load(spark, history, rows, D(2025, 2, 1), each_row=True)
+    assert sorted(versions(applied, "route_key", "route_id", "base_fare", "version", "is_current")) == [
+        (1, "A", fare("1.00"), 1, True), (1, "A", fare("1.00"), 1, True), (2, "B", fare("2.00"), 1, False),
+        (3, "B", fare("3.00"), 2, True), (4, "N", fare("8.00"), 1, True), (5, "N", fare("9.00"), 1, True),
+    ]
