@@ -277,12 +277,16 @@ def version_history(history: DataFrame, key: str, as_of: dt.date) -> DataFrame:
 
 
 def invariants(history: DataFrame, key: str) -> DataFrame:
-    """Violation counts: flag against expiration, several current, gaps, overlaps."""
+    """Violation counts: flag against expiration, several current versions, gaps, overlaps.
+
+    A version that is stored twice is one version; its repeat counts as an overlap.
+    """
+    current = F.when(F.col("is_current"), F.col("version"))
     by_start = Window.partitionBy(key).orderBy("effective_date", "version")
     chained = history.withColumn("_next", F.lead("effective_date").over(by_start))
     per_member = chained.groupBy(key).agg(
         F.count_if(F.col("is_current") != F.col("expiration_date").isNull()).alias("flag"),
-        (F.count_if("is_current") > 1).cast("int").alias("several"),
+        F.coalesce(F.max(current) > F.min(current), F.lit(False)).cast("int").alias("several"),
         F.count_if(F.col("_next") > F.col("expiration_date")).alias("gap"),
         F.count_if(
             (F.col("_next") < F.col("expiration_date")) | (F.col("_next").isNotNull() & F.col("expiration_date").isNull())

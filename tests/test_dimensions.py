@@ -258,3 +258,14 @@ def test_each_row_of_a_repeated_key_is_applied(spark):
         (1, "A", fare("1.00"), 1, True), (1, "A", fare("1.00"), 1, True), (2, "B", fare("2.00"), 1, False),
         (3, "B", fare("3.00"), 2, True), (4, "N", fare("8.00"), 1, True), (5, "N", fare("9.00"), 1, True),
     ]
+
+
+def test_invariants_tell_repeats_from_several_versions(spark):
+    start = D(2025, 1, 1)
+    rows = [
+        (1, "A", fare("1"), "a", start, None, True, 1), (1, "A", fare("1"), "a", start, None, True, 1),
+        (2, "B", fare("1"), "b", start, None, True, 1), (3, "B", fare("1"), "b", D(2025, 2, 1), None, True, 2),
+        (4, "C", fare("1"), "c", start, D(2025, 2, 1), False, 1),
+    ]
+    found = scd2.invariants(spark.createDataFrame(rows, HISTORY), "route_id").first().asDict()
+    assert found == {"members": 3, "flag_mismatches": 0, "several_current": 1, "gaps": 0, "overlaps": 2}
