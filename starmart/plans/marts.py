@@ -206,6 +206,9 @@ FLOW = Measures(
     distinct={"passengers": "user_key"},
 )
 
+#: The same in rows for each passenger, whose number is then exact.
+FLOW_BY_PASSENGER = Measures(keys=(*FLOW.keys, "user_key"), sums=FLOW.sums, distinct={})
+
 
 def _flow_rows(fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
     days = dim_date.select("date_key", "date", "day_of_week", "is_weekend")
@@ -231,21 +234,30 @@ def passenger_flow_by_hour(
 
 
 def flow_parts(
-    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, part: Column | None = None
+    fact: DataFrame, dim_route: DataFrame, dim_date: DataFrame, dim_time: DataFrame, part: Column | None = None, exact: bool = False
 ) -> DataFrame:
-    """Flow rows of all days in mergeable parts; ``part`` names the load that a trip came with."""
+    """Flow rows of all days in mergeable parts; ``part`` names the load that a trip came with.
+
+    With ``exact`` a part has a row for each passenger of an hour instead of a sketch of them.
+    """
     rows = _flow_rows(fact, dim_route, dim_date, dim_time)
+    flow = FLOW_BY_PASSENGER if exact else FLOW
     if part is None:
-        return FLOW.partial(rows)
-    by_part = Measures(("part", *FLOW.keys), FLOW.sums, FLOW.distinct)
+        return flow.partial(rows)
+    by_part = Measures(("part", *flow.keys), flow.sums, flow.distinct)
     return by_part.partial(rows.withColumn("part", part)).drop("part")
 
 
 def collapse_flow(parts: DataFrame) -> DataFrame:
     """Summing merge of flow rows loaded in parts: additive columns are summed per (date, hour),
-    passengers' sketches united, the average derived again.  Distinct passengers are within
-    1.6 % (one standard error), and exact for the small counts of most hours.
+    the average derived again.  Distinct passengers are exact if the parts have a row for each;
+    if they have sketches, those are united: within 1.6 % (one standard error), and exact for
+    the small counts of most hours.
     """
+    if "user_key" in parts.columns:
+        once = FLOW_BY_PASSENGER.merge(parts)
+        sums = [F.sum(c).cast(once.schema[c].dataType).alias(c) for c in FLOW.sums]
+        return _flow(once.groupBy(*FLOW.keys).agg(*sums, F.count("user_key").alias("unique_passengers")))
     return _flow(FLOW.merge(parts).withColumn("unique_passengers", distinct_count("passengers")))
 
 

@@ -289,3 +289,17 @@ def test_replace_partitions_and_truncate(spark, tmp_path):
     assert sorted((r["day"], r["v"]) for r in spark.read.parquet(path).collect()) == [(1, 10), (2, 99)]
     writers.truncate(str(tmp_path / "u"), df.schema, spark)
     assert spark.read.parquet(str(tmp_path / "u")).count() == 0
+
+
+def test_merged_flow_counts_passengers_exactly(spark):
+    """20 000 users of one hour in three overlapping loads: a sketch would miss their number."""
+    fact = spark.range(60000).selectExpr(
+        "id % 20000 AS user_key", "1 AS route_key", "20250103 AS start_date_key", "80000 AS start_minute_key",
+        "CAST(2 AS DECIMAL(10,2)) AS actual_fare", "'completed' AS trip_status", "id % 7 % 3 AS load",
+    )
+    routes = spark.createDataFrame([(1, "bus")], "route_key int, transport_type string")
+    days = spark.createDataFrame([(20250103, T(2025, 1, 3).date(), 6, False)], "date_key int, date date, day_of_week int, is_weekend boolean")
+    minutes = spark.createDataFrame([(80000, 8, True)], "time_key int, hour int, is_rush_hour boolean")
+    parts = marts.flow_parts(fact, routes, days, minutes, F.col("load"), exact=True)
+    row = marts.collapse_flow(parts).first()
+    assert (row["bus_trips"], row["total_trips"], row["total_revenue"], row["unique_passengers"]) == (60000, 60000, Decimal(120000), 20000)
