@@ -156,3 +156,18 @@ def test_median_and_vehicles_over_several_batches(spark, tmp_path):
     assert [(r.avg_speed, r.median_speed, r.min_speed, r.max_speed, r.measurements_count, r.active_vehicles) for r in row] == [
         (3.75, 2.0, Decimal("1.00"), Decimal("10.00"), 5, 3)
     ]
+
+
+def test_vehicles_of_an_hour_are_counted_exactly(spark, tmp_path):
+    """5000 vehicles at three speeds, twice: a sketch would miss their number."""
+    rows = spark.range(30000).selectExpr(
+        "CAST(id % 5000 AS INT) AS vehicle_id", "'R1' AS route_id", "timestampadd(SECOND, CAST(id % 3600 AS INT), TIMESTAMP_NTZ'2025-01-01 08:00:00') AS ts",
+        "CAST(id % 3 AS DECIMAL(5,2)) AS speed",
+    )
+    later = rows.limit(1).selectExpr("vehicle_id", "route_id", "TIMESTAMP_NTZ'2025-01-01 12:00:00' AS ts", "speed")
+    for part in (rows, later):
+        part.write.mode("append").parquet(str(tmp_path / "in"))
+        hours = streaming.hourly_speed(streaming.with_event_time(readers.stream_files(spark, str(tmp_path / "in"), rows.schema, max_files=64)))
+        streaming.run_to_table(hours, str(tmp_path / "out"), str(tmp_path / "cp"))
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r.measurements_count, r.active_vehicles, r.median_speed) for r in found] == [(30000, 5000, 1.0)]
