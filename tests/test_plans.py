@@ -90,3 +90,23 @@ def test_dimension_joins_carry_no_hint(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
+def test_reload_moves_its_rows_once_for_each_delivery(spark, tmp_path):
+    """The rows of a delivery lie together by month and trip: no further exchange to find repeats."""
+    from pyspark.sql import functions as F
+
+    from starmart.operators import merge
+
+    rows = spark.range(100).selectExpr("id % 3 AS month_key", "CAST(id % 40 AS STRING) AS trip_id", "id AS at")
+    once = merge.latest_per_key(rows.repartitionByRange("month_key", "trip_id"), ["month_key", "trip_id"], [F.col("at")])
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and once.count() == 100
+
+
+def test_lines_move_to_their_orders_without_computed_columns(spark):
+    """Seconds are computed where line and order have met: they are no part of what the join moves."""
+    from starmart.plans import adapters
+
+    plan = adapters.lines_with_orders(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "second_of_day" in plan and "second_of_day" not in plan[plan.index("Join Inner"):]
