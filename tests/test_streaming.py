@@ -124,6 +124,30 @@ def test_a_silent_vehicle_is_forgotten(spark, tmp_path):
     assert [(r.vehicle_id, r.delay_minutes) for r in out.collect()] == [(2, 101.0)]
 
 
+def test_spells_of_many_vehicles_share_a_bounded_number_of_states(spark, tmp_path):
+    """2000 vehicles and pings without a vehicle or an id in buckets: few states, the spells of the batch job."""
+    for n in range(3):
+        spark.range(6000).selectExpr(
+            f"NULLIF(id, 17) + {n} * 6000 AS position_id", "NULLIF(id % 2000, 5) AS vehicle_id",
+            f"timestampadd(SECOND, CAST(id % 3000 AS INT) + {n} * 3600, TIMESTAMP_NTZ'2025-01-01 08:00:00') AS ts", f"CAST((id * 7 + {n}) % 11 AS DOUBLE) AS speed",
+        ).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = readers.stream_files(spark, str(tmp_path / "in"), SCHEMA, max_files=1, latestFirst="false")
+    last = spark.createDataFrame([(99999, 9999, dt.datetime(2025, 1, 2), 0.0)], SCHEMA)
+    last.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spells = streaming.stationary_spells(streaming.with_event_time(stream), slow_below=5.0)
+    query = (
+        spells.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]) <= 6 * streaming.SPELL_BUCKETS
+    pings = spark.read.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    batch = domain.stationary_spells(pings, slow_below=5.0).where("moved_on")
+    columns = ["vehicle_id", "stopped_at", "slow_pings"]
+    got, want = (sorted(map(str, df.select(*[F.col(c).cast("string") for c in columns]).collect())) for df in (spark.read.schema(spells.schema).parquet(str(tmp_path / "out")), batch))
+    assert got == want and len(got) > 2000
+
+
 def test_state_of_hourly_speed_is_bounded_by_distinct_speeds(spark, tmp_path):
     start = dt.datetime(2025, 1, 1, 8)
     schema = "vehicle_id int, route_id string, ts timestamp_ntz, speed decimal(5,2)"
