@@ -20,6 +20,7 @@ unless all ids there are null.  An empty table gives no rows.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +165,7 @@ COPY_RADIUS = 18  # of the first links only; the pairs they leave apart are not
 BANDS, ROWS = 8, 3  # of the first links: a pair 0.8 similar shares a key with probability 0.997
 ORDER_SAMPLE = 8  # one document in so many is asked which shingles are common
 COMMON = 1 << 16  # common shingles told to every task
+PARITY_LONGS = 8  # of the parities that travel with a document's rare shingles
 # Of a document's map of its shingles, at least and by size; two maps differ in no more bits than the sets in shingles.
 MAP_BITS, MAP_BITS_PER_SHINGLE = 1024, 4
 
@@ -222,17 +224,17 @@ def _folded(bits: Column, longs: Column) -> Column:
 
 
 def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """(node, doc_id, fp, least, size, keys, map) of the documents with words.
+    """(node, doc_id, fp, least, size, keys, parity, map) of the documents with words.
 
     SimHash of the distinct shingles; the least of them in each of BANDS * ROWS orders; their
-    number; the rarest of them, so many that two similar documents have one in common; and
-    the map of bits they set.
+    number; the rarest of them, so many that two similar documents have one in common; whether
+    an odd number of them falls on each bit of a small map; and the map of bits they set.
     """
     orders = np.random.default_rng(42).integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     common = _common_shingles(docs, width)
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep, fps, least, sizes, keys, maps = [], [], [], [], [], []
+        keep, fps, least, sizes, keys, parities, maps = [], [], [], [], [], [], []
         for n, text in enumerate(texts(batch)):
             hashes = np.unique(_shingle_hashes(text, width))
             if len(hashes):
@@ -249,19 +251,22 @@ def _sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
                 # Similar sets have similarity * size shingles in common, so one among the others and one more.
                 rare = len(hashes) - math.ceil(similarity * len(hashes) - 1e-6) + 1
                 keys.append(_rare_first(hashes, common)[:rare].view(np.int64))
+                odd = np.bincount((hashes % np.uint64(64 * PARITY_LONGS)).astype(np.int64), minlength=64 * PARITY_LONGS) & 1
+                parities.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                 own = np.zeros(_map_bits(len(hashes)), np.uint8)
                 own[(hashes % np.uint64(len(own))).astype(np.int64)] = 1
                 maps.append(np.packbits(own).view(np.int64))
         at, longs = pa.array(keep, pa.int32()), pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
             [batch.column(0).take(at), batch.column(1).take(at), pa.array(fps, pa.int64()), pa.array(least, longs),
-             pa.array(sizes, pa.int32()), pa.array(keys, longs), pa.array(maps, longs)],
-            names=["node", "doc_id", "fp", "least", "size", "keys", "map"],
+             pa.array(sizes, pa.int32()), pa.array(keys, longs), pa.array(parities, longs), pa.array(maps, longs)],
+            names=["node", "doc_id", "fp", "least", "size", "keys", "parity", "map"],
         )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("node", "doc_id", "text").mapInArrow(
-        each_batch(make, give_back), f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>, map array<long>"
+        each_batch(make, give_back),
+        f"node long, doc_id {kind}, fp long, least array<long>, size int, keys array<long>, parity array<long>, map array<long>",
     )
 
 
@@ -299,30 +304,43 @@ def _led_pairs(sketches: DataFrame, radius: int) -> DataFrame:
     )
 
 
+def _meeting(rows: DataFrame, similarity: float) -> tuple[DataFrame, Column, Column]:
+    """The pairs of ``rows(component, node, size, at, key, odd..)`` that meet in a key and may be similar enough.
+
+    With them the number of shingles they need in common, and how many they can share from the
+    key on.  A shingle that only one of two documents has changes one of their parities, so no
+    more of these differ than shingles do: most pairs of a crowd of texts not similar enough end here.
+    """
+    odd = [c for c in rows.columns if c.startswith("odd")]
+    a, b = (rows.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("component", "node", "size", "at", *odd)]) for side in "ab")
+    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("size_a") + F.col("size_b")) - 1e-6)
+    after = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
+    differ = reduce(Column.__add__, [F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in odd])
+    pairs = a.join(b, "key").where(
+        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+        & (F.least("at_a", "at_b") + after >= needed) & (differ <= F.col("size_a") + F.col("size_b") - 2 * needed)
+    )
+    return pairs, needed, after
+
+
 def _rest(sketches: DataFrame, groups: DataFrame, similarity: float) -> DataFrame:
     """(a, b): every pair of documents in different ``groups`` that may be similar enough; none that is gets lost.
 
     Similar documents have one of their rarest shingles in common.  A shingle's place in the
     one order of all documents bounds what two documents can share before and after it, and
-    their maps bound what they don't share.
+    their parities and maps bound what they don't share.
     """
+    odd = [f"odd{k}" for k in range(PARITY_LONGS)]
     held = stage(
-        sketches.select("node", "size", "keys").join(groups, "node", "left")
-        .select("node", "size", "keys", F.coalesce("component", "node").alias("component")),
+        sketches.select("node", "size", "keys", *[F.col("parity")[k].alias(c) for k, c in enumerate(odd)]).join(groups, "node", "left")
+        .select("node", "size", "keys", *odd, F.coalesce("component", "node").alias("component")),
         "rare-shingles",
     )
     single = held.select("component", F.explode("keys").alias("key"))
     shared = single.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     shared = stage(shared.where("low != high").select("key"), "shared-shingles")
-    maybe, _ = split_by_keys(held.select("component", "node", "size", F.posexplode("keys").alias("at", "key")), "key", shared)
-    meeting = stage(maybe.join(shared, "key", "left_semi"), "meeting")
-    a, b = (meeting.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("component", "node", "size", "at")]) for side in "ab")
-    needed = F.ceil(F.lit(similarity / (1 + similarity)) * (F.col("size_a") + F.col("size_b")) - 1e-6)
-    after = F.least(F.col("size_a") - F.col("at_a"), F.col("size_b") - F.col("at_b"))
-    pairs = a.join(b, "key").where(
-        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
-        & (F.least("at_a", "at_b") + after >= needed)
-    )
+    maybe, _ = split_by_keys(held.select("component", "node", "size", *odd, F.posexplode("keys").alias("at", "key")), "key", shared)
+    pairs, needed, after = _meeting(stage(maybe.join(shared, "key", "left_semi"), "meeting"), similarity)
     met = pairs.groupBy("node_a", "node_b", "size_a", "size_b").agg(
         F.count(F.lit(1)).alias("n"), F.max("at_a").alias("at_a"), F.max("at_b").alias("at_b")
     )

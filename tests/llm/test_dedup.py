@@ -188,6 +188,27 @@ def test_star_of_near_copies(docs_of):
     assert {r["doc_id"] for r in simhash_dedup.keep_one(docs_of(pairs, CLASHES)).collect()} == want
 
 
+def test_a_crowd_of_texts_not_similar_enough_makes_few_pairs(docs_of):
+    rng = np.random.default_rng(21)
+    base, pairs = [f"w{n}" for n in rng.permutation(5000)[:150]], []
+    for n in range(120):  # three to six words of the base changed: most pairs are just not 0.8 similar
+        ws = list(base)
+        for at in rng.choice(150, 3 + n % 4, replace=False):
+            ws[at] = f"c{n}-{at}"
+        pairs.append((n, " ".join(ws)))
+    docs = docs_of(pairs)
+    sketches = simhash_dedup._sketches(docs.select(F.xxhash64("doc_id", "text").alias("node"), "doc_id", "text"), 5, 0.8)
+    odd = [F.col("parity")[k].alias(f"odd{k}") for k in range(simhash_dedup.PARITY_LONGS)]
+    rows = sketches.select(F.col("node").alias("component"), "node", "size", *odd, F.posexplode("keys").alias("at", "key"))
+    found = simhash_dedup._meeting(rows, 0.8)[0].select("node_a", "node_b").collect()
+    names = {r.node: r.doc_id for r in sketches.select("node", "doc_id").collect()}
+    grams = {i: {tuple(t.split()[k : k + 5]) for k in range(146)} for i, t in pairs}
+    alike = {(a, b) for a in grams for b in range(a) if len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])}
+    met = {(max(names[r.node_a], names[r.node_b]), min(names[r.node_a], names[r.node_b])) for r in found}
+    assert alike <= met and len(met) < 3570  # of 7140
+    assert {r["doc_id"] for r in simhash_dedup.keep_one(docs).collect()} == copies_brute(pairs)
+
+
 def test_near_copies_with_repeated_lines_and_at_the_border(docs_of):
     rng = np.random.default_rng(11)
     words = [f"w{n}" for n in range(20000)]
