@@ -21,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -39,6 +40,7 @@ SHARD_IDS = 1 << 20
 MIN_COUNT = 16  # a rule replaces at least so many pairs of its shard
 REMEMBERED = 800_000  # words, and pieces, kept in a worker
 ASKED = 512  # documents encoded at a time
+TOGETHER = 4096  # new pieces given to the tokenizer as one text
 LEAST_GAIN = 1 / 200  # a round at the lowest bar that shortens the sequence by less is the last
 SLOTS = 1 << 16  # of the table in which a round counts pairs
 
@@ -78,17 +80,21 @@ def compress(ids: np.ndarray, alphabet: int, min_count: int = MIN_COUNT, slots:
         free = (symbols[:-1] != END_ID) & (symbols[1:] != END_ID)
         at, slot, bar = _frequent(symbols, free, slots, bar, min_count)
         at = _leftmost(at)
-        uses = np.bincount(slot[at], minlength=slots)
-        at = at[uses[slot[at]] >= min_count]
+        slot = slot[at]
+        used = np.bincount(slot, minlength=slots) >= min_count
+        enough = used[slot]
+        at, slot = at[enough], slot[enough]
         if not len(at):
             if bar <= min_count:
                 break
             bar = max(min_count, bar / 8)
             continue
-        of_slot, first, which = np.unique(slot[at], return_index=True, return_inverse=True)
-        rules.append(np.stack([symbols[at[first]], symbols[at[first] + 1]], axis=1))
-        symbols[at] = made + which
-        made += len(of_slot)
+        some = np.empty(slots, np.int64)  # a place of each slot's pair
+        some[slot] = at
+        first = some[used]
+        rules.append(np.stack([symbols[first], symbols[first + 1]], axis=1))
+        symbols[at] = made + (np.cumsum(used) - 1)[slot]
+        made += len(first)
         before = len(symbols)
         stays = np.ones(before, bool)
         stays[at + 1] = False
@@ -147,6 +153,7 @@ def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
 
 #: Fixed value: the tokenizer's own cut into letters, single digits and other marks, for plain texts.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+MARKS = ".,;:!?"
 #: Letters of plain texts: one byte each, without those on which re and Unicode's classes differ.
 _PLAIN = bytes(b for b in range(256) if b not in b"\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe")
 
@@ -174,21 +181,52 @@ class PieceEncoder:
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         self.alphabet = self.library.get_vocab_size(with_added_tokens=True)
+        self.ends_word = np.zeros(self.alphabet, bool)
+        self.ends_word[[n for token, n in self.library.get_vocab().items() if token.endswith(self.library.model.end_of_word_suffix or "\n")]] = True
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
 
+    def _ask_pieces(self, pieces: list[str]) -> list[bytes]:
+        """As ``_ask``, for pieces of plain texts: many make one text, whose ids part after those that end a word."""
+        out: list[bytes] = []
+        for k in range(0, len(pieces), TOGETHER):
+            some = pieces[k : k + TOGETHER]
+            raw = self._ask([" ".join(some)])[0]
+            stops = ((np.flatnonzero(self.ends_word[np.frombuffer(raw, "<u4")]) + 1) * 4).tolist()
+            whole = len(stops) == len(some) and stops[-1] == len(raw)
+            out += [raw[b:e] for b, e in zip([0, *stops], stops)] if whole else self._ask(some)
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Remembers new words: letters are one piece, and so are marks after them; any other word is cut first."""
+        letters, parts = [], {}
+        for w in words:
+            if w.isalpha():
+                letters.append(w)
+            else:
+                stem = w.rstrip(MARKS)
+                parts[w] = (stem, w[len(stem) :]) if stem.isalpha() else PIECES.findall(w)
+        new = set(chain(letters, chain.from_iterable(parts.values()))) - self.pieces.keys()
+        tokens = self.library.model.tokenize
+        other = []
+        for piece in new:
+            if piece.isascii() and piece.isalpha():  # the model's own letters, which it can be given at once
+                self.pieces[piece] = array("I", [t.id for t in tokens(piece)]).tobytes()
+            else:
+                other.append(piece)
+        self.pieces.update(zip(other, self._ask_pieces(other)))
+        ids = self.pieces.__getitem__
+        self.words.update(zip(letters, map(ids, letters)))
+        self.words.update({w: b"".join(map(ids, ps)) for w, ps in parts.items()})
+
     def encode(self, texts: list[str]) -> list[bytes]:
         for known in (self.words, self.pieces):
             if len(known) > REMEMBERED:
                 known.clear()
         cut = [t.lower().split() if _is_plain(t) else None for t in texts]
-        new_words = set(chain.from_iterable(c for c in cut if c)) - self.words.keys()
-        parts = {w: PIECES.findall(w) for w in new_words}
-        new = list(set(chain.from_iterable(parts.values())) - self.pieces.keys())
-        self.pieces.update(zip(new, self._ask(new)))
-        self.words.update({w: b"".join(map(self.pieces.__getitem__, ps)) for w, ps in parts.items()})
+        self._learn(set(chain.from_iterable(c for c in cut if c)) - self.words.keys())
         get = self.words.__getitem__
         return [self._ask([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
 

@@ -111,3 +111,15 @@ def test_count_ties_keep_the_longer_last_piece():
     assert counter.solve("ab") == (1, -2.0)
     assert counter.solve("abc")[1] == -6.0
     assert counter.solve("é") == (2, -15.0)
+
+
+def test_new_pieces_are_asked_together_with_the_ids_of_each():
+    own, library = repair_ids.PieceEncoder(WORDS), Tokenizer.from_file(WORDS)
+    asked = []
+    ask = own._ask
+    own._ask = lambda texts: asked.append(len(texts)) or ask(texts)
+    texts = [f"it's a{n}b word{chr(97 + n % 26)}, caf\u00e9{n}! (x_{n}) \u00aa\u00ba don't 'tis 3.14 {'?' * (n % 9)} __ \u00df''s" for n in range(300)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)] == [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    assert sum(asked) < 5 and len(own.pieces) > 40
+    pieces = ["caf\u00e9", "two words", "!"]  # no single piece: each is asked alone
+    assert own._ask_pieces(pieces) == ask(pieces)
