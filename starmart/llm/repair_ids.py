@@ -8,8 +8,8 @@ its ids, is decoded without touching the rest of the shard.
 
 Re-Pair replaces frequent pairs of ids by new symbols again and again.  A round here takes
 all pairs that are frequent enough at once (overlaps go to the left one; a rule that then
-replaces too few pairs is not made), lowers the bar, and ends when no pair reaches
-``min_count``.
+replaces too few pairs is not made), lowers the bar, and the last one leaves no pair that
+could be replaced ``min_count`` times.
 
 Defined results: a null text is encoded as the empty one, so its document is the end id
 alone.  A null document id comes before all others; equal ids are ordered by the text's
@@ -19,12 +19,10 @@ hash.  An empty table gives no shards and no rows.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,70 +36,97 @@ from starmart.session import new_path
 END_ID = 1
 SHARD_IDS = 1 << 20
 MIN_COUNT = 16  # a rule replaces at least so many pairs of its shard
-REMEMBERED = 800_000  # words, and pieces, kept in a worker
-ASKED = 512  # documents encoded at a time
+REMEMBERED = 800_000  # pieces kept in a worker
+BLOCK_BYTES = 8 << 20  # of plain texts cut at a time
 TOGETHER = 4096  # new pieces given to the tokenizer as one text
-LEAST_GAIN = 1 / 200  # a round at the lowest bar that shortens the sequence by less is the last
-SLOTS = 1 << 16  # of the table in which a round counts pairs
+SLOTS = 1 << 16  # at least, of the table in which a round counts pairs
+STEP = 64  # a round takes pairs down to this part of the most frequent one's uses
 
 # --- grammar ---------------------------------------------------------------------------
 
 
-def _frequent(symbols: np.ndarray, free: np.ndarray, slots: int, bar: float, least: int):
-    """Positions that begin a frequent pair, the slot of every position, and the bar that was used.
-
-    Each slot of the table stands for one of the pairs that fall into it; the others have
-    their turn in a later round.
-    """
-    codes = (symbols[:-1] << 32) | symbols[1:]
-    slot = ((codes * -7046029254386353131) >> 40) & (slots - 1)
-    keeper = np.full(slots, -1, np.int64)
-    keeper[slot[free]] = codes[free]
-    own = free & (keeper[slot] == codes)
-    counts = np.bincount(slot[own], minlength=slots)
-    bar = max(least, min(bar, counts.max(initial=0) / 8))
-    return np.flatnonzero(own & (counts[slot] >= bar)), slot, bar
-
-
-def _leftmost(at: np.ndarray) -> np.ndarray:
-    """Of runs of overlapping pairs every second one, from the left."""
-    first = np.ones(len(at), bool)
-    first[1:] = np.diff(at) != 1
-    order = np.arange(len(at))
+def _leftmost(overlaps: np.ndarray) -> np.ndarray:
+    """Of runs of places, each overlapping the next, every second one from the left."""
+    first = np.append(True, ~overlaps)
+    order = np.arange(len(first))
     begin = np.maximum.accumulate(np.where(first, order, 0))
-    return at[(order - begin) % 2 == 0]
+    return np.flatnonzero((order - begin) & 1 == 0)
 
 
 def compress(ids: np.ndarray, alphabet: int, min_count: int = MIN_COUNT, slots: int = SLOTS):
-    """(symbols, rules): the shard's sequence, and for symbol alphabet + k its two halves rules[k]."""
-    symbols, rules, bar = ids.astype(np.int64), [], np.inf
-    made = alphabet
-    while len(symbols) > 1:
-        free = (symbols[:-1] != END_ID) & (symbols[1:] != END_ID)
-        at, slot, bar = _frequent(symbols, free, slots, bar, min_count)
-        at = _leftmost(at)
-        slot = slot[at]
-        used = np.bincount(slot, minlength=slots) >= min_count
+    """(symbols, rules): the shard's sequence, and for symbol alphabet + k its two halves rules[k].
+
+    A round counts one pair in each slot of a table.  All places of a pair come to be in one
+    round, so a pair that is found too rare stays so: its places are left out from then on, and
+    the pairs that share its slot have their turn.  Where pairs that overlap take each other's
+    places until none has enough, half of them are tried at a time, or less, down to one.
+    """
+    n = len(ids)
+    slots = max(slots, 1 << (n >> 4).bit_length())
+    symbols = np.append(ids, [END_ID]).astype(np.int64)  # an end beyond the last place is also before the first
+    after, before = np.arange(1, n + 2), np.arange(-1, n)
+    ends = symbols == END_ID
+    pairs = symbols << 32
+    pairs[:-1] |= symbols[1:]
+    alive = np.zeros(n + 1, bool)  # places whose pair may yet be replaced
+    alive[:-1] = ~(ends[:-1] | ends[1:])
+    there = np.ones(n, bool)
+    keeper, some = np.empty(slots, np.int64), np.empty(slots, np.int64)
+    rules, made, bar, mask = [], alphabet, np.inf, 0
+    live = np.flatnonzero(alive)
+    while len(live):
+        size = min(slots, 1 << len(live).bit_length())
+        codes = pairs.take(live)
+        slot = codes * -7046029254386353131
+        slot >>= 40
+        slot &= size - 1
+        keeper[slot] = codes
+        own = keeper.take(slot) == codes
+        counts = np.bincount(np.where(own, slot, size), minlength=size + 1)[:size]
+        bar = max(min_count, min(bar, counts.max() / STEP))
+        chosen = counts >= bar
+        if mask:
+            chosen &= (np.arange(size) ^ counts.argmax()) & mask == 0
+        state = (chosen.astype(np.int8) - (counts < min_count)).take(slot) * own
+        alive[live] = state >= 0
+        picked = np.flatnonzero(state > 0)
+        at, slot = live[picked], slot[picked]
+        overlaps = after[at[:-1]] == at[1:]
+        taken = _leftmost(overlaps) if len(at) else at
+        used = np.bincount(slot[taken], minlength=size) >= min_count
+        settled = ~used  # too rare when only places of their own are in the way
+        crossed = np.flatnonzero(overlaps)
+        crossed = crossed[slot[crossed] != slot[crossed + 1]]
+        settled[slot[crossed]] = settled[slot[crossed + 1]] = False
+        rare = settled[slot]
+        alive[at[rare]] = False
+        at, slot = at[taken], slot[taken]
         enough = used[slot]
         at, slot = at[enough], slot[enough]
-        if not len(at):
-            if bar <= min_count:
-                break
-            bar = max(min_count, bar / 8)
-            continue
-        some = np.empty(slots, np.int64)  # a place of each slot's pair
-        some[slot] = at
-        first = some[used]
-        rules.append(np.stack([symbols[first], symbols[first + 1]], axis=1))
-        symbols[at] = made + (np.cumsum(used) - 1)[slot]
-        made += len(first)
-        before = len(symbols)
-        stays = np.ones(before, bool)
-        stays[at + 1] = False
-        symbols = symbols[stays]
-        if bar <= min_count and before - len(symbols) < LEAST_GAIN * before:
-            break
-    return symbols, np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
+        if len(at):
+            some[slot] = at  # a place of each slot's pair
+            first = some[np.flatnonzero(used)]
+            rules.append(np.stack([symbols[first], symbols[after[first]]], axis=1))
+            gone = after.take(at)
+            follow = after.take(gone)
+            new = (made - 1 + np.cumsum(used)).take(slot)
+            made += len(first)
+            symbols[at] = new
+            there[gone] = alive[gone] = False
+            after[at], before[follow] = follow, at
+            prior = before.take(at)
+            left, right = symbols.take(prior), symbols.take(follow)
+            pairs[at], pairs[prior] = new << 32 | right, left << 32 | new
+            alive[at], alive[prior] = right != END_ID, left != END_ID
+            mask &= 1
+        elif bar > min_count:
+            bar = max(min_count, bar / STEP)
+        elif rare.any():
+            mask &= 1
+        else:
+            mask = (mask << 1 | 1) & slots - 1
+        live = np.flatnonzero(alive)
+    return symbols[:n][there], np.concatenate(rules) if rules else np.empty((0, 2), np.int64)
 
 
 def expansion_lengths(rules: np.ndarray, alphabet: int) -> np.ndarray:
@@ -121,11 +146,12 @@ def expand(symbols: np.ndarray, rules: np.ndarray, alphabet: int) -> bytes:
         out.append(first + (right.to_bytes(4, "little") if right < alphabet else out[right - alphabet]))
     # One table of all expansions; a plain id stands at its own place in it.
     table = np.concatenate([np.arange(alphabet, dtype="<u4"), np.frombuffer(b"".join(out), "<u4")])
-    size = np.concatenate([np.ones(alphabet, np.int64), [len(x) // 4 for x in out]]).astype(np.int64)
+    size = np.concatenate([np.ones(alphabet, np.int64), np.fromiter(map(len, out), np.int64, len(out)) // 4])
     begin = np.cumsum(size) - size
     lengths = size[symbols]
     at = np.repeat(begin[symbols] - np.cumsum(lengths) + lengths, lengths)
-    return table[at + np.arange(len(at))].tobytes()
+    at += np.arange(len(at))
+    return table.take(at).tobytes()
 
 
 def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
@@ -151,26 +177,60 @@ def ids_between(shard: dict, start: int, stop: int) -> np.ndarray:
 
 # --- encoding --------------------------------------------------------------------------
 
-#: Fixed value: the tokenizer's own cut into letters, single digits and other marks, for plain texts.
-PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-MARKS = ".,;:!?"
-#: Letters of plain texts: one byte each, without those on which re and Unicode's classes differ.
-_PLAIN = bytes(b for b in range(256) if b not in b"\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe")
+# A plain text has one byte for each letter: Latin-1 without those on which re and Unicode's classes differ.
+_ODD = b"\x1c\x1d\x1e\x1f\xb2\xb3\xb9\xbc\xbd\xbe"
+_PLAIN = bytes(b for b in range(256) if b not in _ODD)
+_LOWER = bytes(ord(chr(b).lower()) for b in range(256))
+_SPACE, _LETTER, _DIGIT, _MARK = range(4)
+_KINDS = bytes(
+    _SPACE if c.isspace() else _LETTER if c.isalpha() else _DIGIT if c.isdigit() else _MARK for c in map(chr, range(256))
+)
+_SPACES = bytes(b for b in range(256) if _KINDS[b] == _SPACE)
+# Byte-level vocabularies spell visible Latin-1 bytes as themselves, the others in order from U+0100; these are of letters.
+_VISIBLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE) if b >= 0x80}
 
 
-def _is_plain(text: str) -> bool:
+def _plain(text: str) -> bytes | None:
+    """A plain text in Latin-1."""
+    if "<|" in text:
+        return None
     try:
-        return "<|" not in text and not text.encode("latin-1").translate(None, _PLAIN)
+        raw = text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
+        return None
+    return None if raw.translate(None, _PLAIN) else raw
+
+
+def _cut(low: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Places and lengths of the pieces of lower-case plain text that ends in a space.
+
+    They are the tokenizer's own: 's 't 're 've 'm 'll 'd where no other mark is before, runs of
+    letters, single digits, runs of marks.
+    """
+    data, kinds = np.frombuffer(low, np.uint8), np.frombuffer(low.translate(_KINDS), np.uint8)
+    begins = kinds == _DIGIT
+    begins[0] = True
+    begins[1:] |= kinds[1:] != kinds[:-1]
+    short = np.flatnonzero(data == ord("'"))
+    short = short[begins[short]]
+    second, third = data[short + 1], data[np.minimum(short + 2, len(data) - 1)]
+    one = np.isin(second, np.frombuffer(b"stmd", np.uint8))
+    two = (np.isin(second, np.frombuffer(b"rv", np.uint8)) & (third == ord("e"))) | ((second == ord("l")) & (third == ord("l")))
+    begins[short[one | two] + 1] = False
+    begins[short[one] + 2] = True
+    begins[short[two] + 3] = True
+    seen = kinds != _SPACE
+    at = np.flatnonzero(begins & seen)
+    return at, np.flatnonzero(begins[1:] & seen[:-1]) + 1 - at
 
 
 class PieceEncoder:
     """Ids of a text from the tokenizers library, which is asked once for each different piece.
 
-    A plain text is cut as the tokenizer cuts it, and the ids of its pieces are those of the
-    text.  Words and pieces are remembered in dictionaries of bounded size.  Any other text
-    is given to the library whole.
+    Plain texts are cut as the tokenizer cuts them, a block of them at a time, and the ids of
+    a text's pieces are its own.  Pieces are remembered in a dictionary of bounded size.  Any
+    other text is given to the library whole.
     """
 
     def __init__(self, path: str):
@@ -178,8 +238,7 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
         self.alphabet = self.library.get_vocab_size(with_added_tokens=True)
         self.ends_word = np.zeros(self.alphabet, bool)
         self.ends_word[[n for token, n in self.library.get_vocab().items() if token.endswith(self.library.model.end_of_word_suffix or "\n")]] = True
@@ -199,36 +258,71 @@ class PieceEncoder:
             out += [raw[b:e] for b, e in zip([0, *stops], stops)] if whole else self._ask(some)
         return out
 
-    def _learn(self, words: set[str]) -> None:
-        """Remembers new words: letters are one piece, and so are marks after them; any other word is cut first."""
-        letters, parts = [], {}
-        for w in words:
-            if w.isalpha():
-                letters.append(w)
-            else:
-                stem = w.rstrip(MARKS)
-                parts[w] = (stem, w[len(stem) :]) if stem.isalpha() else PIECES.findall(w)
-        new = set(chain(letters, chain.from_iterable(parts.values()))) - self.pieces.keys()
+    def _learn(self, new: list[bytes]) -> None:
+        """Remembers new pieces; the library's model can be given those of letters at once, in its own spelling of bytes."""
         tokens = self.library.model.tokenize
-        other = []
-        for piece in new:
-            if piece.isascii() and piece.isalpha():  # the model's own letters, which it can be given at once
-                self.pieces[piece] = array("I", [t.id for t in tokens(piece)]).tobytes()
-            else:
-                other.append(piece)
-        self.pieces.update(zip(other, self._ask_pieces(other)))
-        ids = self.pieces.__getitem__
-        self.words.update(zip(letters, map(ids, letters)))
-        self.words.update({w: b"".join(map(ids, ps)) for w, ps in parts.items()})
+        letters = [p for p in new if _KINDS[p[0]] == _LETTER]
+        spelt = b"\n".join(letters).decode("latin-1").encode().decode("latin-1")
+        for byte, letter in _BYTE_LETTERS.items():
+            spelt = spelt.replace(chr(byte), chr(letter))
+        self.pieces.update((p, array("I", [t.id for t in tokens(s)]).tobytes()) for p, s in zip(letters, spelt.split("\n")))
+        other = [p for p in new if _KINDS[p[0]] != _LETTER]
+        self.pieces.update(zip(other, self._ask_pieces([p.decode("latin-1") for p in other])))
+
+    def _block(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of plain texts."""
+        low = b" ".join([*texts, b""]).translate(_LOWER)
+        at, sizes = _cut(low)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        if not len(at):
+            return [b""] * len(texts)
+        borders = pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        letters = pa.py_buffer(low.translate(None, _SPACES))
+        coded = pa.Array.from_buffers(pa.binary(), len(at), [None, borders, letters]).dictionary_encode()
+        codes = coded.indices.to_numpy()
+        different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        known = list(map(self.pieces.get, different))
+        new = [k for k, ids in enumerate(known) if ids is None]
+        self._learn([different[k] for k in new])
+        for k in new:
+            known[k] = self.pieces[different[k]]
+        table = np.frombuffer(b"".join(known), "<u4")
+        lengths = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        size = lengths[codes]
+        stops = np.cumsum(size, dtype=np.int32)
+        step = (np.cumsum(lengths, dtype=np.int32) - lengths)[codes] - stops + size  # from a place in the text to that in the table
+        places = np.repeat(step, size)
+        places += np.arange(len(places), dtype=np.int32)
+        raw = table.take(places).tobytes()
+        ends = (4 * np.concatenate([[0], stops])[np.searchsorted(at, ends)]).tolist()
+        return [raw[b:e] for b, e in zip([0, *ends], ends)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        for known in (self.words, self.pieces):
-            if len(known) > REMEMBERED:
-                known.clear()
-        cut = [t.lower().split() if _is_plain(t) else None for t in texts]
-        self._learn(set(chain.from_iterable(c for c in cut if c)) - self.words.keys())
-        get = self.words.__getitem__
-        return [self._ask([t])[0] if c is None else b"".join(map(get, c)) for t, c in zip(texts, cut)]
+        """A block of ``BLOCK_BYTES`` of plain texts (or one longer text) is worked on at a time."""
+        out: list[bytes] = []
+        block, held, odd = [], 0, {}
+
+        def done():
+            found = self._block(block) if block else []
+            for k, whole in odd.items():
+                found[k] = whole
+            block.clear()
+            odd.clear()
+            out.extend(found)
+
+        for text in texts:
+            raw = _plain(text)
+            if raw is None:
+                odd[len(block)] = self._ask([text])[0]
+            block.append(raw or b"")
+            held += len(block[-1]) + 1
+            if held >= BLOCK_BYTES:
+                done()
+                held = 0
+        done()
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -269,15 +363,14 @@ def write_shards(
         encoder = piece_encoder(tokenizer_path)
         names, pieces, end = [], [], END_ID.to_bytes(4, "little")
         for batch in batches:
-            for some in (batch.slice(k, ASKED) for k in range(0, batch.num_rows, ASKED)):
-                found = encoder.encode([t or "" for t in some.column(1).to_pylist()])
-                for name, ids in zip(some.column(0).to_pylist(), found):
-                    names.append(name)
-                    pieces.append(ids + end)
-                    held += len(ids) // 4 + 1
-                    if held >= shard_ids:
-                        yield shard(part, number, before, names, pieces, encoder.alphabet)
-                        number, before, held, names, pieces = number + 1, before + held, 0, [], []
+            found = encoder.encode([t or "" for t in batch.column(1).to_pylist()])
+            for name, ids in zip(batch.column(0).to_pylist(), found):
+                names.append(name)
+                pieces.append(ids + end)
+                held += len(ids) // 4 + 1
+                if held >= shard_ids:
+                    yield shard(part, number, before, names, pieces, encoder.alphabet)
+                    number, before, held, names, pieces = number + 1, before + held, 0, [], []
         if pieces:
             yield shard(part, number, before, names, pieces, encoder.alphabet)
 

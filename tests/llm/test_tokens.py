@@ -123,3 +123,37 @@ def test_new_pieces_are_asked_together_with_the_ids_of_each():
     assert sum(asked) < 5 and len(own.pieces) > 40
     pieces = ["caf\u00e9", "two words", "!"]  # no single piece: each is asked alone
     assert own._ask_pieces(pieces) == ask(pieces)
+
+
+def test_no_pair_is_left_that_a_rule_could_replace():
+    rng = np.random.default_rng(5)
+    zipf = np.minimum(rng.zipf(1.2, 1 << 17) + 1, 40_000)
+    runs = np.repeat(rng.integers(2, 99, 9000), rng.integers(1, 30, 9000))
+    crossing = rng.permutation(np.tile([[2, 3, 4], [3, 4, 5], [4, 5, 2], [5, 2, 3]], (20, 1))).ravel()
+    for ids, least in ((zipf, 16), (runs, 16), (crossing, 16), (rng.integers(1, 5, 3000), 2)):
+        symbols, rules = repair_ids.compress(ids.astype("<u4"), 50_000, least)
+        assert repair_ids.expand(symbols, rules, 50_000) == ids.astype("<u4").tobytes()
+        uses, ended = {}, {}
+        for at, pair in enumerate(zip(symbols.tolist(), symbols[1:].tolist())):
+            if 1 not in pair and ended.get(pair, -1) < at:
+                uses[pair], ended[pair] = uses.get(pair, 0) + 1, at + 1
+        assert max(uses.values(), default=0) < least
+
+
+def test_blocks_of_any_size_and_a_full_memory(monkeypatch):
+    library = Tokenizer.from_file(WORDS)
+    texts = ["", "'", "a'", "'S's ''s x'LLy 've're'm 'd't", "caf\u00c9, CAF\u00c9! \u65e5\u672c", "\u65e5", " \n", "x<|y"] + noise(7, "'stdremvl SL1.\xc9\xdf\xa0\n", 400)
+    want = [x.ids for x in library.encode_batch(texts, add_special_tokens=False)]
+    monkeypatch.setattr(repair_ids, "REMEMBERED", 50)
+    for size in (1, 500, 1 << 20):
+        monkeypatch.setattr(repair_ids, "BLOCK_BYTES", size)
+        assert [np.frombuffer(x, "<u4").tolist() for x in repair_ids.PieceEncoder(WORDS).encode(texts)] == want
+
+
+def test_only_different_pieces_are_remembered_and_handled_one_by_one():
+    own, words = repair_ids.PieceEncoder(WORDS), ["caf\u00e9", "word", "it"]
+    seen = []
+    learn = own._learn
+    own._learn = lambda new: seen.extend(new) or learn(new)
+    own.encode([" ".join(w + m for w in words for m in ("", ".", ",", "!", "...", "?!", "'s")) + " 31" for _ in range(50)])
+    assert len(seen) == len(own.pieces) == 3 + 6 + 2
