@@ -31,6 +31,7 @@ from starmart.llm.common import Remembered, each_batch, only, texts
 
 FEW_ROWS = 1000
 REMEMBERED = 200_000  # pieces, and pairs of tokens, kept in a worker
+FEW_REMEMBERED = 100_000  # where other stages share the worker
 #: Fixed value: the cut of byte-level tokenizers, white space as Unicode defines it.
 PIECES = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -150,10 +151,10 @@ class PrefixEncoder:
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.token_bytes[i] for i in ids]).decode("utf-8", "replace")
 
-    def forget(self) -> None:
-        if len(self.known) > REMEMBERED:
+    def forget(self, most: int = REMEMBERED) -> None:
+        if len(self.known) > most:
             self.known.clear()
-        if len(self.allowed) > REMEMBERED:
+        if len(self.allowed) > most:
             self.allowed.clear()
 
 
@@ -169,11 +170,12 @@ def encode_decode(
 ) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256, and with ``ids`` the token ids.
 
-    Without ``remember`` a worker works on ``FEW_ROWS`` at a time and forgets its pieces after each
-    task, so other stages of the same application get the memory.
+    Without ``remember`` a worker works on ``FEW_ROWS`` at a time, keeps ``FEW_REMEMBERED`` pieces and
+    gives up its encoder after each task, so other stages of the same application get the memory.
     """
     source = only(docs, doc_id=id_col, text=text_col)
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
+    most = REMEMBERED if remember else FEW_REMEMBERED
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         enc = encoder(tokenizer_path)
@@ -186,7 +188,7 @@ def encode_decode(
             back.append(hashlib.sha256(enc.decode(own).encode()).hexdigest())
             if ids:
                 kept.append(raw)
-            enc.forget()
+            enc.forget(most)
         arrays = [batch.column(0), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(back, pa.string())]
         if ids:
             ends = pa.array(np.cumsum([0, *counts]), pa.int32())
@@ -195,8 +197,4 @@ def encode_decode(
 
     kind = source.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
-    def forget_all() -> None:
-        encoder(tokenizer_path).known.clear()
-        encoder(tokenizer_path).allowed.clear()
-
-    return source.mapInArrow(each_batch(make) if remember else each_batch(make, forget_all, FEW_ROWS), schema)
+    return source.mapInArrow(each_batch(make) if remember else each_batch(make, encoder.cache_clear, FEW_ROWS), schema)

@@ -159,6 +159,8 @@ def fit(docs: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Lang
         rows = rows[[bool(_LETTER.search(t)) for t in rows["text"]]].sort_values(["lang", "text"])
         x = np.stack([features(t) for t in rows["text"]]) if len(rows) else np.zeros((0, FEATURES), np.float32)
         weights = fit_machine(x, rows["sign"].to_numpy())
+        del x
+        give_back()
         return pd.DataFrame({"machine": rows["machine"].iloc[:1] if len(rows) else [], "weights": [weights.tolist()] * (len(rows) > 0)})
 
     fitted = sample.join(F.broadcast(side), "lang").groupBy("machine").applyInPandas(train, "machine int, weights array<double>")

@@ -191,7 +191,7 @@ def _common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarra
         return pa.RecordBatch.from_arrays([pa.array(found[often].view(np.int64)), pa.array(times[often])], names=["h", "n"])
 
     sample = docs.where(F.pmod("node", F.lit(ORDER_SAMPLE)) == 0).select("node", "text")
-    found = sample.mapInArrow(each_batch(count), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    found = sample.mapInArrow(each_batch(count, give_back), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = found.orderBy(F.col("n").desc(), "h").limit(COMMON).collect()
     hashes, counts = (np.array([r[c] for r in top], np.int64) for c in ("h", "n"))
     order = np.argsort(hashes.view(np.uint64))

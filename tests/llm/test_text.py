@@ -1,8 +1,10 @@
 """Language, decontamination, main text and the pipeline."""
 
+import os
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,5 +226,26 @@ def test_stages_take_awkward_rows(spark, docs_of):
         assert step(spark, docs.where("false"), "/root/testdata/sf0.001").count() == 0
 
 
+def test_each_stage_alone_hands_small_batches_to_one_kind_of_worker(spark, docs_of):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes]), pa.array([os.getppid()])], names=["n", "bytes", "daemon"])
+
+    docs = docs_of([(n, f"word {n}", "en") for n in range(1500)] + [(n, "long " * 40_000, "en") for n in range(1500, 1600)]).coalesce(1)
+    before = {key: spark.conf.get(key) for key in corpus_pipeline.SMALL}
+    try:
+        for _, step in corpus_pipeline.STAGES:
+            for key in before:
+                spark.conf.unset(key)
+            step(spark, docs.where("false"), "/root/testdata/sf0.001")
+            seen = docs.mapInArrow(sizes, "n long, bytes long, daemon long").collect()
+            assert sum(r.n for r in seen) == 1600 and max(r.n for r in seen) <= 1000 and max(r.bytes for r in seen) < 10 << 20
+            others = spark.sparkContext.parallelize([0], 1).map(lambda _: os.getppid()).collect()
+            assert {r.daemon for r in seen} == set(others)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_ten_queries_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))

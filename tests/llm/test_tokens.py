@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 from tokenizers.models import Unigram
@@ -49,6 +50,21 @@ def test_encode_decode_rows(docs_of, spark, table_texts):
     assert bpe_prefix.encode_decode(df.where("false"), BYTES).count() == 0
 
 
+def test_no_encoder_is_left_where_stages_share_the_worker(docs_of, monkeypatch):
+    docs = docs_of(AWKWARD)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda frame, run, schema: run)
+    monkeypatch.setattr(bpe_prefix, "FEW_REMEMBERED", 20)
+    rows = [(n, t) for n, t in enumerate(noise(4, "ab c", 300))]
+    batch = pa.RecordBatch.from_pylist([{"doc_id": n, "text": t} for n, t in rows])
+    most = []
+    forget = bpe_prefix.PrefixEncoder.forget
+    monkeypatch.setattr(bpe_prefix.PrefixEncoder, "forget", lambda enc, *a: (forget(enc, *a), most.append(len(enc.known)))[0])
+    out = pa.Table.from_batches(bpe_prefix.encode_decode(docs, BYTES, ids=True, remember=False)(iter([batch]))).to_pylist()
+    library = Tokenizer.from_file(str(BYTES))
+    assert [r["ids"] for r in out] == [library.encode(t, add_special_tokens=False).ids for _, t in rows]
+    assert max(most) <= 20 and bpe_prefix.encoder.cache_info().currsize == 0
+
+
 def test_pieces_equal_the_library():
     own, library = repair_ids.PieceEncoder(WORDS), Tokenizer.from_file(WORDS)
     texts = ["x<|endoftext|> y", "a\x1cb", "ΣΑΣ İ", "²x½"] + noise(3, "aeS'tdsÉßªº 12!'_\n\xa0\x85\x1c<|ΣéİT-", 1500)
