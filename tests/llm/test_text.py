@@ -1,5 +1,6 @@
 """Language, decontamination, main text and the pipeline."""
 
+import math
 import os
 import re
 from collections import Counter, defaultdict
@@ -192,6 +193,37 @@ def test_articles_lose_nothing():
     assert tag_paths.main_text(both) == "Text, here."
 
 
+def test_ratios_decide_between_marked_articles():
+    story = "<article><h2>One</h2><p>Words of a story, told at length; more of it here.</p><p><a href=1>Its link</a></p></article>"
+    menu = "<article><p><a href=2>Home</a></p><p><a href=3>News</a></p></article>"
+    told = "One Words of a story, told at length; more of it here. Its link"
+    assert tag_paths.main_text(menu + story) == tag_paths.main_text(story + menu) == told
+    assert tag_paths.main_text(story + story.replace("One", "Two")) == f"{told} {told.replace('One', 'Two')}"
+    assert tag_paths.main_text(menu) == "Home News" and tag_paths.main_text(menu + "<p>Out, of it.</p>") == "Home News"
+    assert tag_paths.main_text(f"<main>{menu}{story}</main>") == f"Home News {told}"
+
+
+def test_scores_equal_a_plain_version():
+    page = "<ul><li><a>Home</a></li><li>b</li></ul><article><h1>Title</h1><p>One, two. <a>Three</a></p><p>Four!</p></article><p>Out, of it.</p>"
+    weights = [math.exp(-k * k / 2) for k in (-2, -1, 0, 1, 2)]
+    for html in (page, re.sub("</?article>", "", page)):
+        found = tag_paths.blocks(html)
+        bodies = ["".join(b.parts).strip() for b in found]
+        assert bodies == ["Home", "b", "Title", "One, two. Three", "Four!", "Out, of it."]
+        paths, linked = [b.path for b in found], [b.linked for b in found]
+        ratio = []
+        for path in paths:
+            own = [k for k, p in enumerate(paths) if p == path]
+            marks = sum(c in ".,!" for k in own for c in bodies[k])
+            ratio.append(math.log1p(sum(len(bodies[k]) - linked[k] for k in own) / len(own) * (1 + marks / len(own))))
+        want = []
+        for k in range(6):
+            smooth = sum(w * ratio[min(5, max(0, k + d))] for w, d in zip(weights, range(-2, 3))) / sum(weights)
+            outside = "<article>" in html and "article" not in paths[k]
+            want.append(0 if outside else math.sqrt(ratio[k] * smooth) * (1 - linked[k] / len(bodies[k])))
+        assert tag_paths.scores(found, bodies) == pytest.approx(want)
+
+
 def test_pages_of_any_kind(spark):
     rows = [(1, None, None), (2, "u", ""), (2, "u", ""), (None, "u", "<p>" + "word, " * 20000), (3, "u", "<" * 1000), (4, "u", "<p a='" * 50)]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 AS text", "2 AS n_chars")
