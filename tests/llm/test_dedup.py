@@ -312,6 +312,32 @@ def test_bytes_and_spans_of_awkward_rows(docs_of):
         assert rows(run(df.where("false"))) == []
 
 
+def test_anchors_are_dealt_evenly():
+    body = np.random.default_rng(2).integers(97, 123, 1 << 18, dtype=np.uint8)
+    values = np.unique(fragments.cut(body, np.array([len(body)]), 50, 24).value)
+    dealt = np.diff(fragments._shard_bounds(values, 64))
+    assert dealt.sum() == len(values) and dealt.max() < 2 * dealt.mean()
+
+
+def test_a_pack_sends_a_row_to_a_shard_and_its_texts_do_not_move(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(fragments, "PACK_BYTES", 500)
+    texts = docs_of(overlapping(5, ["ab", "c", "de"])).coalesce(1).selectExpr("doc_id", "text AS digest", "text")
+    packs = fragments.write_packs(texts)
+    assert fragments.PACK_PARTS in {len(r.members) for r in packs.collect()}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        reading = suffix_array_dedup.READING
+        dealt = fragments.deal_fragments(packs, fragments.repeated_anchors(packs, reading, 3), reading, 3)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        rows = dealt.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert 0 < len(rows) <= 3 * packs.count() and len({(r.shard, r.pack) for r in rows}) == len(rows)
+    # What is told of anchors goes to the shards and back to the packs; these stay where they were written.
+    assert plan.count("Exchange hashpartitioning(shard") == plan.count("Exchange hashpartitioning(pack") == plan.count("Exchange ") - 1 == 1
+
+
 def test_sorted_suffixes_and_disk_queues(monkeypatch):
     monkeypatch.setattr(suffix_array_dedup, "QUEUE_BYTES", 64)
     rng = np.random.default_rng(1)
