@@ -391,22 +391,42 @@ def near_copies(
     return led.unionByName(rest)
 
 
+def _fingerprint_links(docs: DataFrame, radius: int) -> DataFrame:
+    """(a, b) links of ``docs(node, text)`` that connect what ``cluster`` connects, wordless texts too."""
+    marks = stage(fingerprints(docs, "node", "text"), "fingerprints")
+    classes = stage(marks.groupBy("fp").agg(F.min("doc_id").alias("lead")), "classes")
+    own = marks.join(classes, "fp").where(F.col("doc_id") != F.col("lead")).select(F.col("doc_id").alias("a"), F.col("lead").alias("b"))
+    of_a, of_b = (classes.select(F.col("fp").alias(c), F.col("lead").alias(f"lead_{c}")) for c in "ab")
+    between = links(classes.select("fp"), radius).join(of_a, "a").join(of_b, "b")
+    return own.unionByName(between.select(F.col("lead_a").alias("a"), F.col("lead_b").alias("b")))
+
+
 def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = COPY_SHINGLE, similarity: float = COPY_SIMILARITY,
+    radius: int | None = None,
 ) -> DataFrame:
     """The documents, of each group of near copies the one with the smallest id (null ids last).
 
-    Wordless documents have no shingles and stay; rows equal in id and text stay or go together.
+    With a ``radius`` texts whose fingerprints ``cluster`` links are near copies too, wordless ones
+    among them; else those have no shingles and stay.  Of rows equal in id and text one counts, the
+    one whose columns hash lowest.
     """
     node = F.xxhash64(docs[id_col], docs[text_col])
     source = docs.select(node.alias("node"), docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    groups = connected_components(near_copies(source, width, similarity))
+    linked = near_copies(source, width, similarity)
+    if radius is not None:
+        linked = linked.unionByName(_fingerprint_links(source, radius))
+    groups = connected_components(linked)
     order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("node"))
     members = source.select("node", "doc_id").join(groups, "node")
     stays = members.groupBy("component").agg(F.min_by("node", order).alias("node")).select("node")
-    dropped = stage(groups.join(stays, "node", "left_anti").select("node").distinct(), "near-copies")
+    dropped = groups.join(stays, "node", "left_anti").select("node", F.lit(True).alias("gone")).distinct()
+    again = source.groupBy("node").count().where(F.col("count") > 1).select("node", F.lit(False).alias("gone"))
+    asked = stage(dropped.unionByName(again.join(dropped, "node", "left_anti")), "near-copies")
     # Only rows that may be dropped are shuffled; their columns travel as one.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("whole"), node.alias("node"))
-    maybe, others = split_by_keys(rows, "node", dropped)
-    kept = maybe.join(dropped, "node", "left_anti").select("whole")
-    return others.select("whole").unionByName(kept).select("whole.*")
+    maybe, others = split_by_keys(rows, "node", asked.select("node"))
+    kept = maybe.join(asked, "node", "left_anti").select("whole")
+    equal = maybe.join(asked.where("NOT gone"), "node", "left_semi").groupBy("node", *[F.col("whole").getField(c) for c in (id_col, text_col)])
+    first = equal.agg(F.min_by("whole", F.xxhash64("whole")).alias("whole")).select("whole")
+    return others.select("whole").unionByName(kept).unionByName(first).select("whole.*")

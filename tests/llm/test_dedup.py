@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starmart.llm import exact_dedup, fragments, simhash_dedup, substring_dedup, suffix_array_dedup
 from starmart.llm.common import connected_components
 from tests.llm.conftest import AWKWARD, CLASHES
@@ -229,6 +230,25 @@ def test_near_copies_with_repeated_lines_and_at_the_border(docs_of):
     assert len(want) == 60 + 400
 
 
+def test_the_stage_links_what_the_operator_links(spark, docs_of):
+    rng = np.random.default_rng(4)
+    words, pairs = [f"w{n}" for n in range(3000)], []
+    for n in range(12):
+        # One tail apart in a text of few shingles, but one line said over and over: 0.5 similar, equal fingerprints.
+        line = " ".join(rng.choice(words, 12))
+        pairs += [(10 * n + k, f"{line} " * 80 + f"{n}-{k} and so on") for k in range(2)]
+    pairs += [(1000 + n, " ".join(rng.choice(words, 50))) for n in range(20)]
+    pairs += [(2000, None), (2001, ""), (None, " \n"), (3000, "said twice by one id"), (3000, "said twice by one id"), (3000, "something else of it")]
+    docs = docs_of(pairs, CLASHES)
+    apart = {(r.fingerprint, r.component_id) for r in simhash_dedup.cluster(docs.where("doc_id < 120")).collect()}
+    want = Counter([*{c for _, c in apart}, *range(1000, 1020), 2000, 3000, 3000])
+    assert 12 <= len({c for _, c in apart}) < 24
+    kept = corpus_pipeline.near(spark, docs, SF_DIR)
+    assert kept.columns == docs.columns and Counter(r["doc_id"] for r in kept.collect()) == want
+    alone = simhash_dedup.keep_one(docs).collect()
+    assert Counter(r["doc_id"] for r in alone) == Counter([i for i, _ in pairs if i != 3000] + [3000, 3000])
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(60).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.component for r in connected_components(edges).collect()} == {0}
